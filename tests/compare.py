@@ -1,0 +1,79 @@
+"""Runs queries beside their SQL in another engine and compares the results whole.
+
+    python tests/compare.py [folder of tables] [query ...]
+"""
+
+import math
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+
+def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}'")
+    return connection
+
+
+def _plain(value):
+    return "NaN" if isinstance(value, float) and math.isnan(value) else value
+
+
+def _rows(names: list[str], rows) -> tuple[list[str], Counter]:
+    order = sorted(range(len(names)), key=names.__getitem__)
+    return sorted(names), Counter(tuple(_plain(row[i]) for i in order) for row in rows)
+
+
+def difference(frame, connection: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """None if both give the same bag of rows under the same names, with no type mixed up."""
+    expected = connection.execute(sql)
+    want_names, want = _rows([c[0] for c in expected.description], expected.fetchall())
+    got_names, got = _rows(frame.columns, frame.collect())
+    if got_names != want_names:
+        return f"columns {got_names} instead of {want_names}"
+    if got != want:
+        extra, missing = got - want, want - got
+        return (
+            f"{got.total()} rows, expected {want.total()}; {extra.total()} unexpected such as "
+            f"{next(iter(extra), None)}, {missing.total()} missing such as {next(iter(missing), None)}"
+        )
+    kinds = [{type(v) for row in side for v in row if v is not None} for side in (got, want)]
+    return None if kinds[0] == kinds[1] else f"types {kinds[0]} instead of {kinds[1]}"
+
+
+def main() -> int:
+    from pyspark.sql import SparkSession
+
+    from __spark_entry__ import oracle_sql, queries
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    wanted = sys.argv[2:] or list(queries())
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    connection, failed = oracle(sf_dir), 0
+    for name in wanted:
+        began = time.time()
+        try:
+            frame = queries()[name](spark, sf_dir)
+            found = difference(frame, connection, oracle_sql()[name])
+        except Exception as error:  # noqa: BLE001 - one broken query must not hide the others
+            found = f"{type(error).__name__}: {str(error)[:1500]}"
+        failed += found is not None
+        print(f"{'ok  ' if found is None else 'FAIL'} {time.time() - began:6.1f}s {name} {found or ''}")
+    return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main())
