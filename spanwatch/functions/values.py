@@ -11,8 +11,9 @@ def real_number(value: Column) -> Column:
 
 
 def plate_or_null(plate: Column) -> Column:
-    """A plate that was missing at the producer arrives as the text of a NaN."""
-    return F.when(~plate.isin("NaN", "nan"), plate)
+    """A plate that was missing at the producer arrives as the text of a NaN, which the
+    JSON reader hands on with quotes if it stood there without."""
+    return F.when(~plate.isin("NaN", "nan", '"NaN"'), plate)
 
 
 def km_per_hour(km: Column, seconds: Column) -> Column:
