@@ -35,7 +35,7 @@ STREAM_SETTINGS = {
 def stream_settings(spark: SparkSession) -> Iterator[None]:
     """STREAM_SETTINGS for queries started inside; a query keeps the settings it was
     started with. What the session sets itself stays."""
-    mine = {key: value for key, value in STREAM_SETTINGS.items() if not spark.conf.get(key, "")}
+    mine = {key: value for key, value in STREAM_SETTINGS.items() if spark.conf.get(key, None) is None}
     for key, value in mine.items():
         spark.conf.set(key, value)
     try:
