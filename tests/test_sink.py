@@ -1,0 +1,118 @@
+"""Every violation stored once, whatever is delivered how often."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from rows import bag, enriched
+from spanwatch.operators.detect import violations
+from spanwatch.sources.facts import daily_documents, stored_violations, violation_facts
+from spanwatch.streaming import sink
+from spanwatch.streaming.daily import refresh_days, refresh_stale, stale_days
+
+ROWS = [
+    ("A", 1, "2024-03-01 08:00:00", 150.0),
+    ("A", 2, "2024-03-01 08:00:20", 50.0),
+    ("B", 3, "2024-03-02 09:00:00", 95.0),
+]
+
+
+@pytest.fixture
+def batch(spark):
+    return violations(enriched(spark, ROWS))
+
+
+@pytest.fixture
+def table(tmp_path):
+    return str(tmp_path / "violations")
+
+
+def plus(batch, km):
+    return batch.withColumn("speed_limit", F.col("speed_limit") + km)
+
+
+def test_insert_if_absent(spark, batch, table):
+    days = sink.write_violations(batch.unionByName(batch), table, "run", 0)
+    assert sorted(days) == ["2024-03-01", "2024-03-02"]
+    stored = bag(violation_facts(spark, table))
+    assert stored == bag(batch)
+    sink.write_violations(plus(batch, 10), table, "run", 0)  # the same epoch again
+    sink.write_violations(plus(batch, 10), table, "run", 1)  # redelivered later
+    sink.write_violations(plus(batch, 10), table, "other", 0)  # a new checkpoint
+    kept = violation_facts(spark, table)
+    assert kept.count() == 3
+    # Epoch 0 replaced its own rows; nobody else's delivery changed them.
+    assert bag(kept) == bag(plus(batch, 10))
+
+
+def test_first_limit_stays(spark, batch, table):
+    sink.write_violations(plus(batch, 5).unionByName(batch), table, "run", 0)
+    sink.write_violations(plus(batch, -50), table, "run", 1)
+    assert bag(violation_facts(spark, table)) == bag(batch)
+
+
+def test_empty_batch_writes_nothing(spark, batch, table):
+    assert sink.write_violations(batch.limit(0), table, "run", 0) == []
+    assert violation_facts(spark, table).count() == 0
+
+
+def test_new_rows_among_stored_ones(spark, batch, table):
+    sink.write_violations(batch.filter("car_plate = 'A'"), table, "run", 0)
+    sink.write_violations(batch, table, "run", 1)
+    assert bag(violation_facts(spark, table)) == bag(batch)
+    epochs = {r["car_plate"]: r["epoch"] for r in stored_violations(spark, table).collect()}
+    assert epochs == {"A": 0, "B": 1}
+
+
+@pytest.mark.parametrize("limit", ["NAMED_DAYS", "BROADCAST_BATCH_ROWS"])
+def test_large_batches_take_the_other_plan(spark, batch, table, monkeypatch, limit, tmp_path):
+    monkeypatch.setattr(sink, limit, 1)
+    metrics = str(tmp_path / "metrics")
+    for epoch in range(2):
+        sink.write_violations(plus(batch, 10 * epoch), table, "run", epoch, metrics)
+    assert bag(violation_facts(spark, table)) == bag(batch)
+    counts = sink.delivery_metrics(spark, metrics).orderBy("epoch").collect()
+    assert [(c["prepared"], c["inserted"]) for c in counts] == [(3, 3), (3, 0)]
+
+
+def test_metrics_of_a_delivery(spark, batch, table, tmp_path):
+    metrics = str(tmp_path / "metrics")
+    twice = batch.unionByName(batch)
+    sink.write_violations(batch.filter("car_plate = 'A'"), table, "run", 0, metrics)
+    for _ in range(2):
+        sink.write_violations(twice, table, "run", 1, metrics)
+    last = sink.delivery_metrics(spark, metrics).filter("epoch = 1").collect()
+    assert [(m["received"], m["prepared"], m["inserted"], m["already_stored"]) for m in last] == [
+        (6, 3, 1, 2)
+    ]
+
+
+def test_compacted_table_still_knows_what_is_stored(spark, batch, table, tmp_path):
+    for epoch in range(3):
+        sink.write_violations(batch.filter(F.pmod(F.hash("car_plate"), F.lit(3)) >= epoch), table, "r", epoch)
+    sink.write_violations(batch, table, "r", 3)
+    target = str(tmp_path / "compacted")
+    sink.compact(spark, table, target)
+    assert bag(violation_facts(spark, target)) == bag(batch)
+    sink.write_violations(batch, target, "r", 3)
+    assert bag(violation_facts(spark, target)) == bag(batch)
+
+
+def document_sizes(spark, path):
+    return {
+        (d["car_plate"], d["violation_date"]): d["n_violations"]
+        for d in daily_documents(spark, path).collect()
+    }
+
+
+def test_daily_documents_follow_the_facts(spark, batch, table, tmp_path):
+    daily = str(tmp_path / "daily")
+    days = sink.write_violations(batch.filter("violation_type = 'speed'"), table, "r", 0)
+    refresh_days(spark, table, daily, days)
+    assert document_sizes(spark, daily) == {("A", "2024-03-01"): 1, ("B", "2024-03-02"): 1}
+    sink.write_violations(batch, table, "r", 1)
+    assert [row["violation_date"] for row in stale_days(spark, table, daily).collect()] == [
+        "2024-03-01"
+    ]
+    assert refresh_stale(spark, table, daily) == ["2024-03-01"]
+    assert document_sizes(spark, daily) == {("A", "2024-03-01"): 2, ("B", "2024-03-02"): 1}
+    assert refresh_stale(spark, table, daily) == []
