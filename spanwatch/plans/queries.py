@@ -533,6 +533,7 @@ def _run_job(
             f"{folder}/checkpoint",
             LONG,
             daily_path=f"{folder}/daily" if documents_too else None,
+            daily_every=1,
             available_now=True,
         )
 

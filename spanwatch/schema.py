@@ -93,17 +93,18 @@ VIOLATION = _struct(
 # What identifies a violation. The limit is not part of it: the first one stored stays.
 VIOLATION_KEY = ("car_plate", "violation_date", "violation_type", "event_details")
 
-# On disk a violation also carries its event time (for row-group pruning) and the
-# delivery that wrote it. The last three are partition columns.
+# On disk a violation also carries its event time in epoch microseconds (Parquet keeps
+# statistics of whole numbers whatever the session's timestamp format, so row groups can
+# be skipped) and the delivery that wrote it. The day is the partition column.
 STORED_VIOLATION = _struct(
     ("car_plate", _TEXT),
     ("violation_type", _TEXT),
     ("speed_limit", _LONG),
     ("event_details", EVENT_DETAILS),
-    ("event_time", _TIME),
-    ("violation_date", _TEXT),
+    ("event_us", _LONG),
     ("run_id", _TEXT),
     ("epoch", _LONG),
+    ("violation_date", _TEXT),
 )
 
 DAILY_ITEM = _struct(
@@ -121,10 +122,9 @@ DAILY_DOCUMENT = _struct(
 )
 
 DELIVERY_METRICS = _struct(
+    ("run_id", _TEXT),
+    ("epoch", _LONG),
     ("received", _LONG),
     ("prepared", _LONG),
     ("inserted", _LONG),
-    ("already_stored", _LONG),
-    ("run_id", _TEXT),
-    ("epoch", _LONG),
 )

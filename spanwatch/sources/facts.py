@@ -1,32 +1,35 @@
-"""The stored tables: violations, daily documents and delivery metrics.
-
-Violations lie in folders violation_date / run_id / epoch. A delivery owns the folders
-of its run and epoch, so delivering it again replaces exactly what it wrote before.
-"""
+"""The stored tables: violations and daily documents, a folder per day."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from spanwatch.schema import DAILY_DOCUMENT, STORED_VIOLATION, VIOLATION
 
-PARTITIONS = ("violation_date", "run_id", "epoch")
+DAY = "violation_date"
 
 
-def create_table(
-    spark: SparkSession, path: str, schema: T.StructType, partitions: tuple[str, ...]
-) -> None:
+def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty table, unless there is one already."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions).parquet(path)
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(DAY).parquet(path)
 
 
-def stored_violations(spark: SparkSession, path: str) -> DataFrame:
-    """With the technical columns. The schema is declared: partition values would
-    otherwise be guessed to be dates and numbers."""
-    return spark.read.schema(STORED_VIOLATION).parquet(path)
+def stored_violations(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """With the technical columns; of the given days only, whose folders alone are then
+    listed. The schema is declared: the days would otherwise be guessed to be dates."""
+    reader = spark.read.schema(STORED_VIOLATION).option("basePath", path)
+    if days is None:
+        return reader.parquet(path)
+    try:
+        return reader.parquet(f"{path}/{DAY}={{{','.join(days)}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], STORED_VIOLATION)
 
 
-def violation_facts(spark: SparkSession, path: str) -> DataFrame:
+def violation_facts(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
     """Violations as detected, without the technical columns."""
-    return stored_violations(spark, path).select(*VIOLATION.fieldNames())
+    return stored_violations(spark, path, days).select(*VIOLATION.fieldNames())
 
 
 def daily_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -8,26 +8,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanwatch.operators.documents import daily_merge
 from spanwatch.schema import DAILY_DOCUMENT
-from spanwatch.sources.facts import create_table, daily_documents, violation_facts
-
-PARTITIONS = ("violation_date",)
+from spanwatch.sources.facts import DAY, create_table, daily_documents, violation_facts
 
 
 def refresh_days(spark: SparkSession, facts_path: str, daily_path: str, days: list[str]) -> None:
     """Rebuilds the documents of the given days."""
-    create_table(spark, daily_path, DAILY_DOCUMENT, PARTITIONS)
+    create_table(spark, daily_path, DAILY_DOCUMENT)
     if not days:
         return
-    facts = violation_facts(spark, facts_path).filter(F.col("violation_date").isin(days))
     (
-        daily_merge(facts, distinct=True)
+        daily_merge(violation_facts(spark, facts_path, days), distinct=True)
         .withColumn("n_violations", F.size("violations").cast("long"))
         .select(*DAILY_DOCUMENT.fieldNames())
-        .hint("rebalance", "violation_date")
-        .sortWithinPartitions("violation_date", "car_plate", "part")
+        .hint("rebalance", DAY)
+        .sortWithinPartitions(DAY, "car_plate", "part")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
+        .partitionBy(DAY)
         .parquet(daily_path)
     )
 
@@ -36,24 +33,24 @@ def stale_days(spark: SparkSession, facts_path: str, daily_path: str) -> DataFra
     """Days whose documents hold another number of violations than the facts do. Facts
     are only ever added, so equal numbers mean the day is up to date. Finds what a
     stopped or less frequent refresh has left; one row per day at most."""
-    create_table(spark, daily_path, DAILY_DOCUMENT, PARTITIONS)
+    create_table(spark, daily_path, DAILY_DOCUMENT)
     in_facts = (
         violation_facts(spark, facts_path)
-        .groupBy("violation_date")
+        .groupBy(DAY)
         .agg(F.count(F.lit(1)).alias("n_facts"))
     )
     in_documents = (
         daily_documents(spark, daily_path)
-        .groupBy("violation_date")
+        .groupBy(DAY)
         .agg(F.sum("n_violations").alias("n_documents"))
     )
-    return in_facts.join(in_documents, "violation_date", "left").filter(
+    return in_facts.join(in_documents, DAY, "left").filter(
         ~F.col("n_facts").eqNullSafe(F.col("n_documents"))
     )
 
 
 def refresh_stale(spark: SparkSession, facts_path: str, daily_path: str) -> list[str]:
-    stale = stale_days(spark, facts_path, daily_path).select("violation_date")
-    days = sorted(row["violation_date"] for row in stale.collect())
+    stale = stale_days(spark, facts_path, daily_path).select(DAY)
+    days = sorted(row[DAY] for row in stale.collect())
     refresh_days(spark, facts_path, daily_path, days)
     return days

@@ -17,6 +17,8 @@ from spanwatch.operators.enrich import with_limits
 from spanwatch.operators.messages import decode, quality_filter
 from spanwatch.operators.report import longest_violation_s
 from spanwatch.params import Params
+from spanwatch.schema import STORED_VIOLATION
+from spanwatch.sources.facts import create_table
 from spanwatch.streaming.daily import refresh_days, refresh_stale
 from spanwatch.streaming.sink import write_violations
 
@@ -78,24 +80,25 @@ def start(
     params: Params = Params(),
     metrics_path: str | None = None,
     daily_path: str | None = None,
-    daily_every: int = 1,
+    daily_every: int = 60,
     hot_plates: tuple[str, ...] = (),
     available_now: bool = False,
 ) -> StreamingQuery:
     """Starts the job. With a daily path, the documents of the days touched are rebuilt
-    after each epoch, or every `daily_every` epochs for all days that are behind."""
+    every `daily_every` epochs; what a stopped run has left is made up for at the start."""
     warn_if_blind(cameras, params)
+    if daily_path:
+        create_table(messages.sparkSession, facts_path, STORED_VIOLATION)
+        refresh_stale(messages.sparkSession, facts_path, daily_path)
+    touched: set[str] = set()
 
     def deliver(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         run_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        days = write_violations(batch, facts_path, run_id, epoch, metrics_path)
-        if not daily_path:
-            return
-        if daily_every == 1:
-            refresh_days(spark, facts_path, daily_path, days)
-        elif epoch % daily_every == 0:
-            refresh_stale(spark, facts_path, daily_path)
+        touched.update(write_violations(batch, facts_path, run_id, epoch, metrics_path))
+        if daily_path and epoch % daily_every == 0:
+            refresh_days(spark, facts_path, daily_path, sorted(touched))
+            touched.clear()
 
     writer = (
         detected(messages, cameras, params, hot_plates)

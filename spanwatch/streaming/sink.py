@@ -1,19 +1,20 @@
 """Storing violations once, however often they are delivered.
 
-`write_violations` is the body of a foreachBatch. A violation that is stored already
-is left as it is, including its speed limit; a batch delivered again after a failure
-replaces its own files. One writer per table: two at a time could both miss what the
-other is writing.
+`write_violations` is the body of a foreachBatch. It inserts what the table lacks and
+leaves what it has, including its speed limit. That alone makes a repeated delivery
+harmless: after a failure half-way, the files that became visible hold whole rows, which
+the next attempt finds and skips. One writer per table: two at a time could both miss
+what the other is writing.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanwatch.functions.values import event_time
 from spanwatch.schema import DELIVERY_METRICS, STORED_VIOLATION, VIOLATION_KEY
-from spanwatch.sources.facts import PARTITIONS, create_table, stored_violations
+from spanwatch.sources.facts import DAY, create_table, stored_violations
 
 # Up to so many rows a batch is broadcast to the stored table, whose rows then need no
-# shuffle; and up to so many days are named one by one in the partition filter.
+# shuffle; and up to so many days are named one by one.
 BROADCAST_BATCH_ROWS = 200_000
 NAMED_DAYS = 1_000
 
@@ -25,32 +26,27 @@ def _same(left: str, right: str):
     return matched
 
 
-def _days(prepared: DataFrame) -> list:
-    """Rows and time span per day of the batch, at most one day past the limit."""
-    return (
-        prepared.groupBy("violation_date")
-        .agg(
-            F.count(F.lit(1)).alias("prepared"),
-            F.sum("copies").alias("received"),
-            F.min(F.unix_micros("event_time")).alias("first"),
-            F.max(F.unix_micros("event_time")).alias("last"),
-        )
-        .limit(NAMED_DAYS + 1)
-        .collect()
+def _per_day(prepared: DataFrame) -> DataFrame:
+    """Rows and time span per day of the batch."""
+    return prepared.groupBy(DAY).agg(
+        F.count(F.lit(1)).alias("prepared"),
+        F.sum("copies").alias("received"),
+        F.min("event_us").alias("first"),
+        F.max("event_us").alias("last"),
     )
 
 
-def _not_stored(prepared: DataFrame, stored: DataFrame, days: list) -> DataFrame:
-    """Rows of the batch that the table lacks. The days prune partitions and the time
-    span prunes row groups, so a batch reads little more than its own stretch of time."""
-    if len(days) <= NAMED_DAYS:
-        first = F.timestamp_micros(F.lit(min(day["first"] for day in days)))
-        last = F.timestamp_micros(F.lit(max(day["last"] for day in days)))
-        stored = stored.filter(
-            F.col("violation_date").isin([day["violation_date"] for day in days])
-            & F.col("event_time").between(first, last)
-        )
-        if sum(day["prepared"] for day in days) <= BROADCAST_BATCH_ROWS:
+def _not_stored(prepared: DataFrame, path: str, per_day: list) -> DataFrame:
+    """Rows of the batch that the table lacks. The days choose folders and the time span
+    chooses row groups, so a batch reads little more than its own stretch of time."""
+    spark = prepared.sparkSession
+    if len(per_day) > NAMED_DAYS:
+        stored = stored_violations(spark, path)
+    else:
+        first, last = min(day["first"] for day in per_day), max(day["last"] for day in per_day)
+        named = stored_violations(spark, path, [day[DAY] for day in per_day])
+        stored = named.filter(F.col("event_us").between(first, last))
+        if sum(day["prepared"] for day in per_day) <= BROADCAST_BATCH_ROWS:
             keys = F.broadcast(prepared.select(*VIOLATION_KEY).alias("b"))
             stored = stored.alias("t").join(keys, _same("t", "b"), "left_semi")
     return prepared.alias("b").join(
@@ -64,79 +60,65 @@ def write_violations(
     """Inserts the violations of a batch that are not stored yet and returns the days
     the batch is about. An empty batch writes nothing."""
     spark = batch.sparkSession
-    create_table(spark, path, STORED_VIOLATION, PARTITIONS)
+    create_table(spark, path, STORED_VIOLATION)
     prepared = (
         batch.groupBy(*VIOLATION_KEY)
         .agg(F.min("speed_limit").alias("speed_limit"), F.count(F.lit(1)).alias("copies"))
-        .withColumn("event_time", event_time("event_details"))
+        .withColumn("event_us", F.unix_micros(event_time("event_details")))
         .persist()
     )
     try:
-        days = _days(prepared)
-        if not days:
+        per_day = _per_day(prepared).limit(NAMED_DAYS + 1).collect()
+        if not per_day:
             return []
-        this_delivery = (F.col("run_id") == run_id) & (F.col("epoch") == epoch)
-        other_deliveries = stored_violations(spark, path).filter(~this_delivery)
         (
-            _not_stored(prepared, other_deliveries, days)
+            _not_stored(prepared, path, per_day)
             .withColumns({"run_id": F.lit(run_id), "epoch": F.lit(epoch).cast("long")})
             .select(*STORED_VIOLATION.fieldNames())
-            .hint("rebalance", "violation_date")
-            .sortWithinPartitions(*PARTITIONS, "car_plate", "event_time")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*PARTITIONS)
+            .hint("rebalance", DAY)
+            .sortWithinPartitions(DAY, "car_plate", "event_us")
+            .write.mode("append")
+            .partitionBy(DAY)
             .parquet(path)
         )
-        if len(days) > NAMED_DAYS:
-            days = prepared.groupBy("violation_date").agg(
-                F.count(F.lit(1)).alias("prepared"), F.sum("copies").alias("received")
-            ).collect()
+        if len(per_day) > NAMED_DAYS:
+            per_day = _per_day(prepared).collect()
+        days = [day[DAY] for day in per_day]
         if metrics_path:
-            received, n_prepared = (sum(day[n] for day in days) for n in ("received", "prepared"))
-            # Only the file footers of this delivery are read.
-            inserted = stored_violations(spark, path).filter(this_delivery).count()
-            _write_metrics(spark, metrics_path, run_id, epoch, received, n_prepared, inserted)
-        return [day["violation_date"] for day in days]
+            written = stored_violations(spark, path, days if len(days) <= NAMED_DAYS else None)
+            inserted = written.filter((F.col("run_id") == run_id) & (F.col("epoch") == epoch))
+            counts = (sum(day[name] for day in per_day) for name in ("received", "prepared"))
+            _append_metrics(spark, metrics_path, (run_id, epoch, *counts, inserted.count()))
+        return days
     finally:
         prepared.unpersist()
 
 
-def _write_metrics(
-    spark: SparkSession,
-    path: str,
-    run_id: str,
-    epoch: int,
-    received: int,
-    prepared: int,
-    inserted: int,
-) -> None:
-    row = (received, prepared, inserted, prepared - inserted, run_id, epoch)
-    (
-        spark.createDataFrame([row], DELIVERY_METRICS)
-        .coalesce(1)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", "epoch")
-        .parquet(path)
-    )
+def _append_metrics(spark: SparkSession, path: str, row: tuple) -> None:
+    spark.createDataFrame([row], DELIVERY_METRICS).coalesce(1).write.mode("append").parquet(path)
 
 
 def delivery_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Received, prepared, inserted and already stored counts per delivery."""
-    return spark.read.schema(DELIVERY_METRICS).parquet(path)
+    """Received, prepared, inserted and already stored counts per delivery. A delivery
+    that was repeated has several lines; each count can only have grown."""
+    return (
+        spark.read.schema(DELIVERY_METRICS)
+        .parquet(path)
+        .groupBy("run_id", "epoch")
+        .agg(*[F.max(name).alias(name) for name in ("received", "prepared", "inserted")])
+        .withColumn("already_stored", F.col("prepared") - F.col("inserted"))
+    )
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """The table rewritten to a new path with few files a day, in plate order. Run it
-    while the writer is stopped, then point the writer at the new path: what was
-    compacted counts as stored, so a batch delivered once more adds nothing."""
+def compact(spark: SparkSession, path: str, target: str, days: list[str] | None = None) -> None:
+    """The table, or some of its days, rewritten to a new path with few files a day in
+    plate order. Run it while the writer is stopped, then point the writer at the new
+    path; what has been compacted counts as stored."""
     (
-        stored_violations(spark, path)
-        .withColumns({"run_id": F.lit("compacted"), "epoch": F.lit(0).cast("long")})
-        .hint("rebalance", "violation_date")
-        .sortWithinPartitions(*PARTITIONS, "car_plate", "event_time")
+        stored_violations(spark, path, days)
+        .hint("rebalance", DAY)
+        .sortWithinPartitions(DAY, "car_plate", "event_us")
         .write.mode("errorifexists")
-        .partitionBy(*PARTITIONS)
+        .partitionBy(DAY)
         .parquet(target)
     )

@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from rows import enriched
 from spanwatch.operators.detect import average_violations, violations
@@ -11,9 +12,9 @@ from spanwatch.operators.enrich import with_limits
 from spanwatch.operators.report import hotspots, vehicle_day
 from spanwatch.operators.segments import segment_pairs
 from spanwatch.plans.queries import QUERIES
-from spanwatch.sources.facts import violation_facts
+from spanwatch.sources.facts import stored_violations, violation_facts
 from spanwatch.sources.tables import camera_events
-from spanwatch.streaming.sink import write_violations
+from spanwatch.streaming.sink import _not_stored, write_violations
 
 # Queries that write tables first; what they then return is a plain scan.
 WRITERS = ("stream", "sink", "daily_doc", "violation_fact", "vehicle_day", "violation_prev", "csv")
@@ -62,6 +63,28 @@ def test_lookup_reads_one_day(spark, tmp_path):
     assert "EqualTo(car_plate,A)" in text
 
 
+def test_a_delivery_reads_its_days_and_its_stretch_of_time(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    rows = [("A", 1, f"2024-03-0{n} 08:00:00", 150.0) for n in (1, 2, 3)]
+    found = violations(enriched(spark, rows))
+    write_violations(found, path, "run", 0)
+    prepared = found.withColumn("event_us", F.unix_micros("event_details.timestamp"))
+    day = {"violation_date": "2024-03-02", "first": 5, "last": 7, "prepared": 1}
+    text = plan(_not_stored(prepared, path, [day]))
+    assert "GreaterThanOrEqual(event_us,5), LessThanOrEqual(event_us,7)" in text
+    assert "BroadcastHashJoin" in text
+    files = stored_violations(spark, path, ["2024-03-02", "1999-01-01"]).inputFiles()
+    assert len(files) == 1 and "violation_date=2024-03-02" in files[0]
+    assert stored_violations(spark, path, ["1999-01-01"]).count() == 0
+
+
+def test_facts_are_written_in_one_pass_by_day(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    rows = [("A", 1, f"2024-03-0{1 + n % 3} 08:{n:02d}:00", 150.0) for n in range(60)]
+    write_violations(violations(enriched(spark, rows)), path, "run", 0)
+    assert len(violation_facts(spark, path).inputFiles()) == 3
+
+
 def test_hotspots_count_before_they_join(spark, cams):
     found = violations(with_limits(camera_events(spark, SF), cams))
     text = plan(hotspots(found, cams, 2.157730731, 102.6601002, 1.5))

@@ -17,6 +17,7 @@ from spanwatch.sources.dimensions import cameras
 from spanwatch.sources.events import file_messages
 from spanwatch.sources.facts import daily_documents, violation_facts
 from spanwatch.streaming import job, replay
+from spanwatch.streaming.daily import refresh_stale
 from spanwatch.streaming.sink import delivery_metrics
 
 START = datetime(2024, 3, 1, 8)
@@ -71,6 +72,7 @@ def test_stream_equals_batch(spark, tmp_path, hot_plates):
         hot_plates=hot_plates,
         metrics_path=f"{tmp_path}/metrics",
         daily_path=f"{tmp_path}/daily",
+        daily_every=1,
     )
     wanted = violations(enriched(spark, rows)).distinct()
     assert bag(stored) == bag(wanted) and wanted.count() > 10
@@ -108,10 +110,8 @@ def test_documents_refreshed_less_often_catch_up(spark, tmp_path):
         by_minute(1),
         3,
         daily_path=f"{tmp_path}/daily",
-        daily_every=2,
+        daily_every=100,
     )
-    from spanwatch.streaming.daily import refresh_stale
-
     refresh_stale(spark, f"{tmp_path}/violations", f"{tmp_path}/daily")
     documented = daily_documents(spark, f"{tmp_path}/daily").agg(F.sum("n_violations")).first()[0]
     assert documented == stored.count()
