@@ -30,11 +30,15 @@ def encode(events: DataFrame, ingested_at: Column | None = None) -> DataFrame:
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Typed passages from messages. Whatever cannot be read becomes null."""
+    """Typed passages from messages. Whatever cannot be read becomes null.
+
+    The struct is unfolded by a generator of one row: filters on its fields stay above
+    it. Pushed below a plain projection, each would read the JSON once more.
+    """
     parsed = messages.select(
         F.col("key").cast("string").alias("kafka_key"),
-        F.from_json(F.col("value").cast("string"), WIRE_EVENT).alias("event"),
-    ).select("kafka_key", "event.*")
+        F.inline_outer(F.array(F.from_json(F.col("value").cast("string"), WIRE_EVENT))),
+    )
     return parsed.withColumns(
         {
             "car_plate": plate_or_null(F.col("car_plate")),

@@ -130,19 +130,29 @@ def csv_event_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kafka_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages, and what their JSON text says."""
     stamp = F.lit(replay.REPLAY_TIME).cast("timestamp")
+    fields = [
+        "event_id",
+        "batch_id",
+        "camera_id",
+        "timestamp",
+        "speed_reading",
+        "producer_id",
+        "ingestion_timestamp",
+    ]
     encoded = messages.encode(tables.camera_events(spark, sf_dir), stamp)
-    field = lambda name: F.get_json_object("value", f"$.{name}")
-    return encoded.select(
+    read = encoded.select("key", "topic", F.json_tuple("value", *fields).alias(*fields))
+    return read.select(
         "key",
         "topic",
-        field("event_id").alias("event_id"),
-        field("batch_id").cast("long").alias("batch_id"),
-        field("camera_id").cast("int").alias("camera_id"),
-        field("timestamp").alias("ts_text"),
-        field("speed_reading").cast("double").alias("speed_reading"),
-        field("producer_id").alias("producer_id"),
-        field("ingestion_timestamp").alias("ingested"),
+        "event_id",
+        F.col("batch_id").cast("long").alias("batch_id"),
+        F.col("camera_id").cast("int").alias("camera_id"),
+        F.col("timestamp").alias("ts_text"),
+        F.col("speed_reading").cast("double").alias("speed_reading"),
+        "producer_id",
+        F.col("ingestion_timestamp").alias("ingested"),
     )
 
 
@@ -527,7 +537,7 @@ def _run_job(
 ) -> str:
     def start(landing: str, folder: str):
         return job.start(
-            sources.file_messages(spark, landing),
+            job.passages(sources.file_messages(spark, landing)),
             _long_cameras(spark),
             f"{folder}/violations",
             f"{folder}/checkpoint",

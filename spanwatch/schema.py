@@ -41,6 +41,19 @@ WIRE_EVENT = _struct(
     ("producer_id", _TEXT),
 )
 
+# A decoded passage, as a table of them is stored.
+PASSAGE = _struct(
+    ("kafka_key", _TEXT),
+    ("event_id", _TEXT),
+    ("batch_id", _LONG),
+    ("car_plate", _TEXT),
+    ("camera_id", _INT),
+    ("timestamp", _TIME),
+    ("speed_reading", _REAL),
+    ("ingestion_timestamp", _TIME),
+    ("producer_id", _TEXT),
+)
+
 # The columns of a per-camera CSV file, in file order.
 CSV_EVENT = _struct(
     ("event_id", _TEXT),

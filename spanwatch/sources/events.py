@@ -5,7 +5,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from spanwatch.functions.times import parse_time
 from spanwatch.functions.values import plate_or_null, real_number
 from spanwatch.params import Params
-from spanwatch.schema import CAMERA_TOPIC_PREFIX, CSV_EVENT, MESSAGE, PRODUCER_PREFIX
+from spanwatch.schema import (
+    CAMERA_TOPIC_PREFIX,
+    CSV_EVENT,
+    MESSAGE,
+    PASSAGE,
+    PRODUCER_PREFIX,
+)
 
 
 def csv_events(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -54,9 +60,18 @@ def kafka_messages(
     )
 
 
-def file_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same message shape streamed from Parquet files as they land in a folder."""
-    reader = spark.readStream.schema(MESSAGE)
+def _file_stream(spark: SparkSession, schema, path: str, max_files: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
+
+
+def file_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The same message shape streamed from Parquet files as they land in a folder."""
+    return _file_stream(spark, MESSAGE, path, max_files)
+
+
+def stored_passages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Passages streamed from the table that a decoding stream writes."""
+    return _file_stream(spark, PASSAGE, path, max_files)

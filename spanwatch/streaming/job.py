@@ -1,6 +1,10 @@
-"""The streaming job: messages in, violations stored once, documents refreshed.
+"""The streaming job: passages in, violations stored once, documents refreshed.
 
 The plan is the batch plan; only the source, the watermarked join and the sink differ.
+The source is read by three branches: readings, entries and exits. To read Kafka and its
+JSON once only, let one stream append `passages` to a table with `append_table` and
+start the job on `stored_passages` of it, at the price of one more hop.
+
 The number of shuffle partitions is fixed by the first run of a checkpoint, so set
 spark.sql.shuffle.partitions to what the busiest hour needs before starting.
 """
@@ -53,13 +57,13 @@ def passages(messages: DataFrame) -> DataFrame:
 
 
 def detected(
-    messages: DataFrame,
+    events: DataFrame,
     cameras: DataFrame,
     params: Params = Params(),
     hot_plates: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Violations from messages, batch or stream."""
-    return violations(with_limits(passages(messages), cameras, params), params, hot_plates)
+    """Violations from passages, batch or stream."""
+    return violations(with_limits(events, cameras, params), params, hot_plates)
 
 
 def warn_if_blind(cameras: DataFrame, params: Params) -> None:
@@ -73,7 +77,7 @@ def warn_if_blind(cameras: DataFrame, params: Params) -> None:
 
 
 def start(
-    messages: DataFrame,
+    events: DataFrame,
     cameras: DataFrame,
     facts_path: str,
     checkpoint: str,
@@ -88,8 +92,8 @@ def start(
     every `daily_every` epochs; what a stopped run has left is made up for at the start."""
     warn_if_blind(cameras, params)
     if daily_path:
-        create_table(messages.sparkSession, facts_path, STORED_VIOLATION)
-        refresh_stale(messages.sparkSession, facts_path, daily_path)
+        create_table(events.sparkSession, facts_path, STORED_VIOLATION)
+        refresh_stale(events.sparkSession, facts_path, daily_path)
     touched: set[str] = set()
 
     def deliver(batch: DataFrame, epoch: int) -> None:
@@ -101,12 +105,12 @@ def start(
             touched.clear()
 
     writer = (
-        detected(messages, cameras, params, hot_plates)
+        detected(events, cameras, params, hot_plates)
         .writeStream.foreachBatch(deliver)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    return _started(writer, messages.sparkSession, params, available_now)
+    return _started(writer, events.sparkSession, params, available_now)
 
 
 def _started(

@@ -14,7 +14,7 @@ from spanwatch.operators.enrich import with_limits
 from spanwatch.operators.segments import segment_pairs
 from spanwatch.params import Params
 from spanwatch.sources.dimensions import cameras
-from spanwatch.sources.events import file_messages
+from spanwatch.sources.events import file_messages, stored_passages
 from spanwatch.sources.facts import daily_documents, violation_facts
 from spanwatch.streaming import job, replay
 from spanwatch.streaming.daily import refresh_stale
@@ -43,7 +43,7 @@ def run(spark, tmp_path, events, wave, waves, **options):
         wave,
         waves,
         lambda: job.start(
-            file_messages(spark, f"{folder}/landing"),
+            job.passages(file_messages(spark, f"{folder}/landing")),
             cameras(spark),
             f"{folder}/violations",
             f"{folder}/checkpoint",
@@ -82,6 +82,29 @@ def test_stream_equals_batch(spark, tmp_path, hot_plates):
     assert inserted == documented == wanted.count()
 
 
+def test_decoding_and_detecting_as_two_streams(spark, tmp_path):
+    rows = traffic(60, plates=2)
+    folder = str(tmp_path)
+    replay.create_landing(spark, f"{folder}/landing")
+
+    def resume():
+        decoded = job.passages(file_messages(spark, f"{folder}/landing"))
+        job.append_table(
+            decoded, f"{folder}/passages", f"{folder}/checkpoint1", available_now=True
+        ).awaitTermination()
+        return job.start(
+            stored_passages(spark, f"{folder}/passages"),
+            cameras(spark),
+            f"{folder}/violations",
+            f"{folder}/checkpoint2",
+            available_now=True,
+        )
+
+    replay.release(passages(spark, rows), f"{folder}/landing", by_minute(1), 3, resume)
+    wanted = violations(enriched(spark, rows)).distinct()
+    assert bag(violation_facts(spark, f"{folder}/violations")) == bag(wanted)
+
+
 def test_late_rows_miss_the_join_only(spark, tmp_path):
     rows = [
         ("A", 1, "08:00:00", 50.0),
