@@ -18,3 +18,10 @@ def heavy_keys(rows: DataFrame, keys: list[str], above: int, slices: str) -> Dat
         .limit(MAX_HEAVY_KEYS)
         .select(*keys, F.ceil(F.col("_n") / above).alias(slices))
     )
+
+
+def heaviest(rows: DataFrame, key: str, above: int, most: int = 1_000) -> tuple:
+    """The values of a key with more than `above` rows, at most `most` of them: the plates
+    to name to a stream, from a table of past passages."""
+    heavy = heavy_keys(rows, [key], above, "_slices").orderBy(F.desc("_slices"), key)
+    return tuple(row[key] for row in heavy.limit(most).select(key).collect())
