@@ -1,14 +1,15 @@
 """Passages of one vehicle at two cameras within the tolerance.
 
 Batch: an interval join cannot be planned as such, so both sides get a time bin and
-are joined on (plate, bin). The bin also spreads a plate that is read very often.
-Groups that are hot even so are found by a sketch and split further.
+are joined on (plate, bin). The bin also spreads a plate that is read very often. Plates
+that are hot even so are found by a sketch and split by camera order, and by salt where
+that is not enough.
 
 Stream: Spark's own stream-stream join, whose state is bounded by the watermark and
 by the tolerance.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spanwatch.functions.times import whole_seconds
 from spanwatch.operators.enrich import ROAD
@@ -17,13 +18,12 @@ from spanwatch.params import Params
 PASSAGE = ["car_plate", "camera_id", "timestamp", "speed_limit"]
 CARRIED = ["event_id", "batch_id", "speed_reading", "producer_id", "kafka_key"]
 
-# Sketch sizes: a day of passages is summarised in one sketch of 4096 groups, of which
-# the 16 largest are looked at. At most MAX_HOT_GROUPS of them are split; the others
-# are joined as they are, so none of these numbers changes the result.
-SKETCH_GROUPS, SKETCH_TOP, MAX_HOT_GROUPS = 4096, 16, 10_000
-HOT_GROUPS = T.StructType(
-    [T.StructField("_group", T.LongType()), T.StructField("_group_salts", T.LongType())]
-)
+# Sketch sizes: a day of passages is summarised in one sketch of 4096 plates, of which the
+# 64 largest are looked at. The lists made from it are cut at MAX_HOT entries; what is cut
+# is joined as it is, so none of these numbers changes the result.
+SKETCH_PLATES, SKETCH_TOP, MAX_HOT = 4096, 64, 10_000
+HOT_DAYS = "_plate_day BIGINT"
+HOT_LANES = "_group BIGINT, _on_lane BIGINT, _salts BIGINT"
 
 
 def segment_pairs(
@@ -66,10 +66,10 @@ def _joined(start: DataFrame, end: DataFrame, shown: list[str], params: Params)
     )
 
 
-# -- splitting a hot group --------------------------------------------------
+# -- splitting a hot plate --------------------------------------------------
 
 
-def _order_lanes(role_bit: int) -> Column:
+def _order_lanes(role: str) -> Column:
     """Join lanes that say "this camera comes before that one" as an equality.
 
     For two ranks a < b there is exactly one bit above which they agree and at which a
@@ -81,24 +81,26 @@ def _order_lanes(role_bit: int) -> Column:
     return F.expr(
         "transform("
         "  filter(sequence(0, greatest(ceil(log2(road_ranks)), 1) - 1),"
-        f"        bit -> (shiftright(road_rank, int(bit)) & 1) = {role_bit}),"
+        f"        bit -> (shiftright(road_rank, int(bit)) & 1) = {0 if role == 'start' else 1}),"
         "  bit -> bit * 4294967296 + shiftright(road_rank, int(bit) + 1))"
     )
 
 
-def _split(side: DataFrame, role: str, hot: Column, salts: Column) -> DataFrame:
-    """Adds the lane and the salt. Rows of ordinary groups get one of each. Every row
-    of a hot group is compared with thousands of others, so the copies cost little."""
-    one = F.array(F.lit(0).cast("long"))
-    lanes = F.when(F.col("_hot"), _order_lanes(0 if role == "start" else 1))
-    side = side.withColumns({"_hot": hot, "_salts": salts}).withColumn(
+def _with_lanes(side: DataFrame, role: str, hot: Column) -> DataFrame:
+    """One row per lane for hot plates; the others share the lane -1."""
+    lanes = F.when(F.col("_hot"), _order_lanes(role))
+    return side.withColumn("_hot", hot).withColumn(
         "_on_lane", F.explode(lanes.otherwise(F.array(F.lit(-1).cast("long"))))
     )
+
+
+def _with_salts(side: DataFrame, role: str, salts: Column) -> DataFrame:
+    """Start rows are spread over the salts, end rows are copied to each of them."""
     if role == "start":
-        salt = F.pmod(F.xxhash64("timestamp", "camera_id", "event_id"), F.col("_salts"))
-        return side.withColumn("_on_salt", F.when(F.col("_hot"), salt).otherwise(0))
-    every = F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)
-    return side.withColumn("_on_salt", F.explode(F.when(F.col("_hot"), every).otherwise(one)))
+        return side.withColumn(
+            "_on_salt", F.pmod(F.xxhash64("timestamp", "camera_id", "event_id"), salts)
+        )
+    return side.withColumn("_on_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
 
 
 # -- batch ------------------------------------------------------------------
@@ -108,21 +110,50 @@ def _bin(params: Params) -> Column:
     return F.floor(whole_seconds(F.col("timestamp")) / params.bin_width_s)
 
 
-def hot_groups(passages: DataFrame, params: Params) -> DataFrame:
-    """Hash and salt count of each (plate, bin) group with very many rows. The salt
-    count grows with the group, so a salt holds about the threshold of start rows."""
+def _plate_day(params: Params) -> Column:
+    return F.xxhash64("car_plate", F.floor(F.col("_on_bin") * params.bin_width_s / 86_400))
+
+
+def hot_days(binned: DataFrame, params: Params) -> DataFrame:
+    """Hashes of (plate, day) with very many rows, estimated in one pass."""
     day = F.floor(F.col("_on_bin") * params.bin_width_s / 86_400)
     return (
-        passages.withColumn("_on_bin", _bin(params))
-        .select(F.xxhash64("car_plate", "_on_bin").alias("_group"), day.alias("_day"))
+        binned.select(day.alias("_day"), _plate_day(params).alias("_plate_day"))
         .groupBy("_day")
-        .agg(F.expr(f"approx_top_k(_group, {SKETCH_TOP}, {SKETCH_GROUPS})").alias("_top"))
+        .agg(F.expr(f"approx_top_k(_plate_day, {SKETCH_TOP}, {SKETCH_PLATES})").alias("_top"))
         .select(F.inline("_top"))
         .filter(F.col("count") > params.hot_group_rows)
-        .groupBy(F.col("item").alias("_group"))
-        .agg(F.ceil(F.sum("count") / params.hot_group_rows).alias("_group_salts"))
-        .orderBy(F.desc("_group_salts"))
-        .limit(MAX_HOT_GROUPS)
+        .orderBy(F.desc("count"), "item")
+        .limit(MAX_HOT)
+        .select(F.col("item").alias("_plate_day"))
+        .distinct()
+    )
+
+
+def hot_lanes(start: DataFrame, end: DataFrame, params: Params) -> DataFrame:
+    """Salt counts of the lanes of hot plates that have very many start rows and any end
+    row at all. A salt holds about the threshold of start rows. Every end row of such a
+    lane is compared with thousands of start rows, so its few copies do not matter."""
+
+    def counted(side: DataFrame, starts: int) -> DataFrame:
+        return side.filter("_hot").select(
+            F.xxhash64("car_plate", "_on_bin").alias("_group"),
+            "_on_lane",
+            F.lit(starts).alias("_start"),
+            F.lit(1 - starts).alias("_end"),
+        )
+
+    return (
+        counted(start, 1)
+        .union(counted(end, 0))
+        .groupBy("_group", "_on_lane")
+        .agg(F.sum("_start").alias("_starts"), F.sum("_end").alias("_ends"))
+        .filter((F.col("_starts") > params.hot_group_rows) & (F.col("_ends") > 0))
+        .orderBy(F.desc("_starts"), "_group", "_on_lane")
+        .limit(MAX_HOT)
+        .select(
+            "_group", "_on_lane", F.ceil(F.col("_starts") / params.hot_group_rows).alias("_salts")
+        )
     )
 
 
@@ -135,25 +166,34 @@ def _binned_sides(passages: DataFrame, params: Params) -> tuple[DataFrame, DataF
         "_on_bin", F.explode(reached.otherwise(F.array(own)))
     )
     end = passages.filter(~F.col("road_first")).withColumn("_on_bin", own)
+    if not params.split_hot_groups:
+        return start, end
+
+    # The sketch is an estimate and may differ when computed again. Both sides must be
+    # split alike, so the few rows it gives are fixed here; so are those of the lanes.
+    spark = passages.sparkSession
+    days = hot_days(passages.withColumn("_on_bin", own), params).collect()
+    if not days:
+        return start, end
+    hot = F.broadcast(spark.createDataFrame(days, HOT_DAYS).withColumn("_found", F.lit(True)))
+
+    def laned(side: DataFrame, role: str) -> DataFrame:
+        marked = side.withColumn("_plate_day", _plate_day(params)).join(hot, "_plate_day", "left")
+        return _with_lanes(marked, role, F.col("_found").isNotNull())
 
-    # The sketch is an estimate and may differ when computed again. Both sides must
-    # split the same groups the same way, so its few rows are fixed here.
-    found = hot_groups(passages, params).collect() if params.split_hot_groups else []
-    if not found:
+    start, end = laned(start, "start"), laned(end, "end")
+    lanes = hot_lanes(start, end, params).collect()
+    if not lanes:
         return start, end
-    hot = passages.sparkSession.createDataFrame(found, HOT_GROUPS)
-
-    def split(side: DataFrame, role: str) -> DataFrame:
-        marked = side.withColumn("_group", F.xxhash64("car_plate", "_on_bin"))
-        salts = F.col("_group_salts")
-        return _split(
-            marked.join(F.broadcast(hot), "_group", "left"),
-            role,
-            salts.isNotNull(),
-            F.coalesce(salts, F.lit(1).cast("long")),
+    salted = F.broadcast(spark.createDataFrame(lanes, HOT_LANES))
+
+    def spread(side: DataFrame, role: str) -> DataFrame:
+        marked = side.withColumn("_group", F.xxhash64("car_plate", "_on_bin")).join(
+            salted, ["_group", "_on_lane"], "left"
         )
+        return _with_salts(marked, role, F.coalesce("_salts", F.lit(1).cast("long")))
 
-    return split(start, "start"), split(end, "end")
+    return spread(start, "start"), spread(end, "end")
 
 
 # -- stream -----------------------------------------------------------------
@@ -170,5 +210,8 @@ def _stream_sides(
     if not hot_plates:
         return start, end
     hot = F.col("car_plate").isin(*hot_plates)
-    salts = F.lit(params.hot_salts).cast("long")
-    return _split(start, "start", hot, salts), _split(end, "end", hot, salts)
+    salts = F.when(F.col("_hot"), params.hot_salts).otherwise(1).cast("long")
+    return (
+        _with_salts(_with_lanes(start, "start", hot), "start", salts),
+        _with_salts(_with_lanes(end, "end", hot), "end", salts),
+    )

@@ -20,7 +20,8 @@ class Params:
     # only if it lies in the last tolerance of its own, so copies cost 1/bin_span.
     bin_span: int = 4
 
-    # (plate, bin) groups above this many rows are split by camera order and salt.
+    # Plates with more rows than this in a day are split by camera order, and groups of
+    # (plate, bin) with more start rows than this by salt.
     split_hot_groups: bool = True
     hot_group_rows: int = 20_000
     # Salts of a plate that a stream is told to be hot.

@@ -60,6 +60,22 @@ def kafka_messages(
     )
 
 
+def publish_options(servers: str) -> dict[str, str]:
+    """Writer options: every message acknowledged by all replicas, and compressed."""
+    return {
+        "kafka.bootstrap.servers": servers,
+        "kafka.acks": "all",
+        "kafka.retries": "3",
+        "kafka.retry.backoff.ms": "100",
+        "kafka.compression.type": "gzip",
+    }
+
+
+def publish(messages: DataFrame, servers: str) -> None:
+    """Writes messages to the topics they name. Needs the connector package."""
+    messages.write.format("kafka").options(**publish_options(servers)).save()
+
+
 def _file_stream(spark: SparkSession, schema, path: str, max_files: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if max_files:

@@ -3,7 +3,7 @@ import json
 from rows import bag, passages
 from spanwatch.operators.messages import decode, encode, quality_filter, rejected
 from spanwatch.schema import MESSAGE
-from spanwatch.sources.events import csv_events, kafka_options
+from spanwatch.sources.events import csv_events, kafka_options, publish_options
 
 GOOD = {
     "event_id": 7,
@@ -93,3 +93,7 @@ def test_kafka_reader_options():
     assert options["failOnDataLoss"] == "false"
     assert options["startingOffsets"] == "latest"
     assert "group.id" not in options
+
+
+def test_kafka_writer_options():
+    assert publish_options("broker:9092")["kafka.acks"] == "all"

@@ -7,7 +7,14 @@ from spanwatch.operators.detect import violations
 from spanwatch.operators.dimension import measured
 from spanwatch.operators.enrich import with_limits
 from spanwatch.schema import CAMERAS
-from spanwatch.sources.dimensions import cameras, cameras_csv, vehicle_issues, vehicles_csv
+from spanwatch.sources.dimensions import (
+    cameras,
+    cameras_csv,
+    store_vehicles,
+    stored_vehicles,
+    vehicle_issues,
+    vehicles_csv,
+)
 
 VEHICLES = (
     "car_plate,owner_name,owner_addr,vehicle_type,registration_date\n"
@@ -39,6 +46,12 @@ def test_registry_flaws(vehicles):
     }
 
 
+def test_stored_registry_is_the_registry(spark, vehicles, tmp_path):
+    path = str(tmp_path / "vehicles")
+    store_vehicles(vehicles, path)
+    assert bag(stored_vehicles(spark, path)) == bag(vehicles)
+
+
 def test_camera_file_gives_the_same_dimension(spark, tmp_path, cams):
     lines = ["camera_id,latitude,longitude,position,speed_limit"]
     lines += [",".join(map(str, row)) for row in CAMERAS]

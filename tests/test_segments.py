@@ -5,9 +5,10 @@ from datetime import datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from rows import enriched
-from spanwatch.operators.segments import hot_groups, segment_pairs
+from spanwatch.operators.segments import _binned_sides, segment_pairs
 from spanwatch.params import Params
 from spanwatch.sources.dimensions import cameras
 
@@ -71,11 +72,30 @@ def test_copies_of_a_passage_pair_as_often_as_they_come(spark):
         assert segment_pairs(enriched(spark, rows, params), params).count() == 12
 
 
-def test_the_hot_group_is_found_and_gets_salts_for_its_size(spark):
+def sides(spark, rows, params):
+    return _binned_sides(enriched(spark, rows, params), params)
+
+
+def test_a_hot_plate_is_split_by_its_size(spark):
     rows = [("HOT", 1 + n % 3, f"08:00:{n % 60:02d}", 50.0) for n in range(1000)]
     rows += [(f"P{n}", 1, "08:00:00", 50.0) for n in range(2000)]
     params = Params(hot_group_rows=100)
-    assert [row["_group_salts"] for row in hot_groups(enriched(spark, rows), params).collect()] == [10]
+    start, end = sides(spark, rows, params)
+    hot = end.filter("_hot").groupBy("_on_lane").agg(F.max("_on_salt").alias("last"))
+    assert sorted(row["last"] for row in hot.collect()) == [3, 6]
+    assert start.filter("NOT _hot").count() == 2000
+
+
+def test_a_plate_at_one_camera_only_is_not_copied(spark):
+    rows = [("HOT", 2, f"08:00:{n % 60:02d}", 50.0) for n in range(1000)]
+    start, end = sides(spark, rows, Params(hot_group_rows=100))
+    assert start.count() == end.count() == 1000
+    assert start.join(end, ["car_plate", "_on_bin", "_on_lane"]).count() == 0
+
+
+def test_a_table_without_hot_plates_is_left_alone(spark):
+    start, end = sides(spark, [("A", 1, "08:00:00", 50.0)], Params())
+    assert [name for name in start.columns if name.startswith("_")] == ["_on_bin"]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -23,6 +23,15 @@ from spanwatch.streaming.sink import delivery_metrics
 START = datetime(2024, 3, 1, 8)
 
 
+@pytest.fixture(autouse=True)
+def few_state_partitions(spark):
+    """Each partition of the state costs files per micro-batch; two are enough here."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def traffic(seconds, plates=3):
     """Vehicles that pass the three cameras at different speeds, one wave a minute."""
     rows = []
@@ -118,8 +127,8 @@ def test_late_rows_miss_the_join_only(spark, tmp_path):
 
 
 def test_state_stays_bounded(spark, tmp_path):
-    rows = traffic(900, plates=1)
-    _, queries = run(spark, tmp_path, passages(spark, rows), by_minute(3), 5)
+    rows = traffic(720, plates=1)
+    _, queries = run(spark, tmp_path, passages(spark, rows), by_minute(3), 4)
     held = [job.state_rows(query)[-1] for query in queries]
     assert max(held[2:]) <= max(held[:2])
 
