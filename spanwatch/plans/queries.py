@@ -16,7 +16,7 @@ from spanwatch.params import Params
 from spanwatch.schema import CAMERAS, SPEED
 from spanwatch.sources import dimensions, events as sources, facts, tables
 from spanwatch.streaming import job, replay, sink
-from spanwatch.workspace import fresh_folder, use_utc
+from spanwatch.workspace import fresh_folder
 
 LONG = Params(tolerance_s=tables.LONG_TOLERANCE_S)
 WAVES = 4
@@ -92,8 +92,7 @@ def camera_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vehicle_dim_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks a registry with flaws: customers ending in 9 carry the plate of their
     predecessor, and the machinery segment drives a type that is not on the list."""
-    use_utc(spark)
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = tables.table(spark, sf_dir, "customer")
     number = F.when(F.col("c_custkey") % 10 == 9, F.col("c_custkey") - 1).otherwise(
         F.col("c_custkey")
     )
@@ -158,8 +157,7 @@ def kafka_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The free-form properties of the events, read with a declared schema."""
-    use_utc(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = tables.table(spark, sf_dir, "events")
     return events.select("event_id", F.from_json("props", "k BIGINT").alias("p")).select(
         "event_id", "p.k"
     )
@@ -449,7 +447,7 @@ def violation_fact_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(facts.violation_facts(spark, path))
 
 
-LOOKUP_PLATE, LOOKUP_DAY = "P00008", "2024-01-10"
+LOOKUP_PLATE, LOOKUP_DAY = "P00003", "2024-01-27"
 
 
 def vehicle_day_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,17 @@ LONG_CORRIDOR = tuple(
 )
 LONG_TOLERANCE_S = 21_600
 
+# The columns used of the test tables. Declared, so that no job is spent on looking.
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, value DOUBLE, props STRING"
+CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING"
+NATION = "n_nationkey INT, n_name STRING"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    use_utc(spark)
+    schema = {"events": EVENTS, "customer": CUSTOMER, "nation": NATION}[name]
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+
 
 def _plate(number: str):
     return F.concat(F.lit("P"), F.lpad(F.col(number).cast("string"), 5, "0"))
@@ -19,11 +30,10 @@ def _plate(number: str):
 
 def camera_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as passages: the user is the vehicle, the id picks one of three cameras."""
-    use_utc(spark)
     camera = (F.col("event_id") % 3 + 1).cast("int")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
-        F.floor(F.col("event_id") / 100).alias("batch_id"),
+        F.expr("event_id DIV 100").alias("batch_id"),
         _plate("user_id").alias("car_plate"),
         camera.alias("camera_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -36,9 +46,8 @@ def camera_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`customer` as vehicles, `nation` as their addresses."""
-    use_utc(spark)
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    customer = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
     kinds = F.array(*[F.lit(kind) for kind in VEHICLE_TYPES])
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         _plate("c_custkey").alias("car_plate"),

@@ -8,7 +8,6 @@ from spanwatch.operators.dimension import measured
 from spanwatch.operators.enrich import with_limits
 from spanwatch.schema import CAMERAS
 from spanwatch.sources.dimensions import (
-    cameras,
     cameras_csv,
     store_vehicles,
     stored_vehicles,
