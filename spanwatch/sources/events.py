@@ -13,6 +13,16 @@ from spanwatch.schema import (
     PRODUCER_PREFIX,
 )
 
+# ---- fixed values: connector options --------------------------------------
+KAFKA_READER = {"startingOffsets": "latest", "failOnDataLoss": "false"}
+KAFKA_WRITER = {
+    "kafka.acks": "all",
+    "kafka.retries": "3",
+    "kafka.retry.backoff.ms": "100",
+    "kafka.compression.type": "gzip",
+}
+# ---------------------------------------------------------------------------
+
 
 def csv_events(spark: SparkSession, paths: list[str]) -> DataFrame:
     """All camera CSV files in one scan. Files named camera_event_<letter>.csv (a file
@@ -38,13 +48,12 @@ def topics(camera_ids) -> list[str]:
 
 
 def kafka_options(servers: str, camera_ids, params: Params = Params()) -> dict[str, str]:
-    """Reader options: camera topics only, newest first start, bounded intake."""
+    """Reader options: the topics of the cameras only, and a bounded intake."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics(camera_ids)),
-        "startingOffsets": "latest",
-        "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": str(params.max_offsets_per_trigger),
+        **KAFKA_READER,
     }
 
 
@@ -61,14 +70,7 @@ def kafka_messages(
 
 
 def publish_options(servers: str) -> dict[str, str]:
-    """Writer options: every message acknowledged by all replicas, and compressed."""
-    return {
-        "kafka.bootstrap.servers": servers,
-        "kafka.acks": "all",
-        "kafka.retries": "3",
-        "kafka.retry.backoff.ms": "100",
-        "kafka.compression.type": "gzip",
-    }
+    return {"kafka.bootstrap.servers": servers, **KAFKA_WRITER}
 
 
 def publish(messages: DataFrame, servers: str) -> None:
