@@ -6,7 +6,8 @@ JSON once only, let one stream append `passages` to a table with `append_table`
 start the job on `stored_passages` of it, at the price of one more hop.
 
 The number of shuffle partitions is fixed by the first run of a checkpoint, so set
-spark.sql.shuffle.partitions to what the busiest hour needs before starting.
+spark.sql.shuffle.partitions to what the busiest hour needs before starting; unset, it
+is the number of cores.
 """
 
 import warnings
@@ -39,9 +40,11 @@ STREAM_SETTINGS = {
 
 @contextmanager
 def stream_settings(spark: SparkSession) -> Iterator[None]:
-    """STREAM_SETTINGS for queries started inside; a query keeps the settings it was
-    started with. What the session sets itself stays."""
-    mine = {key: value for key, value in STREAM_SETTINGS.items() if spark.conf.get(key, None) is None}
+    """STREAM_SETTINGS, and one state partition per core, for queries started inside; a
+    query keeps the settings it was started with. What the session sets itself stays."""
+    cores = str(spark.sparkContext.defaultParallelism)
+    wanted = {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": cores}
+    mine = {key: value for key, value in wanted.items() if spark.conf.get(key, None) is None}
     for key, value in mine.items():
         spark.conf.set(key, value)
     try:

@@ -173,5 +173,5 @@ def test_a_short_tolerance_is_reported(spark):
     with pytest.warns(UserWarning, match="misses violations that take up to 80 s"):
         job.warn_if_blind(cameras(spark), Params(tolerance_s=60))
     with warnings.catch_warnings():
-        warnings.simplefilter("error")
+        warnings.simplefilter("error", UserWarning)
         job.warn_if_blind(cameras(spark), Params())
