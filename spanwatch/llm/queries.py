@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanwatch.llm import language, quality, toxicity
+from spanwatch.llm import contamination, language, quality, toxicity
 from spanwatch.llm.common import fold, table
 
 
@@ -21,6 +21,21 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, machine).select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark words in every document, and the items that they come from."""
+    found = contamination.scan(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document, learned from the folds that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -36,6 +51,43 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_language_id": op3_language_id,
     "op5_quality": op5_quality,
+    "op7_decontamination": op7_decontamination,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+# Words of an item or a document, A-Z lowered.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE: dict[str, str] = {
+    "op7_decontamination": f"""
+WITH items AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS words FROM benchmark
+), windows AS (
+    SELECT item, least(len(words), 10) AS n,
+        unnest([array_to_string(words[i : i + 9], ' ')
+                FOR i IN range(1, greatest(len(words) - 9, 1) + 1)]) AS gram
+    FROM items WHERE len(words) > 0
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents
+), lengths AS (SELECT DISTINCT n FROM windows
+), places AS (
+    SELECT r, n, unnest(range(1, len(words) - n + 2)) AS p, words
+    FROM docs, lengths WHERE len(words) >= n
+), grams AS (
+    SELECT r, n, p, array_to_string(words[p : p + n - 1], ' ') AS gram FROM places
+), hits AS (
+    SELECT r, p, g.n, item FROM grams g JOIN windows w ON g.n = w.n AND g.gram = w.gram
+), covered AS (
+    SELECT r, count(DISTINCT pos) AS n_hit
+    FROM (SELECT r, unnest(range(p, p + n)) AS pos FROM hits) GROUP BY r
+), found AS (
+    SELECT r, count(DISTINCT item) AS n_items,
+        sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256
+    FROM hits GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+""",
+}
