@@ -2,10 +2,22 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanwatch.llm import contamination, language, quality, toxicity
+from spanwatch.llm import contamination, language, licences, quality, toxicity
 from spanwatch.llm.common import fold, table
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence notices of every document: the best one, their number, all licences."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs).select(
+        "doc_id",
+        F.get("notices.licence", F.lit(0)).alias("licence"),
+        F.get("notices.dice", F.lit(0)).alias("dice"),
+        F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct("notices.licence")), ",").alias("licences"),
+    )
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the folds that are not held out."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
@@ -49,6 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licences": op1_licences,
     "op3_language_id": op3_language_id,
     "op5_quality": op5_quality,
     "op7_decontamination": op7_decontamination,
@@ -58,7 +71,46 @@ QUERIES = {
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+_TEMPLATE_GRAMS = ", ".join(
+    f"({n}, '{licence}', {len(grams)}, {low}, {high}, '{gram}', {grams.count(gram)})"
+    for n, (licence, text) in enumerate(licences.TEMPLATES)
+    for grams in [licences.template_bigrams(text)]
+    for low, high in [licences.size_bounds(len(grams), licences.THRESHOLD)]
+    for gram in sorted(set(grams))
+)
+
 ORACLE: dict[str, str] = {
+    "op1_licences": f"""
+WITH templates (t, licence, size, low, high, gram, n) AS (VALUES {_TEMPLATE_GRAMS}
+), docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), units AS (
+    SELECT DISTINCT r, unnest(list_concat(string_split(text, chr(10)),
+        regexp_split_to_array(text, '\\n[ \\t]*\\n'))) AS unit FROM docs
+), words AS (
+    SELECT r, unit, regexp_extract_all(lower(unit), '[\\p{{L}}\\p{{N}}]+') AS words FROM units
+), grams AS (
+    SELECT r, unit, size, gram, count(*) AS n FROM (
+        SELECT r, unit, len(words) - 1 AS size,
+            unnest([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS gram
+        FROM words)
+    GROUP BY ALL
+), dices AS (
+    SELECT r, unit, t, licence,
+        2.0::DOUBLE * sum(least(g.n, t.n)) / (any_value(g.size) + any_value(t.size)) AS dice
+    FROM grams g JOIN templates t ON g.gram = t.gram AND g.size BETWEEN t.low AND t.high
+    GROUP BY r, unit, t, licence
+), best AS (
+    SELECT r, unit, licence, dice FROM dices WHERE dice >= {licences.THRESHOLD}
+    QUALIFY row_number() OVER (PARTITION BY r, unit ORDER BY dice DESC, licence) = 1
+), found AS (
+    SELECT r, first(licence ORDER BY dice DESC, licence) AS licence, max(dice) AS dice,
+        count(*) AS n_notices, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences
+    FROM best GROUP BY r
+)
+SELECT doc_id, licence, dice, coalesce(n_notices, 0) AS n_notices,
+    coalesce(licences, '') AS licences
+FROM docs LEFT JOIN found USING (r)
+""",
     "op7_decontamination": f"""
 WITH items AS (
     SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS words FROM benchmark
