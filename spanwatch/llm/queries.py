@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanwatch.llm import contamination, language, licences, quality, toxicity
+from spanwatch.llm import contamination, language, licences, quality, simhash, toxicity
 from spanwatch.llm.common import fold, table
 
 
@@ -48,6 +48,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and the smallest id of its group."""
+    return simhash.groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hex_text(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document, learned from the folds that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,6 +72,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op5_quality": op5_quality,
     "op7_decontamination": op7_decontamination,
+    "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
 # Words of an item or a document, A-Z lowered.
