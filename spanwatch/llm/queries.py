@@ -2,7 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanwatch.llm import contamination, language, licences, quality, simhash, toxicity
+from spanwatch.llm import (
+    contamination,
+    language,
+    licences,
+    mixing,
+    quality,
+    simhash,
+    toxicity,
+)
 from spanwatch.llm.common import fold, table
 
 
@@ -33,6 +41,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, machine).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    found = mixing.rows(mixing.decide(table(spark, sf_dir, "documents")))
+    return found.select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark words in every document, and the items that they come from."""
     found = contamination.scan(
@@ -71,6 +87,7 @@ QUERIES = {
     "op1_licences": op1_licences,
     "op3_language_id": op3_language_id,
     "op5_quality": op5_quality,
+    "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
@@ -119,6 +136,7 @@ SELECT doc_id, licence, dice, coalesce(n_notices, 0) AS n_notices,
     coalesce(licences, '') AS licences
 FROM docs LEFT JOIN found USING (r)
 """,
+    "op6_mixing": op6_mixing,
     "op7_decontamination": f"""
 WITH items AS (
     SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS words FROM benchmark
