@@ -8,10 +8,11 @@ from spanwatch.llm import (
     licences,
     mixing,
     quality,
+    sharding,
     simhash,
     toxicity,
 )
-from spanwatch.llm.common import fold, table
+from spanwatch.llm.common import fold, stored, table
 
 
 def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,28 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and the place in it of every document; shards hold near equal bytes."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.col("text")
+    rows = docs.select(
+        "doc_id",
+        sharding.size_of(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
+        sharding.group_of(text).alias("text_group"),
+    ).withColumn("old_shard", sharding.old_shard(F.col("text_group")))
+    placed, _ = sharding.place(stored(rows, "rows"), "doc_id", "size", "text_group", "old_shard")
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint of every document and the smallest id of its group."""
     return simhash.groups(table(spark, sf_dir, "documents")).select(
@@ -89,6 +112,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
+    "op8_sharding": op8_sharding,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
