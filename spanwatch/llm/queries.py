@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanwatch.llm import (
     contamination,
+    embeddings,
     language,
     licences,
     mixing,
@@ -34,6 +35,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "held_out", "text"), net).drop("text")
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links and the component of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document, learned from the folds that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
@@ -109,6 +115,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licences": op1_licences,
     "op3_language_id": op3_language_id,
+    "op4_embeddings": op4_embeddings,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
