@@ -24,9 +24,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def beside(df: DataFrame, name: str) -> str:
-    """A column name that `df` does not use yet, in either case."""
-    taken = {c.lower() for c in df.columns}
-    while name in taken:
-        name = "_" + name
-    return name
+def whole_row(df: DataFrame, *without: str) -> Column:
+    """All columns of `df` but some, as one struct `_row`.
+
+    Next to it an operator may name its own columns as it likes: `_row.*` gives back the others.
+    """
+    left_out = {c.lower() for c in without}
+    return F.struct(
+        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in left_out]
+    ).alias("_row")

@@ -12,7 +12,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanwatch.llm.common import stored
+from spanwatch.llm.common import stored, whole_row
 
 WINDOW = 10
 # Upper-case letters are in: they are lowered word by word, where it matters.
@@ -244,7 +244,12 @@ def clean(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", **nam
     hits = stored(hits.select(F.col(key).alias("_key"), "text_hash").distinct(), "contaminated")
     if hits.count() <= BROADCAST_KEYS:
         hits = F.broadcast(hits)
-    same = documents[key].eqNullSafe(hits["_key"]) & (
-        F.xxhash64(F.coalesce(documents[text], F.lit(""))) == hits["text_hash"]
+    own = documents.select(
+        whole_row(documents),
+        F.col(key).alias("_own_key"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_own_hash"),
     )
-    return documents.join(hits, same, "left_anti")
+    same = F.col("_own_key").eqNullSafe(F.col("_key")) & (
+        F.col("_own_hash") == F.col("text_hash")
+    )
+    return own.join(hits, same, "left_anti").select("_row.*")

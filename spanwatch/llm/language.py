@@ -15,6 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from spanwatch.llm.common import whole_row
+
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 # A longer run of letters is cut into windows of this many bytes, each read by itself.
@@ -255,29 +257,38 @@ def fit(
     Documents are chosen by a hash of their key, runs by a hash spread over the whole text.
     Returns None if no row has both a language and a letter.
     """
-    spread = Window.partitionBy(lang).orderBy(F.xxhash64(key, F.lit("language")), key)
-    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    rows = labelled.select(
+        F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("_text")
+    ).filter(F.col("_lang").isNotNull() & F.col("_text").rlike(r"\p{L}"))
+    draw = F.pmod(F.xxhash64("_key", F.lit("language")), F.lit(1 << 30))
+    keys = rows.select("_key", "_lang").distinct().withColumn("_draw", draw)
+    # A share of each language first, of about four times what is wanted, so that ranking it
+    # takes no more rows however many there are.
+    sizes = keys.groupBy("_lang").agg(F.count("*").alias("_n"))
+    few = F.col("_draw") < F.lit(float(1 << 30)) * 4 * (docs_per_language + 25) / F.col("_n")
+    ranked = Window.partitionBy("_lang").orderBy("_draw", "_key")
     chosen = (
-        rows.select(key, lang)
-        .withColumn("_rank", F.row_number().over(spread))
+        keys.join(sizes, "_lang")
+        .filter(few)
+        .withColumn("_rank", F.row_number().over(ranked))
         .filter(F.col("_rank") <= docs_per_language)
-        .select(F.col(key).alias("_key"), F.col(lang).alias("_lang"))
+        .select(F.col("_key").alias("_chosen"), F.col("_lang").alias("_its"))
     )
     # One text per key, the least if a key is repeated, so that the bound holds for rows too.
     picked = (
         rows.join(
             F.broadcast(chosen),
-            F.col(key).eqNullSafe(F.col("_key")) & (F.col(lang) == F.col("_lang")),
+            F.col("_key").eqNullSafe(F.col("_chosen")) & (F.col("_lang") == F.col("_its")),
         )
-        .groupBy(key, lang)
-        .agg(F.min(text).alias(text))
-        .select(text, lang)
+        .groupBy("_key", "_lang")
+        .agg(F.min("_text").alias("text"))
+        .select("text", F.col("_lang").alias("lang"))
     )
 
     def some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for body, name in zip(batch[text], batch[lang], strict=True):
+            for body, name in zip(batch["text"], batch["lang"], strict=True):
                 runs = LETTERS.findall(body)
                 step = max(1, len(runs) // runs_per_doc)
                 out += [(run, name) for run in runs[step // 2 :: step][:runs_per_doc]]
@@ -295,7 +306,6 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
     A text that is null or has no letter is `und` with score 0, as is every text if there was
     nothing to learn from. Whole texts are read, however long. An empty table stays empty.
     """
-    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     mark = uuid.uuid4().hex
 
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -311,5 +321,7 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
     labelled = F.pandas_udf(label, "lang_pred string, score double")
-    found = docs.select(*kept, labelled(F.col(text)).alias("_found"))
-    return found.select(*kept, "_found.lang_pred", "_found.score")
+    found = docs.select(
+        whole_row(docs, "lang_pred", "score"), labelled(F.col(text)).alias("_found")
+    )
+    return found.select("_row.*", "_found.lang_pred", "_found.score")

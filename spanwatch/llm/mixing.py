@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spanwatch.llm.common import stored
+from spanwatch.llm.common import stored, whole_row
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -312,7 +312,7 @@ def mixed(
         *identity(F.col("source"), F.col("key"), F.col("text_hash")), "whole", "extra"
     )
     own = documents.select(
-        "*",
+        whole_row(documents),
         *identity(
             F.col(source), F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))
         ),
@@ -325,5 +325,5 @@ def mixed(
         .withColumn("_times", times.cast("int"))
         .filter("_times > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*[own[c] for c in documents.columns])
+        .select("_row.*")
     )

@@ -13,6 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from spanwatch.llm.common import whole_row
+
 WORD_BUCKETS = 1 << 15
 RANK = 6
 # At most so many labelled rows of each class are learned from.
@@ -228,7 +230,6 @@ def score(
     Whole texts are read. A null text is scored as an empty one. With no machine (nothing was
     labelled) every score is 0.5. An empty table stays empty.
     """
-    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(machine)
 
@@ -246,6 +247,8 @@ def score(
 
     length = F.col(recorded_length).cast("double") if recorded_length else F.lit(None).cast("double")
     scored = F.pandas_udf(apply, "double")
-    return docs.select(*kept, scored(F.col(text), length).alias("score")).withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int")
+    found = docs.select(
+        whole_row(docs, "score", "predicted"), scored(F.col(text), length).alias("_score")
     )
+    predicted = (F.col("_score") >= threshold).cast("int")
+    return found.select("_row.*", F.col("_score").alias("score"), predicted.alias("predicted"))

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from spanwatch.llm import (
     contamination,
     embeddings,
+    html_text,
     language,
     licences,
     mixing,
@@ -28,6 +29,12 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, with weights learned from pages that mark theirs up."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.fit(pages)).drop("html")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the folds that are not held out."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
@@ -114,6 +121,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_licences": op1_licences,
+    "op2_html_text": op2_html_text,
     "op3_language_id": op3_language_id,
     "op4_embeddings": op4_embeddings,
     "op5_quality": op5_quality,

@@ -18,7 +18,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spanwatch.llm.common import stored
+from spanwatch.llm.common import stored, whole_row
 from spanwatch.llm.components import components
 
 SHINGLE = 4
@@ -330,7 +330,9 @@ def one_of_each(
     """The documents, one of each group: the one with the least key, and the least hash of
     its text where keys are equal or missing. All columns stay."""
     found = groups(documents, key, text, **settings)
-    order = F.struct(F.col(key).isNull(), F.col(key).alias("k"), F.col("text_hash").alias("h"))
+    order = F.struct(
+        F.col(key).isNull().alias("last"), F.col(key).alias("k"), F.col("text_hash").alias("h")
+    )
     kept = (
         found.groupBy("component")
         .agg(F.min(order).alias("_first"))
@@ -339,7 +341,8 @@ def one_of_each(
     )
     names = ["_known", "_key", "_hash"]
     own = documents.select(
-        "*", *_identity(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+        whole_row(documents),
+        *_identity(F.col(key), F.xxhash64(F.coalesce(F.col(text), F.lit("")))),
     )
     # Rows that repeat both key and text are one document too.
     again = F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0)))
@@ -347,7 +350,7 @@ def one_of_each(
         own.join(kept, names, "left_semi")
         .withColumn("_again", again)
         .filter(F.col("_again") == 1)
-        .select(*[own[c] for c in documents.columns])
+        .select("_row.*")
     )
 
 

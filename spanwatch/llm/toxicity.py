@@ -15,6 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from spanwatch.llm.common import whole_row
+
 # At most so many labelled rows of each class are examples, and so many terms are used.
 EXAMPLES_PER_CLASS = 4_000
 MOST_TERMS = 4_096
@@ -287,7 +289,6 @@ def score(
     or term-free text has none and gets the rate of term-free examples. Whole texts are read.
     With no index every score is 0. An empty table stays empty.
     """
-    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted", "evidence")]
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -324,8 +325,9 @@ def score(
 
     shape = "score double, evidence array<struct<key: string, cosine: double, label: int>>"
     scored = F.pandas_udf(apply, shape)
-    return docs.select(*kept, scored(F.col(text)).alias("_found")).select(
-        *kept,
+    row = whole_row(docs, "score", "predicted", "evidence")
+    return docs.select(row, scored(F.col(text)).alias("_found")).select(
+        "_row.*",
         "_found.score",
         (F.col("_found.score") >= threshold).cast("int").alias("predicted"),
         "_found.evidence",
