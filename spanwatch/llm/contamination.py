@@ -10,15 +10,13 @@ as long as a window is a hit. Positions bound the runs at the ends of texts and
 
 import string
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spanwatch.llm.common import stored, whole_row
 
 WINDOW = 10
 # Upper-case letters are in: they are lowered word by word, where it matters.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-# Words of a window, the least frequent in the benchmark, whose rarity in the corpus is counted.
-COUNTED_PER_WINDOW = 3
 # An anchor takes below 2 KB; beyond this number they are joined by shuffle.
 BROADCAST_ANCHORS = 50_000
 MOST_BITS = 1 << 22
@@ -54,7 +52,7 @@ def _bitmap(words: DataFrame, column: str) -> tuple[Column, int]:
     cells = [0] * (bits // 64)
     for row in parts:
         cells[row["at"]] = row["b"]
-    return F.lit(cells), bits
+    return F.lit(cells).cast("array<bigint>"), bits
 
 
 def _marked(word: Column, cells: Column, bits: int) -> Column:
@@ -63,27 +61,28 @@ def _marked(word: Column, cells: Column, bits: int) -> Column:
     return F.getbit(cell, bit.bitwiseAND(F.lit(63))) == 1
 
 
-def _windows(benchmark: DataFrame, item: str, text: str, window: int) -> DataFrame:
-    """(item, words, start) of every window."""
-    items = (
-        benchmark.select(
-            F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"),
-            F.transform(words_of(F.col(text)), lowered).alias("words"),
-        )
-        .filter(F.size("words") > 0)
-        .distinct()
-    )
-    last = F.greatest(F.size("words") - window, F.lit(0))
-    return items.select("item", "words", F.explode(F.sequence(F.lit(0), last)).alias("start"))
-
-
-def _places(windows: DataFrame, window: int) -> DataFrame:
-    """A row for each word of each window."""
-    return windows.select(
-        "item",
+def _places(benchmark: DataFrame, item: str, text: str, window: int) -> DataFrame:
+    """Every word of every item with what stands around it; nothing of the size of an item."""
+    reach = window - 1
+    items = benchmark.select(
+        F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"),
+        F.transform(words_of(F.col(text)), lowered).alias("words"),
+    ).select("item", "words", F.xxhash64("words").alias("body"), F.size("words").alias("length"))
+    around = F.transform(
         "words",
-        "start",
-        F.posexplode(F.slice("words", F.col("start") + 1, F.lit(window))).alias("offset", "word"),
+        lambda w, i: F.struct(
+            i.alias("at"),
+            w.alias("word"),
+            F.lower(w).alias("token"),
+            _before(F.col("words"), i, reach).alias("before"),
+            F.slice(F.col("words"), i + 2, F.lit(reach)).alias("after"),
+        ),
+    )
+    # What is taken along with each place is made before, so that the words themselves are not.
+    return (
+        items.select("item", "body", "length", F.explode(around).alias("place"))
+        .select("item", "body", "length", "place.*")
+        .distinct()
     )
 
 
@@ -98,50 +97,48 @@ def anchors(
     """Places of items that together lie in every window, the rarest word of each.
 
     Columns: token (the word, fully lowered), word, item, before (words to the left, nearest
-    first) and after, both cut at the window, and need, the length of a hit.
+    first) and after, both cut at the window, and need, the length of a hit. Rarity is counted
+    over the whole corpus, for words that are the least frequent of some window in the benchmark.
     """
-    windows = stored(_windows(benchmark, item, item_text, window), "windows")
-    places = _places(windows, window).withColumn("token", F.lower("word"))
+    places = stored(_places(benchmark, item, item_text, window), "places")
+    along = Window.partitionBy("item", "body").orderBy("at")
+    ahead, behind = along.rowsBetween(0, window - 1), along.rowsBetween(1 - window, 0)
+    is_start = F.col("at") <= F.greatest(F.col("length") - window, F.lit(0))
     inside = places.groupBy("token").agg(F.count("*").alias("in_benchmark"))
-    ranked = places.join(inside, "token")
-    least = (
-        ranked.groupBy("item", "words", "start")
-        .agg(
-            F.slice(
-                F.array_sort(F.collect_set(F.struct("in_benchmark", "token"))),
-                1,
-                COUNTED_PER_WINDOW,
-            ).alias("least")
-        )
-        .select(F.explode("least.token").alias("token"))
-        .distinct()
-    )
-    least = stored(least, "rare-words")
-    cells, bits = _bitmap(least, "token")
+    ranked = (
+        places.join(inside, "token")
+        .withColumn("_least", F.when(is_start, F.min("in_benchmark").over(ahead)))
+        .withColumn("counted", F.col("in_benchmark") <= F.max("_least").over(behind))
+        .drop("_least")
+    )
+    ranked = stored(ranked, "ranked-places")
+    rare = stored(ranked.filter("counted").select("token").distinct(), "rare-words")
+    cells, bits = _bitmap(rare, "token")
     corpus = documents.select(words_of(F.col(text)).alias("words")).select(
         F.explode(
             F.filter(F.transform("words", F.lower), lambda w: _marked(w, cells, bits))
         ).alias("token")
     )
     counted = corpus.groupBy("token").agg(F.count("*").alias("in_corpus"))
-    rarity = least.join(counted, "token", "left").select(
-        "token", F.coalesce("in_corpus", F.lit(0)).alias("in_corpus")
-    )
-    best = (
-        ranked.join(rarity, "token")
-        .groupBy("item", "words", "start")
-        .agg(F.min(F.struct("in_corpus", "in_benchmark", "token", "offset")).alias("best"))
-        .select("item", "words", (F.col("start") + F.col("best.offset")).alias("at"))
+    rarity = rare.join(counted, "token", "left").select(
+        F.col("token"), F.coalesce("in_corpus", F.lit(0)).alias("in_corpus")
+    )
+    order = F.struct("in_corpus", "in_benchmark", "token", "at")
+    best = F.min(F.when(F.col("counted"), order)).over(ahead)
+    chosen = (
+        ranked.join(rarity, "token", "left")
+        .withColumn("_best", F.when(is_start, best))
+        .select("item", "body", F.col("_best.at").alias("at"))
+        .filter(F.col("at").isNotNull())
         .distinct()
     )
-    reach = window - 1
-    return best.select(
-        F.lower(F.get("words", F.col("at"))).alias("token"),
-        F.get("words", F.col("at")).alias("word"),
+    return ranked.join(chosen, ["item", "body", "at"]).select(
+        "token",
+        "word",
         "item",
-        _before(F.col("words"), F.col("at"), reach).alias("before"),
-        F.slice("words", F.col("at") + 2, F.lit(reach)).alias("after"),
-        F.least(F.size("words"), F.lit(window)).alias("need"),
+        "before",
+        "after",
+        F.least(F.col("length"), F.lit(window)).alias("need"),
     )
 
 
@@ -182,7 +179,7 @@ def scan(
         F.col(key).alias("_key"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_hash"),
         words_of(F.col(text)).alias("_words"),
-    )
+    ).select("*", F.size("_words").cast("long").alias("n_words"))
     places = F.filter(
         F.sequence(F.lit(0), F.size("_words") - 1),
         lambda i: _marked(F.lower(F.get(F.col("_words"), i)), cells, bits),
@@ -206,7 +203,7 @@ def scan(
     found = read.select(
         "_key",
         "_hash",
-        F.size("_words").cast("long").alias("n_words"),
+        "n_words",
         F.explode(F.concat(F.array(itself), around)).alias("_own"),
     ).withColumn("_token", F.lower("_own.word"))
     joined = found.join(spots, found["_token"] == spots["token"], "left")

@@ -175,7 +175,6 @@ SELECT doc_id, licence, dice, coalesce(n_notices, 0) AS n_notices,
     coalesce(licences, '') AS licences
 FROM docs LEFT JOIN found USING (r)
 """,
-    "op6_mixing": op6_mixing,
     "op7_decontamination": f"""
 WITH items AS (
     SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS words FROM benchmark

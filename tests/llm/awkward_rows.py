@@ -1,0 +1,39 @@
+"""Small tables with every awkward row: nulls, empty and long texts, repeats, clashing names."""
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+WORDS = "the quick brown fox jumps over a lazy dog while seven pale monks sing slowly at dawn"
+LONG = " ".join(f"word{i % 977} tail{i % 31}" for i in range(20_000))
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def awkward(spark: SparkSession) -> DataFrame:
+    """Documents with a column for every name that an operator makes."""
+    rows = [
+        (1, WORDS, "en", "a", 80),
+        (2, WORDS, "en", "b", 80),
+        (2, WORDS, "en", "b", 80),
+        (3, None, None, None, None),
+        (4, "", "en", "a", 0),
+        (5, "  \n\t ", "fr", None, 5),
+        (6, "123 !!! ...", "fr", "b", 11),
+        (7, LONG, "en", "a", len(LONG)),
+        (None, WORDS + " more", None, "c", 7),
+        (None, None, "en", "c", None),
+        (8, "ümlaut ÉTÉ 中文 \U0001f600", "de", "c", 15),
+    ]
+    docs = spark.createDataFrame(rows, DOCS)
+    names = (
+        "score", "lang_pred", "predicted", "evidence", "size", "shard", "slot", "n", "whole",
+        "extra", "fp", "component", "text_hash", "_key", "_row", "_hash", "unit", "notices",
+        "item", "token", "_found", "_old", "_group", "text_group", "old_shard", "key",
+    )
+    return docs.select("*", *[F.lit("x").alias(n) for n in names])
+
+
+def plain(spark: SparkSession) -> DataFrame:
+    return awkward(spark).select("doc_id", "text", "lang", "source", "n_chars")
+
+
+def empty(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], DOCS)

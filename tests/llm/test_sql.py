@@ -1,0 +1,17 @@
+"""Queries that SQL can express, beside their SQL, over whole tables."""
+
+import pytest
+
+from compare import difference, oracle
+from spanwatch.llm.queries import ORACLE, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_equals_sql(spark, name):
+    assert difference(QUERIES[name](spark, SF), oracle(SF), ORACLE[name]) is None
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
