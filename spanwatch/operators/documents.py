@@ -1,61 +1,47 @@
 """Rows gathered into lists: daily documents per vehicle, and events per batch.
 
-A list lives in one row of one task, so its length is bounded: a group with more than
-`max_items` rows becomes several parts of the same key. Ordinary groups are one row
-with part 0, and no row is ever dropped.
+A list lives in one row of one task, so each holds one hour: a document is what a plate did
+in an hour of a day, a piece of a batch is its events of an hour. The grain is the same for
+every size of input, and no row is ever dropped.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanwatch.functions.values import arrival_time, speed_value
-from spanwatch.operators.skew import heavy_keys
-from spanwatch.params import DOCUMENT_ITEMS
+from spanwatch.functions.times import whole_seconds
+from spanwatch.functions.values import arrival_time, event_time, speed_value
 from spanwatch.schema import DAILY_ITEM
 
+SLICE_S = 3_600
+
 
 def gather(
-    rows: DataFrame,
-    keys: list[str],
-    item: Column,
-    into: str,
-    max_items: int = DOCUMENT_ITEMS,
-    distinct: bool = False,
+    rows: DataFrame, keys: list[str], item: Column, into: str, distinct: bool = False
 ) -> DataFrame:
-    """(keys, part, <into>: sorted array of items). Equal items are kept; they travel as
-    one row with a count, so a crowd of copies folds before the shuffle. Callers whose
-    rows cannot repeat pass `distinct` and save that grouping."""
-    oversized = heavy_keys(rows, keys, max_items, "_parts")
+    """(keys, <into>: sorted array of items). Equal items are kept; they travel as one row
+    with a count, so a crowd of copies folds before the shuffle. Callers whose rows cannot
+    repeat pass `distinct` and save that grouping."""
     if distinct:
-        piece, spread, gathered = rows.select(*keys, item.alias("_item")), ["_item"], F.col("_item")
+        lists = F.collect_list("_item")
+        gathered = rows.select(*keys, item.alias("_item"))
     else:
-        folded = rows.groupBy(*keys, item.alias("_item")).agg(F.count(F.lit(1)).alias("_copies"))
-        chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / max_items))
-        piece = folded.withColumn("_chunk", F.explode(chunks))
-        rest = F.col("_copies") - F.col("_chunk") * max_items
-        spread = ["_item", "_chunk"]
-        gathered = F.array_repeat("_item", F.least(rest, F.lit(max_items)).cast("int"))
-
-    part = F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int")
-    placed = piece.join(F.broadcast(oversized), keys, "left").select(
-        *keys,
-        F.coalesce(part, F.lit(0)).alias("part"),
-        gathered.alias("_gathered"),
-    )
-    lists = F.collect_list("_gathered")
-    return placed.groupBy(*keys, "part").agg(
-        F.array_sort(lists if distinct else F.flatten(lists)).alias(into)
-    )
+        lists = F.flatten(F.collect_list(F.array_repeat("_item", F.col("_copies").cast("int"))))
+        gathered = rows.groupBy(*keys, item.alias("_item")).agg(
+            F.count(F.lit(1)).alias("_copies")
+        )
+    return gathered.groupBy(*keys).agg(F.array_sort(lists).alias(into))
 
 
-def daily_merge(
-    violations: DataFrame, max_items: int = DOCUMENT_ITEMS, distinct: bool = False
-) -> DataFrame:
-    """All violations of a plate on a day as one document (car_plate, violation_date,
-    part, violations)."""
+def with_slice(violations: DataFrame) -> DataFrame:
+    """Adds the hour of the day in which a violation was completed, by which it is dated too."""
+    return violations.withColumn("slice", F.hour(event_time("event_details")))
+
+
+def daily_merge(violations: DataFrame, distinct: bool = False) -> DataFrame:
+    """All violations of a plate in an hour of a day as one document (car_plate,
+    violation_date, slice, violations)."""
     item = F.struct(*[F.col(name) for name in DAILY_ITEM.fieldNames()])
-    return gather(
-        violations, ["car_plate", "violation_date"], item, "violations", max_items, distinct
-    )
+    keys = ["car_plate", "violation_date", "slice"]
+    return gather(with_slice(violations), keys, item, "violations", distinct)
 
 
 def flatten_documents(documents: DataFrame) -> DataFrame:
@@ -83,14 +69,10 @@ def timeline(violations: DataFrame) -> DataFrame:
     ).filter(F.col("arrival_time").isNotNull())
 
 
-def batches(events: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
-    """Events of each batch as a list (batch_id, part, events). Events without a batch
-    belong to none."""
+def batches(events: DataFrame) -> DataFrame:
+    """Events of each batch as lists, one per hour (batch_id, slice, events). The slice counts
+    hours since 1970. Events without a batch belong to none."""
     columns = [name for name in events.columns if name != "batch_id"]
-    return gather(
-        events.filter(F.col("batch_id").isNotNull()),
-        ["batch_id"],
-        F.struct(*columns),
-        "events",
-        max_items,
-    )
+    hour = F.floor(whole_seconds(F.col("timestamp")) / SLICE_S)
+    sliced = events.filter(F.col("batch_id").isNotNull()).withColumn("slice", hour)
+    return gather(sliced, ["batch_id", "slice"], F.struct(*columns), "events")

@@ -5,12 +5,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from spanwatch.functions.geo import great_circle_km
 from spanwatch.functions.values import event_time
 from spanwatch.operators.dimension import join_dimension, measured
-from spanwatch.operators.skew import heavy_keys
 from spanwatch.schema import VIOLATION_KEY
 
-# A plate with more violations than this is split in the owner join.
-HEAVY_PLATE_ROWS = 1_000_000
-
 
 def camera_distances(cameras: DataFrame, max_km: float) -> DataFrame:
     """Every ordered pair of cameras up to `max_km` of road apart, with the kilometres
@@ -33,40 +29,34 @@ def camera_distances(cameras: DataFrame, max_km: float) -> DataFrame:
     )
 
 
-def longest_violation_s(cameras: DataFrame) -> DataFrame:
+def longest_violation_s(cameras: DataFrame, road_axis: str = "position") -> DataFrame:
     """The longest time a pair can take and still be too fast, over all cameras: the
-    furthest entry is always the first camera. A tolerance below it hides violations."""
-    first_km = cameras.select(F.min("position")).scalar()
-    return cameras.select(
-        F.max((F.col("position") - first_km) * 3600.0 / F.col("speed_limit")).alias("seconds")
-    )
+    furthest entry is always the first camera. A tolerance below it hides violations. A
+    limit of 0 is broken at any speed and has no such time."""
+    km = F.col(road_axis).cast("double")
+    first_km = cameras.select(F.min(km)).scalar()
+    limit = F.nullif(F.col("speed_limit"), F.lit(0))
+    return cameras.select(F.max((km - first_km) * 3600.0 / limit).alias("seconds"))
 
 
 def enforcement_report(
-    violations: DataFrame,
-    vehicles: DataFrame,
-    cameras: DataFrame,
-    heavy_rows: int = HEAVY_PLATE_ROWS,
+    violations: DataFrame, vehicles: DataFrame, cameras: DataFrame
 ) -> DataFrame:
     """Violations with the owner to write to and the places of entry and exit (the same
     camera for an instantaneous violation).
 
-    Vehicles are as many as plates, so that join may shuffle on the plate. Violations of
-    a plate with very many are spread over salts and its vehicle is copied to each.
+    One row per violation: of several vehicles with one plate (`vehicle_issues` finds them),
+    the first by owner, address and type counts. Vehicles are as many as plates, so that
+    join may shuffle on the plate; adaptive execution splits a plate with very many
+    violations, which a left join allows on its left side.
     """
-    heavy = F.broadcast(heavy_keys(violations, ["car_plate"], heavy_rows, "_salts"))
-    spread = F.pmod(F.xxhash64("violation_type", "event_details"), F.col("_salts"))
-    salted = violations.join(heavy, "car_plate", "left").withColumn(
-        "_salt", F.coalesce(spread, F.lit(0).cast("long"))
-    )
-    salts = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1).cast("long")) - 1)
+    owner = F.struct("owner_name", "owner_addr", "vehicle_type")
     owners = (
-        vehicles.select("car_plate", "owner_name", "owner_addr", "vehicle_type")
-        .join(heavy, "car_plate", "left")
-        .withColumn("_salt", F.explode(salts))
-        .drop("_salts")
+        vehicles.groupBy("car_plate")
+        .agg(F.min(owner).alias("_owner"))
+        .select("car_plate", "_owner.*")
     )
-    report = salted.drop("_salts").join(owners, ["car_plate", "_salt"], "left").drop("_salt")
+    report = violations.join(owners, "car_plate", "left")
 
     small = measured(cameras) is not None
     ids = {

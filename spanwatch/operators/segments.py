@@ -1,9 +1,9 @@
 """Passages of one vehicle at two cameras within the tolerance.
 
 Batch: an interval join cannot be planned as such, so both sides get a time bin and
-are joined on (plate, bin). The bin also spreads a plate that is read very often. Plates
-that are hot even so are found by a sketch and split by camera order, and by salt where
-that is not enough.
+are joined on (plate, bin). The bin also spreads a plate that is read very often. Groups
+that are hot even so are counted exactly and split by camera order, and by salts on both
+sides where that is not enough.
 
 Stream: Spark's own stream-stream join, whose state is bounded by the watermark and
 by the tolerance.
@@ -14,16 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from spanwatch.functions.times import whole_seconds
 from spanwatch.operators.enrich import ROAD
 from spanwatch.params import Params
+from spanwatch.workspace import written
 
 PASSAGE = ["car_plate", "camera_id", "timestamp", "speed_limit"]
 CARRIED = ["event_id", "batch_id", "speed_reading", "producer_id", "kafka_key"]
 
-# Sketch sizes: a day of passages is summarised in one sketch of 4096 plates, of which the
-# 64 largest are looked at. The lists made from it are cut at MAX_HOT entries; what is cut
-# is joined as it is, so none of these numbers changes the result.
-SKETCH_PLATES, SKETCH_TOP, MAX_HOT = 4096, 64, 10_000
-HOT_DAYS = "_plate_day BIGINT"
-HOT_LANES = "_group BIGINT, _on_lane BIGINT, _salts BIGINT"
+# Lists of hot groups have about 60 bytes a row; longer ones are joined by shuffle.
+BROADCAST_GROUPS = 100_000
+GROUP, LANE = ["car_plate", "_on_bin"], ["car_plate", "_on_bin", "_on_lane"]
 
 
 def segment_pairs(
@@ -94,13 +92,12 @@ def _with_lanes(side: DataFrame, role: str, hot: Column) -> DataFrame:
     )
 
 
-def _with_salts(side: DataFrame, role: str, salts: Column) -> DataFrame:
-    """Start rows are spread over the salts, end rows are copied to each of them."""
-    if role == "start":
-        return side.withColumn(
-            "_on_salt", F.pmod(F.xxhash64("timestamp", "camera_id", "event_id"), salts)
-        )
-    return side.withColumn("_on_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+def _own_salt(salts: Column) -> Column:
+    return F.pmod(F.xxhash64("timestamp", "camera_id", "event_id"), salts)
+
+
+def _every_salt(salts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
 
 
 # -- batch ------------------------------------------------------------------
@@ -110,53 +107,37 @@ def _bin(params: Params) -> Column:
     return F.floor(whole_seconds(F.col("timestamp")) / params.bin_width_s)
 
 
-def _plate_day(params: Params) -> Column:
-    return F.xxhash64("car_plate", F.floor(F.col("_on_bin") * params.bin_width_s / 86_400))
-
-
-def hot_days(binned: DataFrame, params: Params) -> DataFrame:
-    """Hashes of (plate, day) with very many rows, estimated in one pass."""
-    day = F.floor(F.col("_on_bin") * params.bin_width_s / 86_400)
-    return (
-        binned.select(day.alias("_day"), _plate_day(params).alias("_plate_day"))
-        .groupBy("_day")
-        .agg(F.expr(f"approx_top_k(_plate_day, {SKETCH_TOP}, {SKETCH_PLATES})").alias("_top"))
-        .select(F.inline("_top"))
-        .filter(F.col("count") > params.hot_group_rows)
-        .orderBy(F.desc("count"), "item")
-        .limit(MAX_HOT)
-        .select(F.col("item").alias("_plate_day"))
-        .distinct()
-    )
-
+def counted(start: DataFrame, end: DataFrame, keys: list[str], params: Params) -> DataFrame:
+    """Rows of either side in each group, by exact count, with the number of salts that leaves
+    about the threshold of rows to each."""
 
-def hot_lanes(start: DataFrame, end: DataFrame, params: Params) -> DataFrame:
-    """Salt counts of the lanes of hot plates that have very many start rows and any end
-    row at all. A salt holds about the threshold of start rows. Every end row of such a
-    lane is compared with thousands of start rows, so its few copies do not matter."""
-
-    def counted(side: DataFrame, starts: int) -> DataFrame:
-        return side.filter("_hot").select(
-            F.xxhash64("car_plate", "_on_bin").alias("_group"),
-            "_on_lane",
-            F.lit(starts).alias("_start"),
-            F.lit(1 - starts).alias("_end"),
+    def ones(side: DataFrame, starts: int) -> DataFrame:
+        return side.select(
+            *keys, F.lit(starts).alias("_start"), F.lit(1 - starts).alias("_end")
         )
 
+    def salts(rows: str, name: str) -> Column:
+        return F.ceil(F.col(rows) / params.hot_group_rows).alias(name)
+
     return (
-        counted(start, 1)
-        .union(counted(end, 0))
-        .groupBy("_group", "_on_lane")
+        ones(start, 1)
+        .union(ones(end, 0))
+        .groupBy(*keys)
         .agg(F.sum("_start").alias("_starts"), F.sum("_end").alias("_ends"))
-        .filter((F.col("_starts") > params.hot_group_rows) & (F.col("_ends") > 0))
-        .orderBy(F.desc("_starts"), "_group", "_on_lane")
-        .limit(MAX_HOT)
         .select(
-            "_group", "_on_lane", F.ceil(F.col("_starts") / params.hot_group_rows).alias("_salts")
+            *keys,
+            "_starts",
+            "_ends",
+            salts("_starts", "_start_salts"),
+            salts("_ends", "_end_salts"),
         )
     )
 
 
+def _marked(side: DataFrame, groups: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    return side.join(F.broadcast(groups) if small else groups, keys, "left")
+
+
 def _binned_sides(passages: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     width = params.bin_width_s
     own = _bin(params)
@@ -169,29 +150,39 @@ def _binned_sides(passages: DataFrame, params: Params) -> tuple[DataFrame, DataF
     if not params.split_hot_groups:
         return start, end
 
-    # The sketch is an estimate and may differ when computed again. Both sides must be
-    # split alike, so the few rows it gives are fixed here; so are those of the lanes.
-    spark = passages.sparkSession
-    days = hot_days(passages.withColumn("_on_bin", own), params).collect()
-    if not days:
+    # The lists are written, so that both sides are split alike whenever a part is rerun.
+    crowded = F.greatest("_starts", "_ends") > params.hot_group_rows
+    groups = written(counted(start, end, GROUP, params).filter(crowded), "hot-groups")
+    n_groups = groups.count()
+    if not n_groups:
         return start, end
-    hot = F.broadcast(spark.createDataFrame(days, HOT_DAYS).withColumn("_found", F.lit(True)))
+    hot = groups.select(*GROUP, F.lit(True).alias("_found"))
 
     def laned(side: DataFrame, role: str) -> DataFrame:
-        marked = side.withColumn("_plate_day", _plate_day(params)).join(hot, "_plate_day", "left")
+        marked = _marked(side, hot, GROUP, n_groups <= BROADCAST_GROUPS)
         return _with_lanes(marked, role, F.col("_found").isNotNull())
 
     start, end = laned(start, "start"), laned(end, "end")
-    lanes = hot_lanes(start, end, params).collect()
-    if not lanes:
-        return start, end
-    salted = F.broadcast(spark.createDataFrame(lanes, HOT_LANES))
+    met = counted(start.filter("_hot"), end.filter("_hot"), LANE, params)
+    lanes = written(met.filter(F.least("_starts", "_ends") > 0), "hot-lanes")
+    n_lanes = lanes.count()
 
     def spread(side: DataFrame, role: str) -> DataFrame:
-        marked = side.withColumn("_group", F.xxhash64("car_plate", "_on_bin")).join(
-            salted, ["_group", "_on_lane"], "left"
+        """A row keeps to its own salt of its side and is copied to each of the other side's, so
+        that every pair meets once and no side of a meeting is larger than the threshold.
+        Rows of a hot group whose lane has nothing on the other side meet nobody and go."""
+        one = F.lit(1).cast("long")
+        marked = _marked(side, lanes, LANE, n_lanes <= BROADCAST_GROUPS).filter(
+            ~F.col("_hot") | F.col("_start_salts").isNotNull()
+        )
+        starts, ends = F.coalesce("_start_salts", one), F.coalesce("_end_salts", one)
+        if role == "start":
+            return marked.withColumn("_on_start", _own_salt(starts)).withColumn(
+                "_on_end", _every_salt(ends)
+            )
+        return marked.withColumn("_on_end", _own_salt(ends)).withColumn(
+            "_on_start", _every_salt(starts)
         )
-        return _with_salts(marked, role, F.coalesce("_salts", F.lit(1).cast("long")))
 
     return spread(start, "start"), spread(end, "end")
 
@@ -207,11 +198,11 @@ def _stream_sides(
     timed = passages.withWatermark("timestamp", f"{params.watermark_s} seconds")
     start = timed.filter(~F.col("road_last"))
     end = timed.filter(~F.col("road_first"))
-    if not hot_plates:
-        return start, end
-    hot = F.col("car_plate").isin(*hot_plates)
+    # Lane and salt are part of the key whether plates are named or not, so that the schema
+    # of the state is always the same.
+    hot = F.col("car_plate").isin(*hot_plates) if hot_plates else F.lit(False)
     salts = F.when(F.col("_hot"), params.hot_salts).otherwise(1).cast("long")
     return (
-        _with_salts(_with_lanes(start, "start", hot), "start", salts),
-        _with_salts(_with_lanes(end, "end", hot), "end", salts),
+        _with_lanes(start, "start", hot).withColumn("_on_salt", _own_salt(salts)),
+        _with_lanes(end, "end", hot).withColumn("_on_salt", _every_salt(salts)),
     )

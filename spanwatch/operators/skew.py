@@ -2,26 +2,20 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-# Bounds the broadcast list of heavy keys. With N rows, a key beyond it has fewer than
-# N / MAX_HEAVY_KEYS rows; it is processed unsplit, not left out.
-MAX_HEAVY_KEYS = 10_000
-
 
 def heavy_keys(rows: DataFrame, keys: list[str], above: int, slices: str) -> DataFrame:
     """(keys, <slices>): how many slices of `above` rows each heavy key makes. Counts are
-    exact and the order total, so computing it again gives the same answer."""
+    exact, and no heavy key is left out."""
     return (
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > above)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HEAVY_KEYS)
         .select(*keys, F.ceil(F.col("_n") / above).alias(slices))
     )
 
 
-def heaviest(rows: DataFrame, key: str, above: int, most: int = 1_000) -> tuple:
-    """The values of a key with more than `above` rows, at most `most` of them: the plates
-    to name to a stream, from a table of past passages."""
+def heaviest(rows: DataFrame, key: str, above: int) -> tuple:
+    """The values of a key with more than `above` rows, the largest first: the plates to name
+    to a stream, from a table of past passages. There are at most rows / above of them."""
     heavy = heavy_keys(rows, [key], above, "_slices").orderBy(F.desc("_slices"), key)
-    return tuple(row[key] for row in heavy.limit(most).select(key).collect())
+    return tuple(row[key] for row in heavy.select(key).collect())

@@ -20,8 +20,8 @@ class Params:
     # only if it lies in the last tolerance of its own, so copies cost 1/bin_span.
     bin_span: int = 4
 
-    # Plates with more rows than this in a day are split by camera order, and groups of
-    # (plate, bin) with more start rows than this by salt.
+    # Groups of (plate, bin) with more rows than this on a side are split by camera order,
+    # and what is still larger by salt.
     split_hot_groups: bool = True
     hot_group_rows: int = 20_000
     # Salts of a plate that a stream is told to be hot.
@@ -35,6 +35,3 @@ class Params:
 # The largest dimension that is broadcast; rows are narrow (about 40 bytes), so
 # this is some 4 MB. Larger ones are joined with a shuffle.
 BROADCAST_ROWS = 100_000
-
-# The longest list kept in one document row; longer ones become several parts.
-DOCUMENT_ITEMS = 100_000

@@ -8,15 +8,22 @@ from spanwatch.sources.tables import LONG_CORRIDOR, LONG_TOLERANCE_S
 SHIPPED_TOLERANCE_S = Params().tolerance_s
 WATERMARK_S = Params().watermark_s
 
+
+def plate(number: str) -> str:
+    """A number padded to five digits; longer ones stay whole."""
+    digits = f"CAST({number} AS VARCHAR)"
+    return f"'P' || lpad({digits}, greatest(5, length({digits})), '0')"
+
+
 EV = f"""ev AS (
   SELECT CAST(event_id AS VARCHAR) AS event_id, event_id // 100 AS batch_id,
-         'P' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS car_plate,
+         {plate('user_id')} AS car_plate,
          CAST(1 + event_id % 3 AS INTEGER) AS camera_id, ts, value AS speed_reading,
          '{PRODUCER_PREFIX}' || substr('abc', CAST(1 + event_id % 3 AS INTEGER), 1) AS producer_id
   FROM events)"""
 
-VE = """ve AS (
-  SELECT 'P' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS car_plate, c_name AS owner_name,
+VE = f"""ve AS (
+  SELECT {plate('c_custkey')} AS car_plate, c_name AS owner_name,
          n_name AS owner_addr,
          (['Coupe', 'SUV', 'Sedan', 'Van', 'Truck', 'Motorcycle'])[1 + c_custkey % 6] AS vehicle_type
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
@@ -71,7 +78,8 @@ VIO = """vio AS (
 
 TL = """tl AS (
   SELECT violation_type, speed_limit, car_plate, violation_date,
-         coalesce(ts_us, start_us) AS arrival_us, coalesce(speed, avg_speed) AS speed_val FROM vio)"""
+         coalesce(ts_us, start_us) AS arrival_us, coalesce(speed, avg_speed) AS speed_val,
+         CAST(coalesce(ts_us, end_us) // 3600000000 % 24 AS INTEGER) AS slice FROM vio)"""
 
 PM = """pm AS (
   SELECT strftime(make_timestamp(arrival_us // 60000000 * 60000000), '%Y-%m-%d %H:%M') AS minute,
@@ -97,11 +105,11 @@ AVERAGE_COLUMNS = (
     "car_plate, violation_date, violation_type, speed_limit, camera_id_start, camera_id_end,"
     " epoch_us(ts_start) AS start_us, epoch_us(ts_end) AS end_us, avg_speed"
 )
-DOCUMENTS = """SELECT car_plate, violation_date, CAST(0 AS INTEGER) AS part, count(*) AS n,
+DOCUMENTS = """SELECT car_plate, violation_date, slice, count(*) AS n,
   count(*) FILTER (violation_type = 'speed') AS n_speed,
   count(*) FILTER (violation_type <> 'speed') AS n_avg,
   max(speed_val) AS top_speed, min(arrival_us) AS first_us
-FROM tl GROUP BY car_plate, violation_date"""
+FROM tl GROUP BY car_plate, violation_date, slice"""
 
 ARC = """2 * 6371.0088 * asin(sqrt(
   pow(sin((radians(b.latitude) - radians(a.latitude)) / 2), 2)
@@ -135,7 +143,9 @@ ORACLE: dict[str, str] = {
          FROM cam a JOIN cam b ON a.position < b.position
          WHERE a.camera_id IN (SELECT camera_id FROM ev) AND b.camera_id IN (SELECT camera_id FROM ev)""",
     "vehicle_dim_check": """WITH r AS (
-  SELECT 'P' || lpad(CAST(c_custkey - CASE WHEN c_custkey % 10 = 9 THEN 1 ELSE 0 END AS VARCHAR), 5, '0') AS car_plate,
+  SELECT """
+    + plate("c_custkey - CASE WHEN c_custkey % 10 = 9 THEN 1 ELSE 0 END")
+    + """ AS car_plate,
          CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Bus' ELSE 'Van' END AS vehicle_type FROM customer)
 SELECT car_plate, 'duplicate_plate' AS issue, count(*) AS n_rows FROM r GROUP BY 1 HAVING count(*) > 1
 UNION ALL
@@ -160,10 +170,10 @@ WHERE vehicle_type NOT IN ('Coupe', 'SUV', 'Sedan', 'Van', 'Truck', 'Motorcycle'
            count(*) AS n_events
          FROM ev WHERE batch_id % 10 IN (1, 2, 3, 5) GROUP BY 1""",
     "batch_groups": _with(EV)
-    + """SELECT batch_id, CAST(0 AS INTEGER) AS part, count(*) AS n_events,
+    + """SELECT batch_id, epoch_us(ts) // 3600000000 AS slice, count(*) AS n_events,
            min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us,
            max(speed_reading) AS top_speed, count(DISTINCT car_plate) AS n_plates
-         FROM ev GROUP BY batch_id""",
+         FROM ev GROUP BY ALL""",
     "ingest_metrics": _with(EV)
     + """SELECT count(*) AS n_events, count(DISTINCT batch_id) AS n_batches,
            max(batch_id) AS last_batch FROM ev""",
@@ -189,7 +199,7 @@ WHERE vehicle_type NOT IN ('Coupe', 'SUV', 'Sedan', 'Van', 'Truck', 'Motorcycle'
     + f"SELECT {AVERAGE_COLUMNS} FROM average",
     "violation_union": _with(*LONG_VIO) + "SELECT * FROM vio",
     "daily_merge": _with(*LONG_VIO, TL) + DOCUMENTS,
-    "violation_flatten": _with(*LONG_VIO, TL) + "SELECT * FROM tl",
+    "violation_flatten": _with(*LONG_VIO, TL) + "SELECT * EXCLUDE slice FROM tl",
     "violations_per_minute": _with(*LONG_VIO, TL, PM) + "SELECT * FROM pm",
     "peak_minute": _with(*LONG_VIO, TL, PM)
     + "SELECT * FROM pm ORDER BY n DESC, minute LIMIT 1",

@@ -5,6 +5,7 @@ compared with them.
 """
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,10 +17,12 @@ from spanwatch.params import Params
 from spanwatch.schema import CAMERAS, SPEED
 from spanwatch.sources import dimensions, events as sources, facts, tables
 from spanwatch.streaming import job, replay, sink
-from spanwatch.workspace import fresh_folder
+from spanwatch.workspace import fresh_folder, use_utc
 
 LONG = Params(tolerance_s=tables.LONG_TOLERANCE_S)
 WAVES = 4
+# State stores of the streams: one for each core that they are tested on.
+STATE_PARTITIONS = 8
 
 
 def _micros(name: str, alias: str) -> Column:
@@ -85,7 +88,9 @@ def camera_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_events")
     )
     cameras = dimensions.cameras(spark).join(used, "camera_id", "left_semi")
-    pairs = report.camera_distances(cameras, max_km=100.0)
+    # As long as the corridor is, whatever its length: no pair is left out.
+    corridor = cameras.agg((F.max("position") - F.min("position")).alias("km")).first()["km"]
+    pairs = report.camera_distances(cameras, max_km=max(corridor or 0.0, 1.0))
     return pairs.withColumn("straight_km", F.round("straight_km", 6))
 
 
@@ -97,7 +102,7 @@ def vehicle_dim_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey")
     )
     registry = customer.select(
-        F.concat(F.lit("P"), F.lpad(number.cast("string"), 5, "0")).alias("car_plate"),
+        tables.plate(number).alias("car_plate"),
         F.when(F.col("c_mktsegment") == "MACHINERY", "Bus").otherwise("Van").alias("vehicle_type"),
     )
     return dimensions.vehicle_issues(registry)
@@ -207,13 +212,13 @@ def event_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = documents.batches(_event_columns(tables.camera_events(spark, sf_dir)))
+    grouped = documents.batches(tables.camera_events(spark, sf_dir))
     return grouped.select(
         "batch_id",
-        "part",
+        "slice",
         F.size("events").cast("long").alias("n_events"),
-        F.array_min(F.col("events.ts_us")).alias("first_us"),
-        F.array_max(F.col("events.ts_us")).alias("last_us"),
+        F.unix_micros(F.array_min(F.col("events.timestamp"))).alias("first_us"),
+        F.unix_micros(F.array_max(F.col("events.timestamp"))).alias("last_us"),
         F.array_max(F.col("events.speed_reading")).alias("top_speed"),
         F.size(F.array_distinct(F.col("events.car_plate"))).cast("long").alias("n_plates"),
     )
@@ -335,7 +340,7 @@ def _document_summary(merged: DataFrame) -> DataFrame:
     return merged.select(
         "car_plate",
         "violation_date",
-        "part",
+        "slice",
         F.size("violations").cast("long").alias("n"),
         F.size(instant).cast("long").alias("n_speed"),
         (F.size("violations") - F.size(instant)).cast("long").alias("n_avg"),
@@ -483,7 +488,7 @@ def _replay(
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(landing: str, folder: str):
         decoded = job.passages(sources.file_messages(spark, landing))
-        return job.append_table(decoded, f"{folder}/events", f"{folder}/checkpoint", True)
+        return job.append_table(decoded, f"{folder}/events", f"{folder}/checkpoint", available_now=True)
 
     folder = _replay(spark, sf_dir, start)
     decoded = spark.read.parquet(f"{folder}/events")
@@ -524,7 +529,7 @@ def stream_segment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(landing: str, folder: str):
         passages = job.passages(sources.file_messages(spark, landing))
         pairs = _pair_columns(pair_up(with_limits(passages, _long_cameras(spark)), LONG))
-        return job.append_table(pairs, f"{folder}/pairs", f"{folder}/checkpoint", True)
+        return job.append_table(pairs, f"{folder}/pairs", f"{folder}/checkpoint", STATE_PARTITIONS, True)
 
     folder = _replay(spark, sf_dir, start)
     return spark.read.parquet(f"{folder}/pairs")
@@ -541,7 +546,7 @@ def _run_job(
             f"{folder}/checkpoint",
             LONG,
             daily_path=f"{folder}/daily" if documents_too else None,
-            daily_every=1,
+            state_partitions=STATE_PARTITIONS,
             available_now=True,
         )
 
@@ -565,8 +570,18 @@ def daily_doc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _document_summary(facts.daily_documents(spark, f"{folder}/daily"))
 
 
+def _in_utc(query: Callable[[SparkSession, str], DataFrame]):
+    """The test tables hold times without a zone; all queries read them as UTC."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(use_utc(spark), sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query
+    query.__name__: _in_utc(query)
     for query in (
         camera_dim,
         camera_pair_distance,

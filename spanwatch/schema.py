@@ -128,10 +128,10 @@ DAILY_ITEM = _struct(
 
 DAILY_DOCUMENT = _struct(
     ("car_plate", _TEXT),
-    ("part", _INT),
     ("violations", T.ArrayType(DAILY_ITEM)),
     ("n_violations", _LONG),
     ("violation_date", _TEXT),
+    ("slice", _INT),
 )
 
 DELIVERY_METRICS = _struct(

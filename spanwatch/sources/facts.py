@@ -1,16 +1,23 @@
 """The stored tables: violations and daily documents, a folder per day."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from spanwatch.schema import DAILY_DOCUMENT, STORED_VIOLATION, VIOLATION
 
 DAY = "violation_date"
 
 
-def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+# Up to so many days are named as folders, whose files alone are then listed.
+NAMED_DAYS = 1_000
+SPANS = f"{DAY} STRING, _first BIGINT, _last BIGINT"
+
+
+def create_table(
+    spark: SparkSession, path: str, schema: T.StructType, folders: tuple[str, ...] = (DAY,)
+) -> None:
     """An empty table, unless there is one already."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(DAY).parquet(path)
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*folders).parquet(path)
 
 
 def stored_violations(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
@@ -27,6 +34,28 @@ def stored_violations(spark: SparkSession, path: str, days: list[str] | None = N
         return spark.createDataFrame([], STORED_VIOLATION)
 
 
+def stored_within(
+    spark: SparkSession, path: str, spans: list[tuple[str, int, int]]
+) -> DataFrame:
+    """Stored violations within stretches of event time: (day, first, last) microseconds.
+
+    The days choose folders, by name if they are few and by dynamic pruning if they are
+    many; the stretch as a whole chooses row groups; each day's own stretch chooses rows.
+    """
+    days = sorted({day for day, _, _ in spans})
+    stored = stored_violations(spark, path, days if len(days) <= NAMED_DAYS else None)
+    if not spans:
+        return stored.filter(F.lit(False))
+    known = spark.createDataFrame(spans, SPANS).filter("_first <= _last")
+    low, high = min(s[1] for s in spans), max(s[2] for s in spans)
+    inside = (stored[DAY] == known[DAY]) & F.col("event_us").between(
+        F.col("_first"), F.col("_last")
+    )
+    return stored.filter(F.col("event_us").between(low, high)).join(
+        F.broadcast(known), inside, "left_semi"
+    )
+
+
 def violation_facts(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
     """Violations as detected, without the technical columns."""
     return stored_violations(spark, path, days).select(*VIOLATION.fieldNames())

@@ -1,9 +1,8 @@
 """Camera passages and vehicles as views over the driver's test tables."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spanwatch.schema import CAMERAS, PRODUCER_PREFIX, VEHICLE_TYPES
-from spanwatch.workspace import use_utc
 
 # The same cameras spread over 600 km: test passages of one plate are hours apart,
 # so only a long corridor yields average speeds to judge.
@@ -19,13 +18,16 @@ NATION = "n_nationkey INT, n_name STRING"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    use_utc(spark)
     schema = {"events": EVENTS, "customer": CUSTOMER, "nation": NATION}[name]
     return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _plate(number: str):
-    return F.concat(F.lit("P"), F.lpad(F.col(number).cast("string"), 5, "0"))
+def plate(number: Column) -> Column:
+    """The plate of a number, padded to five digits. Longer numbers stay whole; a plain
+    `lpad` would cut them, and vehicles would share a plate."""
+    digits = number.cast("string")
+    width = F.greatest(F.lit(5), F.length(digits))
+    return F.concat(F.lit("P"), F.lpad(digits, width, F.lit("0")))
 
 
 def camera_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def camera_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"),
         F.expr("event_id DIV 100").alias("batch_id"),
-        _plate("user_id").alias("car_plate"),
+        plate(F.col("user_id")).alias("car_plate"),
         camera.alias("camera_id"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.col("value").alias("speed_reading"),
@@ -50,7 +52,7 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     kinds = F.array(*[F.lit(kind) for kind in VEHICLE_TYPES])
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
-        _plate("c_custkey").alias("car_plate"),
+        plate(F.col("c_custkey")).alias("car_plate"),
         F.col("c_name").alias("owner_name"),
         F.col("n_name").alias("owner_addr"),
         F.element_at(kinds, (F.col("c_custkey") % len(VEHICLE_TYPES) + 1).cast("int")).alias(

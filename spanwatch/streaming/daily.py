@@ -1,56 +1,77 @@
 """Daily documents kept up to date from the stored violations.
 
-A document grows while its day lasts, so it cannot be appended by a stream. The days a
-batch touched are rebuilt from the facts and replace their partitions whole.
+A document grows while its hour lasts, so it cannot be appended by a stream. The hours that a
+batch touched are rebuilt from the facts and replace their partitions whole; other hours of
+the day are neither read nor written.
 """
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spanwatch.operators.documents import daily_merge
-from spanwatch.schema import DAILY_DOCUMENT
-from spanwatch.sources.facts import DAY, create_table, daily_documents, violation_facts
+from spanwatch.operators.documents import SLICE_S, daily_merge, with_slice
+from spanwatch.schema import DAILY_DOCUMENT, VIOLATION
+from spanwatch.sources.facts import (
+    DAY,
+    create_table,
+    daily_documents,
+    stored_within,
+    violation_facts,
+)
+
+FOLDERS = (DAY, "slice")
+
+
+def _span(day: str, hour: int) -> tuple[str, int, int]:
+    """Event times of an hour, in microseconds."""
+    start = datetime.fromisoformat(day).replace(tzinfo=timezone.utc).timestamp()
+    first = (int(start) + hour * SLICE_S) * 1_000_000
+    return day, first, first + SLICE_S * 1_000_000 - 1
 
 
-def refresh_days(spark: SparkSession, facts_path: str, daily_path: str, days: list[str]) -> None:
-    """Rebuilds the documents of the given days."""
-    create_table(spark, daily_path, DAILY_DOCUMENT)
-    if not days:
+def refresh_slices(
+    spark: SparkSession, facts_path: str, daily_path: str, slices: list[tuple[str, int]]
+) -> None:
+    """Rebuilds the documents of the given (day, hour) slices."""
+    create_table(spark, daily_path, DAILY_DOCUMENT, FOLDERS)
+    if not slices:
         return
+    facts = stored_within(spark, facts_path, [_span(*touched) for touched in slices])
     (
-        daily_merge(violation_facts(spark, facts_path, days), distinct=True)
+        daily_merge(facts.select(*VIOLATION.fieldNames()), distinct=True)
         .withColumn("n_violations", F.size("violations").cast("long"))
         .select(*DAILY_DOCUMENT.fieldNames())
-        .hint("rebalance", DAY)
-        .sortWithinPartitions(DAY, "car_plate", "part")
+        .hint("rebalance", *FOLDERS)
+        .sortWithinPartitions(*FOLDERS, "car_plate")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
+        .partitionBy(*FOLDERS)
         .parquet(daily_path)
     )
 
 
-def stale_days(spark: SparkSession, facts_path: str, daily_path: str) -> DataFrame:
-    """Days whose documents hold another number of violations than the facts do. Facts
-    are only ever added, so equal numbers mean the day is up to date. Finds what a
-    stopped or less frequent refresh has left; one row per day at most."""
-    create_table(spark, daily_path, DAILY_DOCUMENT)
+def stale_slices(spark: SparkSession, facts_path: str, daily_path: str) -> DataFrame:
+    """Slices whose documents hold another number of violations than the facts do. Facts
+    are only ever added, so equal numbers mean the slice is up to date. Reads both tables:
+    for repairs, and for the day on which documents are first kept."""
+    create_table(spark, daily_path, DAILY_DOCUMENT, FOLDERS)
     in_facts = (
-        violation_facts(spark, facts_path)
-        .groupBy(DAY)
+        with_slice(violation_facts(spark, facts_path))
+        .groupBy(*FOLDERS)
         .agg(F.count(F.lit(1)).alias("n_facts"))
     )
     in_documents = (
         daily_documents(spark, daily_path)
-        .groupBy(DAY)
+        .groupBy(*FOLDERS)
         .agg(F.sum("n_violations").alias("n_documents"))
     )
-    return in_facts.join(in_documents, DAY, "left").filter(
+    return in_facts.join(in_documents, list(FOLDERS), "left").filter(
         ~F.col("n_facts").eqNullSafe(F.col("n_documents"))
     )
 
 
-def refresh_stale(spark: SparkSession, facts_path: str, daily_path: str) -> list[str]:
-    stale = stale_days(spark, facts_path, daily_path).select(DAY)
-    days = sorted(row[DAY] for row in stale.collect())
-    refresh_days(spark, facts_path, daily_path, days)
-    return days
+def refresh_stale(spark: SparkSession, facts_path: str, daily_path: str) -> list[tuple[str, int]]:
+    stale = stale_slices(spark, facts_path, daily_path).select(*FOLDERS)
+    slices = sorted((row[DAY], row["slice"]) for row in stale.collect())
+    refresh_slices(spark, facts_path, daily_path, slices)
+    return slices

@@ -5,9 +5,8 @@ The source is read by three branches: readings, entries and exits. To read Kafka
 JSON once only, let one stream append `passages` to a table with `append_table` and
 start the job on `stored_passages` of it, at the price of one more hop.
 
-The number of shuffle partitions is fixed by the first run of a checkpoint, so set
-spark.sql.shuffle.partitions to what the busiest hour needs before starting; unset, it
-is the number of cores.
+The number of state partitions is fixed by the first run of a checkpoint, so it has to be
+named: as many as the busiest hour needs.
 """
 
 import warnings
@@ -22,10 +21,11 @@ from spanwatch.operators.enrich import with_limits
 from spanwatch.operators.messages import decode, quality_filter
 from spanwatch.operators.report import longest_violation_s
 from spanwatch.params import Params
-from spanwatch.schema import STORED_VIOLATION
-from spanwatch.sources.facts import create_table
-from spanwatch.streaming.daily import refresh_days, refresh_stale
+from spanwatch.streaming.daily import refresh_slices
 from spanwatch.streaming.sink import write_violations
+from spanwatch.workspace import check_utc
+
+ROUTING = "hot_plates ARRAY<STRING>, hot_salts INT"
 
 # Join state may outgrow executor memory: RocksDB keeps it on the executor's disk and
 # uploads changes only; join format 3 commits one store per partition instead of four.
@@ -39,19 +39,24 @@ STREAM_SETTINGS = {
 
 
 @contextmanager
-def stream_settings(spark: SparkSession) -> Iterator[None]:
-    """STREAM_SETTINGS, and one state partition per core, for queries started inside; a
-    query keeps the settings it was started with. What the session sets itself stays."""
-    cores = str(spark.sparkContext.defaultParallelism)
-    wanted = {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": cores}
-    mine = {key: value for key, value in wanted.items() if spark.conf.get(key, None) is None}
+def stream_settings(spark: SparkSession, state_partitions: int | None) -> Iterator[None]:
+    """STREAM_SETTINGS and the number of state partitions for queries started inside; a
+    query keeps the settings it was started with. What the session sets itself stays, but
+    for the number of partitions, which belongs to the query."""
+    mine = {key: value for key, value in STREAM_SETTINGS.items() if spark.conf.get(key, None) is None}
+    if state_partitions:
+        mine["spark.sql.shuffle.partitions"] = str(state_partitions)
+    before = {key: spark.conf.get(key, None) for key in mine}
     for key, value in mine.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
-        for key in mine:
-            spark.conf.unset(key)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def passages(messages: DataFrame) -> DataFrame:
@@ -71,7 +76,7 @@ def detected(
 
 def warn_if_blind(cameras: DataFrame, params: Params) -> None:
     """A pair that is too fast but takes longer than the tolerance is never seen."""
-    needed = longest_violation_s(cameras).first()["seconds"]
+    needed = longest_violation_s(cameras, params.road_axis).first()["seconds"]
     if needed is not None and needed > params.tolerance_s:
         warnings.warn(
             f"tolerance of {params.tolerance_s} s misses violations that take up to {needed:.0f} s",
@@ -79,6 +84,23 @@ def warn_if_blind(cameras: DataFrame, params: Params) -> None:
         )
 
 
+def check_routing(
+    spark: SparkSession, checkpoint: str, hot_plates: tuple[str, ...], params: Params
+) -> None:
+    """State lies where the routing of plates put it, so a checkpoint keeps the routing it was
+    started with: it is stored beside the checkpoint, and another one is refused. Rows that
+    wait in state would otherwise be looked for elsewhere, and their pairs lost."""
+    path = f"{checkpoint.rstrip('/')}-routing"
+    wanted = (sorted(set(hot_plates)), params.hot_salts)
+    spark.createDataFrame([wanted], ROUTING).coalesce(1).write.mode("ignore").parquet(path)
+    kept = spark.read.schema(ROUTING).parquet(path).first()
+    if (list(kept["hot_plates"]), kept["hot_salts"]) != wanted:
+        raise ValueError(
+            f"{checkpoint} was started with hot plates {list(kept['hot_plates'])} and"
+            f" {kept['hot_salts']} salts; start with these, or with a new checkpoint"
+        )
+
+
 def start(
     events: DataFrame,
     cameras: DataFrame,
@@ -87,25 +109,25 @@ def start(
     params: Params = Params(),
     metrics_path: str | None = None,
     daily_path: str | None = None,
-    daily_every: int = 60,
     hot_plates: tuple[str, ...] = (),
     available_now: bool = False,
+    *,
+    state_partitions: int,
 ) -> StreamingQuery:
-    """Starts the job. With a daily path, the documents of the days touched are rebuilt
-    every `daily_every` epochs; what a stopped run has left is made up for at the start."""
+    """Starts the job. With a daily path, each batch rebuilds the documents of the hours it
+    touched before it counts as done: a batch that stops half-way comes again whole, so
+    documents are complete whenever the job stands still."""
+    spark = events.sparkSession
+    check_utc(spark)
     warn_if_blind(cameras, params)
-    if daily_path:
-        create_table(events.sparkSession, facts_path, STORED_VIOLATION)
-        refresh_stale(events.sparkSession, facts_path, daily_path)
-    touched: set[str] = set()
+    check_routing(spark, checkpoint, hot_plates, params)
 
     def deliver(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        run_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        touched.update(write_violations(batch, facts_path, run_id, epoch, metrics_path))
-        if daily_path and epoch % daily_every == 0:
-            refresh_days(spark, facts_path, daily_path, sorted(touched))
-            touched.clear()
+        session = batch.sparkSession
+        run_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        touched = write_violations(batch, facts_path, run_id, epoch, metrics_path)
+        if daily_path:
+            refresh_slices(session, facts_path, daily_path, touched)
 
     writer = (
         detected(events, cameras, params, hot_plates)
@@ -113,28 +135,37 @@ def start(
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    return _started(writer, events.sparkSession, params, available_now)
+    return _started(writer, spark, params, state_partitions, available_now)
 
 
 def _started(
-    writer: DataStreamWriter, spark: SparkSession, params: Params, available_now: bool
+    writer: DataStreamWriter,
+    spark: SparkSession,
+    params: Params,
+    state_partitions: int | None,
+    available_now: bool,
 ) -> StreamingQuery:
     trigger = {"availableNow": True} if available_now else {"processingTime": params.trigger}
-    with stream_settings(spark):
+    with stream_settings(spark, state_partitions):
         return writer.trigger(**trigger).start()
 
 
 def append_table(
-    stream: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    state_partitions: int | None = None,
+    available_now: bool = False,
 ) -> StreamingQuery:
-    """Writes a stream to a Parquet table as it is, each row once."""
+    """Writes a stream to a Parquet table as it is, each row once. A stream that keeps state
+    names its partitions."""
     writer = (
         stream.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
-    return _started(writer, stream.sparkSession, Params(), available_now)
+    return _started(writer, stream.sparkSession, Params(), state_partitions, available_now)
 
 
 def late_rows(query: StreamingQuery) -> int:

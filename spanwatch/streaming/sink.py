@@ -10,13 +10,13 @@ what the other is writing.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanwatch.functions.values import event_time
+from spanwatch.operators.documents import with_slice
 from spanwatch.schema import DELIVERY_METRICS, STORED_VIOLATION, VIOLATION_KEY
-from spanwatch.sources.facts import DAY, create_table, stored_violations
+from spanwatch.sources.facts import DAY, create_table, stored_violations, stored_within
 
 # Up to so many rows a batch is broadcast to the stored table, whose rows then need no
-# shuffle; and up to so many days are named one by one.
+# shuffle.
 BROADCAST_BATCH_ROWS = 200_000
-NAMED_DAYS = 1_000
 
 
 def _same(left: str, right: str):
@@ -37,18 +37,13 @@ def _per_day(prepared: DataFrame) -> DataFrame:
 
 
 def _not_stored(prepared: DataFrame, path: str, per_day: list) -> DataFrame:
-    """Rows of the batch that the table lacks. The days choose folders and the time span
-    chooses row groups, so a batch reads little more than its own stretch of time."""
-    spark = prepared.sparkSession
-    if len(per_day) > NAMED_DAYS:
-        stored = stored_violations(spark, path)
-    else:
-        first, last = min(day["first"] for day in per_day), max(day["last"] for day in per_day)
-        named = stored_violations(spark, path, [day[DAY] for day in per_day])
-        stored = named.filter(F.col("event_us").between(first, last))
-        if sum(day["prepared"] for day in per_day) <= BROADCAST_BATCH_ROWS:
-            keys = F.broadcast(prepared.select(*VIOLATION_KEY).alias("b"))
-            stored = stored.alias("t").join(keys, _same("t", "b"), "left_semi")
+    """Rows of the batch that the table lacks. Only the stretches of time that the batch is
+    about are read, however many days they lie in."""
+    spans = [(day[DAY], day["first"], day["last"]) for day in per_day]
+    stored = stored_within(prepared.sparkSession, path, spans)
+    if sum(day["prepared"] for day in per_day) <= BROADCAST_BATCH_ROWS:
+        keys = F.broadcast(prepared.select(*VIOLATION_KEY).alias("b"))
+        stored = stored.alias("t").join(keys, _same("t", "b"), "left_semi")
     return prepared.alias("b").join(
         stored.select(*VIOLATION_KEY).alias("t"), _same("b", "t"), "left_anti"
     )
@@ -56,9 +51,12 @@ def _not_stored(prepared: DataFrame, path: str, per_day: list) -> DataFrame:
 
 def write_violations(
     batch: DataFrame, path: str, run_id: str, epoch: int, metrics_path: str | None = None
-) -> list[str]:
-    """Inserts the violations of a batch that are not stored yet and returns the days
-    the batch is about. An empty batch writes nothing."""
+) -> list[tuple[str, int]]:
+    """Inserts the violations of a batch that are not stored yet and returns the (day, hour)
+    slices that the batch is about, stored before or not. An empty batch writes nothing.
+
+    What comes to the driver is a row per day or slice of the batch, so no more rows than
+    the intake limit lets into one batch."""
     spark = batch.sparkSession
     create_table(spark, path, STORED_VIOLATION)
     prepared = (
@@ -68,7 +66,7 @@ def write_violations(
         .persist()
     )
     try:
-        per_day = _per_day(prepared).limit(NAMED_DAYS + 1).collect()
+        per_day = _per_day(prepared).collect()
         if not per_day:
             return []
         (
@@ -81,15 +79,15 @@ def write_violations(
             .partitionBy(DAY)
             .parquet(path)
         )
-        if len(per_day) > NAMED_DAYS:
-            per_day = _per_day(prepared).collect()
-        days = [day[DAY] for day in per_day]
         if metrics_path:
-            written = stored_violations(spark, path, days if len(days) <= NAMED_DAYS else None)
-            inserted = written.filter((F.col("run_id") == run_id) & (F.col("epoch") == epoch))
+            spans = [(day[DAY], day["first"], day["last"]) for day in per_day]
+            inserted = stored_within(spark, path, spans).filter(
+                (F.col("run_id") == run_id) & (F.col("epoch") == epoch)
+            )
             counts = (sum(day[name] for day in per_day) for name in ("received", "prepared"))
             _append_metrics(spark, metrics_path, (run_id, epoch, *counts, inserted.count()))
-        return days
+        slices = with_slice(prepared).select(DAY, "slice").distinct().collect()
+        return sorted((row[DAY], row["slice"]) for row in slices)
     finally:
         prepared.unpersist()
 

@@ -12,34 +12,30 @@ ROWS = (
 )
 
 
-@pytest.mark.parametrize("max_items", [1000, 5, 1])
-def test_flatten_undoes_merge(spark, max_items):
+def test_flatten_undoes_merge(spark):
     found = violations(enriched(spark, ROWS))
-    merged = daily_merge(found, max_items=max_items)
+    merged = daily_merge(found)
     assert bag(flatten_documents(merged)) == bag(timeline(found))
 
 
-def test_one_document_per_plate_and_day(spark):
-    merged = daily_merge(violations(enriched(spark, ROWS))).collect()
-    sizes = {(d["car_plate"], d["violation_date"], d["part"]): len(d["violations"]) for d in merged}
-    assert sizes == {("A", "2024-03-01", 0): 20, ("B", "2024-03-01", 0): 7, ("C", "2024-03-02", 0): 1}
-
-
-def test_a_long_document_is_split_and_copies_too(spark):
-    found = violations(enriched(spark, ROWS))
-    merged = daily_merge(found, max_items=3).collect()
-    parts = {}
-    for d in merged:
-        parts.setdefault(d["car_plate"], []).append(len(d["violations"]))
-    assert {plate: sum(sizes) for plate, sizes in parts.items()} == {"A": 20, "B": 7, "C": 1}
-    assert len(parts["A"]) > 3 and len(parts["C"]) == 1
+def test_one_document_per_plate_and_hour_at_any_size(spark):
+    rows = [*ROWS, ("A", 1, "09:30:00", 150.0)] + [("D", 1, "07:00:00", 200.0)] * 500
+    merged = daily_merge(violations(enriched(spark, rows))).collect()
+    sizes = {(d["car_plate"], d["violation_date"], d["slice"]): len(d["violations"]) for d in merged}
+    assert sizes == {
+        ("A", "2024-03-01", 8): 20,
+        ("A", "2024-03-01", 9): 1,
+        ("B", "2024-03-01", 9): 7,
+        ("C", "2024-03-02", 0): 1,
+        ("D", "2024-03-01", 7): 500,
+    }
 
 
 def test_merge_of_rows_known_to_be_distinct(spark):
     found = violations(enriched(spark, ROWS)).distinct()
-    merged = daily_merge(found, max_items=4, distinct=True)
+    merged = daily_merge(found, distinct=True)
     assert bag(flatten_documents(merged)) == bag(timeline(found))
-    assert bag(daily_merge(found, distinct=True)) == bag(daily_merge(found))
+    assert bag(merged) == bag(daily_merge(found))
 
 
 def test_batches_leave_out_events_without_one(spark):

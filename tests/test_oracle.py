@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import difference, oracle
+from spanwatch.plans.oracle import ORACLE
+from spanwatch.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,9 +16,9 @@ def connection():
 
 
 @pytest.mark.filterwarnings("ignore:tolerance of")
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, connection, name):
-    assert difference(queries()[name](spark, SF), connection, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF), connection, ORACLE[name]) is None
 
 
 def test_entry_has_rows(spark):
@@ -24,4 +26,4 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)

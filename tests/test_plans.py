@@ -12,6 +12,7 @@ from spanwatch.operators.enrich import with_limits
 from spanwatch.operators.report import hotspots, vehicle_day
 from spanwatch.operators.segments import segment_pairs
 from spanwatch.plans.queries import QUERIES
+from spanwatch.sources import facts
 from spanwatch.sources.facts import stored_violations, violation_facts
 from spanwatch.sources.tables import camera_events
 from spanwatch.streaming.sink import _not_stored, write_violations
@@ -78,6 +79,22 @@ def test_a_delivery_reads_its_days_and_its_stretch_of_time(spark, tmp_path):
     assert stored_violations(spark, path, ["1999-01-01"]).count() == 0
 
 
+def test_a_delivery_about_very_many_days_is_pruned_too(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(facts, "NAMED_DAYS", 1)
+    path = str(tmp_path / "facts")
+    rows = [("A", 1, f"2024-03-0{n} 08:00:00", 150.0) for n in (1, 2, 3)]
+    found = violations(enriched(spark, rows))
+    write_violations(found, path, "run", 0)
+    prepared = found.withColumn("event_us", F.unix_micros("event_details.timestamp"))
+    days = [
+        {"violation_date": f"2024-03-0{n}", "first": 5 + n, "last": 7 + n, "prepared": 1}
+        for n in (1, 2)
+    ]
+    text = plan(_not_stored(prepared, path, days))
+    assert "GreaterThanOrEqual(event_us,6), LessThanOrEqual(event_us,9)" in text
+    assert "dynamicpruning" in text
+
+
 def test_facts_are_written_in_one_pass_by_day(spark, tmp_path):
     path = str(tmp_path / "facts")
     rows = [("A", 1, f"2024-03-0{1 + n % 3} 08:{n:02d}:00", 150.0) for n in range(60)]

@@ -58,9 +58,16 @@ def test_camera_file_gives_the_same_dimension(spark, tmp_path, cams):
     assert bag(cameras_csv(spark, str(tmp_path / "camera.csv"))) == bag(cams)
 
 
-@pytest.mark.parametrize("heavy_rows", [1000, 3])
-def test_report_names_owner_and_places(found, vehicles, cams, heavy_rows):
-    rows = report.enforcement_report(found, vehicles, cams, heavy_rows).collect()
+def test_a_plate_with_two_vehicles_gives_one_row(found, vehicles, cams):
+    twice = vehicles.unionByName(
+        vehicles.withColumn("owner_name", F.concat(F.lit("~"), "owner_name"))
+    )
+    want = report.enforcement_report(found, vehicles, cams)
+    assert bag(report.enforcement_report(found, twice, cams)) == bag(want)
+
+
+def test_report_names_owner_and_places(found, vehicles, cams):
+    rows = report.enforcement_report(found, vehicles, cams).collect()
     assert len(rows) == found.count() == 22
     by_type = {(r["car_plate"], r["violation_type"]): r for r in rows}
     average = by_type[("A", "average_speed")]

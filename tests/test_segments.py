@@ -81,16 +81,35 @@ def test_a_hot_plate_is_split_by_its_size(spark):
     rows += [(f"P{n}", 1, "08:00:00", 50.0) for n in range(2000)]
     params = Params(hot_group_rows=100)
     start, end = sides(spark, rows, params)
-    hot = end.filter("_hot").groupBy("_on_lane").agg(F.max("_on_salt").alias("last"))
+    hot = end.filter("_hot").groupBy("_on_lane").agg(F.max("_on_start").alias("last"))
     assert sorted(row["last"] for row in hot.collect()) == [3, 6]
     assert start.filter("NOT _hot").count() == 2000
 
 
-def test_a_plate_at_one_camera_only_is_not_copied(spark):
+def largest(side):
+    keys = [name for name in side.columns if name.startswith("_on_")]
+    return max(row["count"] for row in side.groupBy("car_plate", *keys).count().collect())
+
+
+@pytest.mark.parametrize("entries, exits", [(50, 2000), (2000, 50)])
+def test_a_lane_heavy_at_one_end_is_split_at_that_end(spark, entries, exits):
+    rows = [("HOT", 1, f"08:00:{n % 60:02d}", 50.0) for n in range(entries)]
+    rows += [("HOT", 3, f"08:01:{n % 60:02d}", 50.0) for n in range(exits)]
+    start, end = sides(spark, rows, Params(hot_group_rows=100))
+    assert largest(start) <= 130 and largest(end) <= 130
+
+
+def test_hundred_hot_plates_in_one_day_are_all_split(spark):
+    rows = [(f"H{n % 100}", 1 + n // 100 % 3, f"08:00:{n % 60:02d}", 50.0) for n in range(6000)]
+    start, end = sides(spark, rows, Params(hot_group_rows=15))
+    assert end.filter("_hot").select("car_plate").distinct().count() == 100
+    assert largest(start) <= 45 and largest(end) <= 45
+
+
+def test_a_hot_plate_at_one_camera_only_meets_nobody(spark):
     rows = [("HOT", 2, f"08:00:{n % 60:02d}", 50.0) for n in range(1000)]
     start, end = sides(spark, rows, Params(hot_group_rows=100))
-    assert start.count() == end.count() == 1000
-    assert start.join(end, ["car_plate", "_on_bin", "_on_lane"]).count() == 0
+    assert start.count() == end.count() == 0
 
 
 def test_a_table_without_hot_plates_is_left_alone(spark):

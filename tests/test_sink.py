@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from rows import bag, enriched
 from spanwatch.operators.detect import violations
+from spanwatch.sources import facts
 from spanwatch.sources.facts import daily_documents, stored_violations, violation_facts
 from spanwatch.streaming import sink
-from spanwatch.streaming.daily import refresh_days, refresh_stale, stale_days
+from spanwatch.streaming.daily import refresh_slices, refresh_stale, stale_slices
 
 ROWS = [
     ("A", 1, "2024-03-01 08:00:00", 150.0),
@@ -31,8 +32,8 @@ def plus(batch, km):
 
 
 def test_insert_if_absent(spark, batch, table):
-    days = sink.write_violations(batch.unionByName(batch), table, "run", 0)
-    assert sorted(days) == ["2024-03-01", "2024-03-02"]
+    touched = sink.write_violations(batch.unionByName(batch), table, "run", 0)
+    assert touched == [("2024-03-01", 8), ("2024-03-02", 9)]
     assert bag(violation_facts(spark, table)) == bag(batch)
     sink.write_violations(plus(batch, 10), table, "run", 0)  # the same epoch again
     sink.write_violations(plus(batch, 10), table, "run", 1)  # redelivered later
@@ -70,7 +71,7 @@ def test_new_rows_among_stored_ones(spark, batch, table):
 
 @pytest.mark.parametrize("limit", ["NAMED_DAYS", "BROADCAST_BATCH_ROWS"])
 def test_large_batches_take_the_other_plan(spark, batch, table, monkeypatch, limit, tmp_path):
-    monkeypatch.setattr(sink, limit, 1)
+    monkeypatch.setattr(facts if limit == "NAMED_DAYS" else sink, limit, 1)
     metrics = str(tmp_path / "metrics")
     for epoch in range(2):
         sink.write_violations(plus(batch, 10 * epoch), table, "run", epoch, metrics)
@@ -111,13 +112,11 @@ def document_sizes(spark, path):
 
 def test_daily_documents_follow_the_facts(spark, batch, table, tmp_path):
     daily = str(tmp_path / "daily")
-    days = sink.write_violations(batch.filter("violation_type = 'speed'"), table, "r", 0)
-    refresh_days(spark, table, daily, days)
+    touched = sink.write_violations(batch.filter("violation_type = 'speed'"), table, "r", 0)
+    refresh_slices(spark, table, daily, touched)
     assert document_sizes(spark, daily) == {("A", "2024-03-01"): 1, ("B", "2024-03-02"): 1}
     sink.write_violations(batch, table, "r", 1)
-    assert [row["violation_date"] for row in stale_days(spark, table, daily).collect()] == [
-        "2024-03-01"
-    ]
-    assert refresh_stale(spark, table, daily) == ["2024-03-01"]
+    assert [row["slice"] for row in stale_slices(spark, table, daily).collect()] == [8]
+    assert refresh_stale(spark, table, daily) == [("2024-03-01", 8)]
     assert document_sizes(spark, daily) == {("A", "2024-03-01"): 2, ("B", "2024-03-02"): 1}
     assert refresh_stale(spark, table, daily) == []

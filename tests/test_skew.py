@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rows import bag, enriched, passages
@@ -33,19 +35,33 @@ def test_heavy_keys_are_counted_exactly(spark):
     assert heaviest(events, "car_plate", 200) == ()
 
 
-def test_a_hot_day_is_split_and_whole(spark):
+def test_no_heavy_key_is_left_out(spark):
+    events = passages(spark, [(f"P{n % 300}", 1, "08:00:00", 1.0) for n in range(900)])
+    assert heavy_keys(events, ["car_plate"], 2, "slices").count() == 300
+
+
+def test_a_hot_day_is_split_by_the_hour_and_whole(spark):
     found = violations(enriched(spark, third_hot(270)))
-    merged = daily_merge(found, max_items=10)
+    merged = daily_merge(found)
     assert bag(flatten_documents(merged)) == bag(timeline(found))
-    hot = merged.filter("car_plate = 'HOT'").select(F.size("violations").alias("n")).collect()
-    assert len(hot) > 5 and max(row["n"] for row in hot) < found.filter("car_plate = 'HOT'").count() / 2
+    hot = merged.filter("car_plate = 'HOT'").select("slice").collect()
+    assert sorted(row["slice"] for row in hot) == [8, 9]
 
 
-def test_a_hot_batch_is_split_and_whole(spark):
+def test_a_hot_batch_is_split_by_the_hour_and_whole(spark):
     events = passages(spark, third_hot(270)).withColumn("batch_id", F.lit(1).cast("long"))
-    grouped = batches(events, max_items=20)
+    grouped = batches(events)
     assert grouped.agg(F.sum(F.size("events"))).first()[0] == 270
-    assert grouped.count() > 5
+    assert grouped.count() == 3
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        fresh_folder(Session, "x")
 
 
 def test_the_named_folder_is_used(spark):

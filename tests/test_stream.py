@@ -6,6 +6,7 @@ import warnings
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from rows import bag, enriched, passages
@@ -23,13 +24,8 @@ from spanwatch.streaming.sink import delivery_metrics
 START = datetime(2024, 3, 1, 8)
 
 
-@pytest.fixture(autouse=True)
-def few_state_partitions(spark):
-    """Each partition of the state costs files per micro-batch; two are enough here."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
-    yield
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+# Each partition of the state costs files per micro-batch.
+FEW = 2
 
 
 def traffic(seconds, plates=3):
@@ -57,6 +53,7 @@ def run(spark, tmp_path, events, wave, waves, **options):
             f"{folder}/violations",
             f"{folder}/checkpoint",
             available_now=True,
+            state_partitions=FEW,
             **options,
         ),
     )
@@ -81,7 +78,6 @@ def test_stream_equals_batch(spark, tmp_path, hot_plates):
         hot_plates=hot_plates,
         metrics_path=f"{tmp_path}/metrics",
         daily_path=f"{tmp_path}/daily",
-        daily_every=1,
     )
     wanted = violations(enriched(spark, rows)).distinct()
     assert bag(stored) == bag(wanted) and wanted.count() > 10
@@ -107,6 +103,7 @@ def test_decoding_and_detecting_as_two_streams(spark, tmp_path):
             f"{folder}/violations",
             f"{folder}/checkpoint2",
             available_now=True,
+            state_partitions=FEW,
         )
 
     replay.release(passages(spark, rows), f"{folder}/landing", by_minute(1), 3, resume)
@@ -133,27 +130,72 @@ def test_state_stays_bounded(spark, tmp_path):
     assert max(held[2:]) <= max(held[:2])
 
 
-def test_documents_refreshed_less_often_catch_up(spark, tmp_path):
-    rows = traffic(60, plates=2)
-    stored, _ = run(
-        spark,
-        tmp_path,
-        passages(spark, rows),
-        by_minute(1),
-        3,
-        daily_path=f"{tmp_path}/daily",
-        daily_every=100,
-    )
-    refresh_stale(spark, f"{tmp_path}/violations", f"{tmp_path}/daily")
+def test_documents_are_complete_after_a_stop_between_facts_and_documents(
+    spark, tmp_path, monkeypatch
+):
+    rows, calls = traffic(60, plates=2), []
+    refresh = job.refresh_slices
+
+    def stops_once(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise RuntimeError("lost between facts and documents")
+        refresh(*args)
+
+    monkeypatch.setattr(job, "refresh_slices", stops_once)
+    options = {"daily_path": f"{tmp_path}/daily"}
+    with pytest.raises(StreamingQueryException, match="lost between"):
+        run(spark, tmp_path, passages(spark, rows), by_minute(1), 1, **options)
+    assert violation_facts(spark, f"{tmp_path}/violations").count() > 0
+    job.start(
+        job.passages(file_messages(spark, f"{tmp_path}/landing")),
+        cameras(spark),
+        f"{tmp_path}/violations",
+        f"{tmp_path}/checkpoint",
+        available_now=True,
+        state_partitions=FEW,
+        **options,
+    ).awaitTermination()
+    stored = violation_facts(spark, f"{tmp_path}/violations")
     documented = daily_documents(spark, f"{tmp_path}/daily").agg(F.sum("n_violations")).first()[0]
     assert documented == stored.count()
+    assert refresh_stale(spark, f"{tmp_path}/violations", f"{tmp_path}/daily") == []
+
+
+def test_another_routing_than_the_checkpoint_has_is_refused(spark, tmp_path):
+    checkpoint = f"{tmp_path}/checkpoint"
+    job.check_routing(spark, checkpoint, ("B", "A"), Params())
+    job.check_routing(spark, checkpoint, ("A", "B"), Params())
+    for plates, params in [((), Params()), (("A",), Params()), (("A", "B"), Params(hot_salts=3))]:
+        with pytest.raises(ValueError, match="new checkpoint"):
+            job.check_routing(spark, checkpoint, plates, params)
+
+
+def test_a_job_in_another_zone_is_refused(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kuala_Lumpur")
+    try:
+        with pytest.raises(ValueError, match="timeZone"):
+            run(spark, tmp_path, passages(spark, []), F.lit(0), 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_limits_of_zero_and_the_id_axis_do_not_stop_the_job(spark):
+    dim = cameras(spark, [(1, 2.0, 102.0, 1.0, 0), (9, 2.0, 102.0, 2.0, 60)])
+    with pytest.warns(UserWarning, match="up to 480 s"):
+        job.warn_if_blind(dim, Params(road_axis="camera_id"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        job.warn_if_blind(dim, Params())
 
 
 def test_settings_are_not_left_behind(spark):
     before = {key: spark.conf.get(key, None) for key in job.STREAM_SETTINGS}
-    with job.stream_settings(spark):
+    with job.stream_settings(spark, FEW):
         assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(FEW)
     assert {key: spark.conf.get(key, None) for key in job.STREAM_SETTINGS} == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
 def test_join_state_holds_only_what_the_result_needs(spark, tmp_path):
