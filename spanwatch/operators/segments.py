@@ -198,9 +198,9 @@ def _stream_sides(
     timed = passages.withWatermark("timestamp", f"{params.watermark_s} seconds")
     start = timed.filter(~F.col("road_last"))
     end = timed.filter(~F.col("road_first"))
-    # Lane and salt are part of the key whether plates are named or not, so that the schema
-    # of the state is always the same.
-    hot = F.col("car_plate").isin(*hot_plates) if hot_plates else F.lit(False)
+    if not hot_plates:
+        return start, end
+    hot = F.col("car_plate").isin(*hot_plates)
     salts = F.when(F.col("_hot"), params.hot_salts).otherwise(1).cast("long")
     return (
         _with_lanes(start, "start", hot).withColumn("_on_salt", _own_salt(salts)),

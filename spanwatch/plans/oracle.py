@@ -12,7 +12,7 @@ WATERMARK_S = Params().watermark_s
 def plate(number: str) -> str:
     """A number padded to five digits; longer ones stay whole."""
     digits = f"CAST({number} AS VARCHAR)"
-    return f"'P' || lpad({digits}, greatest(5, length({digits})), '0')"
+    return f"'P' || lpad({digits}, CAST(greatest(5, length({digits})) AS INTEGER), '0')"
 
 
 EV = f"""ev AS (

@@ -3,6 +3,7 @@
 import contextlib
 import io
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,10 +12,11 @@ from spanwatch.operators.detect import average_violations, violations
 from spanwatch.operators.enrich import with_limits
 from spanwatch.operators.report import hotspots, vehicle_day
 from spanwatch.operators.segments import segment_pairs
+from spanwatch.plans.oracle import plate as plate_sql
 from spanwatch.plans.queries import QUERIES
 from spanwatch.sources import facts
 from spanwatch.sources.facts import stored_violations, violation_facts
-from spanwatch.sources.tables import camera_events
+from spanwatch.sources.tables import camera_events, plate
 from spanwatch.streaming.sink import _not_stored, write_violations
 
 # Queries that write tables first; what they then return is a plain scan.
@@ -116,3 +118,12 @@ def test_no_python_and_no_cross_join_in_any_plan(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in text
+
+
+def test_plates_of_any_length_stay_apart(spark):
+    numbers = [12345, 123450, 123459, 1234567, 7]
+    frame = spark.createDataFrame([(n,) for n in numbers], "n long")
+    plates = [row["p"] for row in frame.select(plate(F.col("n")).alias("p")).collect()]
+    assert sorted(plates) == ["P00007", "P12345", "P123450", "P123459", "P1234567"]
+    sql = " UNION ALL ".join(f"SELECT {plate_sql(str(n))} AS p" for n in numbers)
+    assert sorted(p for (p,) in duckdb.sql(sql).fetchall()) == sorted(plates)
