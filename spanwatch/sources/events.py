@@ -73,9 +73,26 @@ def publish_options(servers: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, **KAFKA_WRITER}
 
 
-def publish(messages: DataFrame, servers: str) -> None:
-    """Writes messages to the topics they name. Needs the connector package."""
-    messages.write.format("kafka").options(**publish_options(servers)).save()
+def publishable(messages: DataFrame) -> DataFrame:
+    """Messages that name a topic. A passage without a camera has none, and one such message
+    would fail the whole write."""
+    return messages.filter(F.col("topic").isNotNull())
+
+
+def publish_counts(messages: DataFrame) -> DataFrame:
+    """(topic, sent, refused): what `publish` writes to each topic, and under no topic what
+    it leaves out."""
+    return messages.groupBy("topic").agg(
+        F.count_if(F.col("topic").isNotNull()).alias("sent"),
+        F.count_if(F.col("topic").isNull()).alias("refused"),
+    )
+
+
+def publish(messages: DataFrame, servers: str) -> DataFrame:
+    """Writes messages to the topics they name and returns `publish_counts`. Needs the
+    connector package."""
+    publishable(messages).write.format("kafka").options(**publish_options(servers)).save()
+    return publish_counts(messages)
 
 
 def _file_stream(spark: SparkSession, schema, path: str, max_files: int | None) -> DataFrame:

@@ -97,3 +97,13 @@ def test_kafka_reader_options():
 
 def test_kafka_writer_options():
     assert publish_options("broker:9092")["kafka.acks"] == "all"
+
+
+def test_a_message_without_a_topic_is_refused_and_counted(spark):
+    from spanwatch.sources.events import publish_counts, publishable
+
+    events = passages(spark, [("A", 1, "08:00:00", 1.0), ("B", None, "08:00:01", 1.0)] * 2)
+    found = encode(events)
+    assert publishable(found).count() == 2
+    counts = {row["topic"]: (row["sent"], row["refused"]) for row in publish_counts(found).collect()}
+    assert counts == {"camera-events-camera-1": (2, 0), None: (0, 2)}
