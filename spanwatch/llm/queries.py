@@ -114,8 +114,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = toxicity.fit(
         docs.filter(~F.col("held_out")), docs, table(spark, sf_dir, "labels")
     )
+    nearest = F.transform(
+        "evidence",
+        lambda e: F.struct(e["key"].cast("long").alias("doc_id"), e["cosine"], e["label"]),
+    )
     return toxicity.score(docs, index).select(
-        "doc_id", "held_out", "score", "predicted", "evidence"
+        "doc_id", "held_out", "score", "predicted", nearest.alias("evidence")
     )
 
 
