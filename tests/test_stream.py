@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rows import bag, enriched, passages
 from spanwatch.operators.detect import average_violations, violations
 from spanwatch.operators.enrich import with_limits
+from spanwatch.operators.messages import encode
 from spanwatch.operators.segments import segment_pairs
 from spanwatch.params import Params
 from spanwatch.sources.dimensions import cameras
@@ -217,3 +218,29 @@ def test_a_short_tolerance_is_reported(spark):
     with warnings.catch_warnings():
         warnings.simplefilter("error", UserWarning)
         job.warn_if_blind(cameras(spark), Params())
+
+
+def test_the_intake_limit_and_the_timed_trigger_run(spark, tmp_path):
+    """One file a batch, and a trigger by the clock that takes them one after another."""
+    folder, rows = str(tmp_path), traffic(60, plates=2)
+    replay.create_landing(spark, f"{folder}/landing")
+    events = passages(spark, rows)
+    for minute in range(2):
+        part = events.filter(by_minute(1) == minute)
+        encode(part).coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+    query = job.start(
+        job.passages(file_messages(spark, f"{folder}/landing", max_files=1)),
+        cameras(spark),
+        f"{folder}/violations",
+        f"{folder}/checkpoint",
+        Params(trigger="1 second"),
+        state_partitions=FEW,
+    )
+    try:
+        query.processAllAvailable()
+        taken = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    finally:
+        query.stop()
+    assert len(taken) == 2
+    stored = violation_facts(spark, f"{folder}/violations")
+    assert bag(stored) == bag(violations(enriched(spark, rows)).distinct())
