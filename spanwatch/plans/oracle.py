@@ -186,6 +186,7 @@ WHERE vehicle_type NOT IN ('Coupe', 'SUV', 'Sedan', 'Van', 'Truck', 'Motorcycle'
     + """SELECT car_plate, violation_date, violation_type, speed_limit, camera_id,
            epoch_us(ts) AS ts_us, speed FROM instant""",
     "segment_pairs": _with(*LONG_PAIRS) + f"SELECT {PAIR_COLUMNS} FROM pairs",
+    "segment_pairs_split": _with(*LONG_PAIRS) + f"SELECT {PAIR_COLUMNS} FROM pairs",
     "segment_pairs_shipped": _with(EV, _cam(CAMERAS), EN, _pairs(SHIPPED_TOLERANCE_S))
     + f"SELECT {PAIR_COLUMNS} FROM pairs",
     "segment_pairs_by_id": _with(

@@ -5,6 +5,7 @@ compared with them.
 """
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -281,6 +282,12 @@ def segment_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pair_columns(pair_up(_enriched(spark, sf_dir), LONG))
 
 
+def segment_pairs_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups count as hot from two rows on, so lanes and salts do the work."""
+    split = replace(LONG, hot_group_rows=1)
+    return _pair_columns(pair_up(_enriched(spark, sf_dir), split))
+
+
 def segment_pairs_shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cameras where they really stand, and the tolerance of 120 s."""
     shipped = with_limits(tables.camera_events(spark, sf_dir), dimensions.cameras(spark))
@@ -598,6 +605,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         speed_limit_enrich,
         instant_violations,
         segment_pairs,
+        segment_pairs_split,
         segment_pairs_shipped,
         segment_pairs_by_id,
         average_violations,
