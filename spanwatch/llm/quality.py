@@ -206,7 +206,8 @@ def fit(
                 }
             )
 
-    schema = "key long, label int, index array<int>, value array<float>"
+    key_type = dict(picked.dtypes)["_key"]
+    schema = f"key {key_type}, label int, index array<int>, value array<float>"
     sample = picked.mapInPandas(measured, schema).toPandas().sort_values(["key", "label"])
     rows = [
         (np.asarray(i), np.asarray(v, float), int(y))
