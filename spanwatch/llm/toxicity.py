@@ -5,6 +5,7 @@ in an inverted index cut into blocks of examples; each block knows the largest w
 term in it. A query bounds each block by those weights, visits blocks from the highest bound
 down and stops when no block left can reach its k-th best: the result is exact. Neighbours vote
 by similarity, and the votes are mapped to probabilities fitted on the examples themselves.
+Where a class has more labelled rows than examples, each example counts for its share of them.
 """
 
 from collections import Counter
@@ -15,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from spanwatch.llm.common import whole_row
+from spanwatch.llm.common import stored, whole_row
 
 # At most so many labelled rows of each class are examples, and so many terms are used.
 EXAMPLES_PER_CLASS = 4_000
@@ -72,6 +73,8 @@ class Index:
     labels: np.ndarray
     vectors: np.ndarray = field(repr=False)  # (examples, terms)
     most: np.ndarray = field(repr=False)  # (terms, blocks)
+    # Labelled rows that each example stands for, in units of their mean.
+    stands_for: np.ndarray = field(default_factory=lambda: np.zeros(0), repr=False)
     empty_rate: float = 0.0
     cuts: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rates: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -108,13 +111,14 @@ class Index:
         return found[order], sims[order]
 
     def vote(self, found: np.ndarray, sims: np.ndarray) -> float:
-        """Share of label 1 among the neighbours, each weighted by its squared cosine.
+        """Share of label 1 among the neighbours, each weighted by its squared cosine and by
+        the labelled rows it stands for.
 
         The rate of examples without terms joins with the weight that the best match leaves.
         """
         if not len(found):
             return self.empty_rate
-        weight = sims * sims
+        weight = sims * sims * self.stands_for[found]
         doubt = 1e-3 + max(0.0, 1 - float(sims[0])) ** 2
         return float(
             (weight @ self.labels[found] + doubt * self.empty_rate) / (weight.sum() + doubt)
@@ -123,21 +127,25 @@ class Index:
     def calibrated(self, vote: float) -> float:
         if not len(self.cuts):
             return vote
-        return float(np.interp(vote, self.cuts, self.rates))
-
-
-def _isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rates that rise with the vote, by pooling adjacent violators."""
-    order = np.argsort(votes, kind="stable")
-    pools: list[list[float]] = []  # sum of labels, size, sum of votes
-    for v, y in zip(votes[order], labels[order], strict=True):
-        pools.append([float(y), 1.0, float(v)])
+        return float(np.interp(round(vote, 9), self.cuts, self.rates))
+
+
+def _isotonic(
+    votes: np.ndarray, labels: np.ndarray, weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rates that rise with the vote, by pooling adjacent violators; equal votes are one."""
+    cuts, at = np.unique(np.round(votes, 9), return_inverse=True)
+    sizes = np.bincount(at, weights)
+    ones = np.bincount(at, weights * labels)
+    pools: list[list[float]] = []  # sums of weighted labels, weights, weighted votes
+    for v, y, w in zip(cuts, ones, sizes, strict=True):
+        pools.append([float(y), float(w), float(v * w)])
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last, strict=True)]
     return (
         np.array([p[2] / p[1] for p in pools]),
-        np.array([(p[0] + 0.5 * p[0] / p[1]) / (p[1] + 0.5) for p in pools]),
+        np.array([p[0] / p[1] for p in pools]),
     )
 
 
@@ -167,14 +175,17 @@ def _vocabulary(examples: list[tuple[object, str | None, int]]) -> dict[str, int
 
 def sample(
     docs: DataFrame, labels: DataFrame, text: str, label: str, key: str, per_class: int
-) -> list[tuple[object, str | None, int]]:
-    """At most `per_class` labelled documents of either class, chosen by hash, in that order."""
-    known = (
+) -> tuple[list[tuple[object, str | None, int]], dict[int, int]]:
+    """At most `per_class` labelled documents of either class, chosen by hash, and how many
+    labelled documents of each class there are."""
+    known = stored(
         labels.filter(F.col(label).isin(0, 1))
         .groupBy(F.col(key).alias("_key"))
         .agg(F.max(label).alias("_label"))
-        .join(docs.select(F.col(key).alias("_key")).distinct(), "_key")
+        .join(docs.select(F.col(key).alias("_key")).distinct(), "_key"),
+        "toxicity-labels",
     )
+    counted = {int(r["_label"]): r["count"] for r in known.groupBy("_label").count().collect()}
     mixed = F.xxhash64("_key", F.lit("toxicity"))
     parts = [
         known.filter(F.col("_label") == kind).orderBy(mixed, "_key").limit(per_class)
@@ -187,7 +198,8 @@ def sample(
         .agg(F.min("_text").alias("_text"))
         .collect()
     )
-    return sorted(((r["_key"], r["_text"], int(r["_label"])) for r in rows), key=lambda r: r[0])
+    examples = ((r["_key"], r["_text"], int(r["_label"])) for r in rows)
+    return sorted(examples, key=lambda r: r[0]), counted
 
 
 def fit(
@@ -205,7 +217,7 @@ def fit(
     The examples are bounded by `per_class`; which terms are used is learned from them. None if
     nothing is labelled.
     """
-    examples = sample(docs, labels, text, label, key, per_class)
+    examples, counted = sample(docs, labels, text, label, key, per_class)
     if not examples:
         return None
     vocabulary = _vocabulary(examples)
@@ -221,20 +233,20 @@ def fit(
         hit = np.flatnonzero(total)
         yield pd.DataFrame({"term": [*hit, -1], "docs": [*total[hit], rows]})
 
-    counted = (
+    containing_docs = (
         corpus.select(text)
         .mapInPandas(containing, "term long, docs long")
         .groupBy("term")
         .agg(F.sum("docs").alias("docs"))
         .collect()
     )
-    df = {r["term"]: r["docs"] for r in counted}
+    df = {r["term"]: r["docs"] for r in containing_docs}
     idf = np.array(
         [np.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(vocabulary))]
         # Nearly every document has words of no chosen term.
         + [1.0]
     )
-    return build(vocabulary, idf, examples, neighbours)
+    return build(vocabulary, idf, examples, neighbours, counted)
 
 
 def build(
@@ -242,10 +254,17 @@ def build(
     idf: np.ndarray,
     examples: list[tuple[object, str | None, int]],
     neighbours: int = NEIGHBOURS,
+    counted: dict[int, int] | None = None,
 ) -> Index:
-    """Lays examples out in blocks, those of one strongest term together, and calibrates."""
+    """Lays examples out in blocks, those of one strongest term together, and calibrates.
+
+    `counted` has the labelled rows of each class that the examples were taken from; without
+    it, the examples are all there are.
+    """
     terms, index = Terms(vocabulary), Index(vocabulary, idf, [], np.zeros(0), None, None)
     rows, empty = [], []
+    sampled = Counter(e[2] for e in examples)
+    share = {y: (counted or sampled).get(y, n) / n for y, n in sampled.items()}
     for key, text, label in examples:
         counts = terms.counts(text)
         if counts:
@@ -256,7 +275,12 @@ def build(
     rows.sort(key=lambda r: (r[0], str(r[1])))
     index.keys = [r[1] for r in rows]
     index.labels = np.array([r[2] for r in rows], float)
-    index.empty_rate = (sum(empty) + 0.5 * float(index.labels.sum() > 0)) / (len(empty) + 20)
+    standing = np.array([share[r[2]] for r in rows], float)
+    index.stands_for = standing / standing.mean() if len(rows) else standing
+    ones = sum(share[y] for y in empty if y)
+    index.empty_rate = (ones + 0.5 * float(index.labels.sum() > 0)) / (
+        sum(share[y] for y in empty) + 20
+    )
     index.vectors = np.zeros((len(rows), len(idf)))
     for i, (_, _, _, at, weight) in enumerate(rows):
         index.vectors[i, at] = weight
@@ -270,7 +294,7 @@ def build(
         [index.vote(*index.nearest(r[3], r[4], neighbours, i)) for i, r in enumerate(rows)]
     )
     if len(votes) > 1 and 0 < index.labels.sum() < len(votes):
-        index.cuts, index.rates = _isotonic(votes, index.labels)
+        index.cuts, index.rates = _isotonic(votes, index.labels, index.stands_for)
     return index
 
 

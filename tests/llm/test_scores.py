@@ -86,6 +86,23 @@ def test_block_bounds_lose_no_neighbour():
         assert sims == pytest.approx(every[want])
 
 
+def test_toxicity_scores_do_not_depend_on_how_many_labels_are_sampled(spark):
+    # Of 600 grim documents 120 are toxic, of 600 calm ones 12, of 300 empty ones 3.
+    rows = [(i, ("grim word", "calm word")[i % 2], int(i % (10, 100)[i % 2] < 2)) for i in range(1200)]
+    rows += [(1200 + i, "", int(i < 3)) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = []
+    for per_class in (4_000, 100):
+        index = toxicity.fit(docs, docs, labels, per_class=per_class)
+        scored = toxicity.score(docs, index).select("text", "score", "predicted").distinct().collect()
+        got.append({r["text"]: r["score"] for r in scored})
+        assert not any(r["predicted"] for r in scored)
+    assert got[0]["grim word"] == pytest.approx(0.2, abs=0.03)
+    for text in got[0]:
+        assert got[1][text] == pytest.approx(got[0][text], abs=0.06)
+
+
 @pytest.mark.parametrize(
     "name, label, fold, rest, least",
     [("op5_quality", "quality", 5, 0, 0.95), ("op10_toxicity", "toxic", 3, 1, 0.95)],
