@@ -3,10 +3,10 @@
 A source whose target is r times its size takes every document floor(r) times, and the rest as
 a sample with inclusion probability r - floor(r). The probabilities move through the null space
 of the balancing constraints, the number of documents and their words, until all but two
-documents of a bucket are decided and both totals are exactly what they were. What is left of
-the buckets of a source is treated alike, level by level, until
-two documents of the source and a few held back, of all sizes, are left; the landing tries every
-rounding of these and takes the one nearest to both totals.
+documents of a bucket and a few held back, of all sizes, are decided and both totals are exactly
+what they were. What is left of the buckets of a source is treated alike, level by level, until
+the source has one bucket; the landing tries every rounding of what this leaves and takes the
+one nearest to both totals. A source lands as soon as it has one bucket, whatever others need.
 """
 
 import random
@@ -21,7 +21,7 @@ from spanwatch.llm.common import stored, whole_row
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
-# Documents of one bucket; two of them stay undecided until the next level.
+# Documents of one bucket; two of them, and those held back, stay open until the next level.
 BUCKET = 4_000
 # Rows below 200 bytes each.
 BROADCAST_SOURCES = 50_000
@@ -125,10 +125,14 @@ def land(left: list[list]) -> list[float]:
 def fly(rows: list[list], seed: str, last: bool, held: int = HELD) -> list[tuple[object, float]]:
     """Decides documents [probability, size, document] of one bucket, in their order.
 
-    In the last bucket of a source, `held` of them, spread over the sizes, wait for the landing.
+    `held` of them, spread over the sizes, wait: in the last bucket of a source for the landing,
+    in others for the next level. There they are a quarter of the bucket at most, so that every
+    level leaves fewer documents.
     """
     waiting: list[list] = []
-    if last:
+    if not last:
+        held = min(held, len(rows) // 4)
+    if held:
         by_size = sorted(range(len(rows)), key=lambda i: (rows[i][1], i))
         step = max(1, len(rows) // held)
         chosen = set(by_size[step // 2 :: step][:held])
@@ -137,17 +141,17 @@ def fly(rows: list[list], seed: str, last: bool, held: int = HELD) -> list[tuple
     flight, done = Flight(seed), []
     for p, size, document in rows:
         done += flight.add(p, size, document)
-    if not last:
-        return done + [(x[2], x[0]) for x in flight.open]
     left = flight.open + waiting
+    if not last:
+        return done + [(x[2], x[0]) for x in left]
     return done + [(x[2], r) for x, r in zip(left, land(left), strict=True)]
 
 
-def _round(units: DataFrame, level: int, last: bool) -> DataFrame:
-    """One level: `units` (source_no, bucket, unit, size, p) with new probabilities."""
+def _round(units: DataFrame, level: int) -> DataFrame:
+    """One level: `units` (source_no, bucket, last, unit, size, p) with new probabilities."""
 
     def decide_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, waiting = None, []
+        at, last, waiting = None, False, []
 
         def finish() -> list[tuple]:
             seed = f"{level}/{at[0]}/{at[1]}" if at else ""
@@ -155,11 +159,11 @@ def _round(units: DataFrame, level: int, last: bool) -> DataFrame:
 
         for batch in batches:
             done = []
-            names = ("source_no", "bucket", "unit", "size", "p")
-            for source, bucket, unit, size, p in zip(*(batch[n].tolist() for n in names)):
+            names = ("source_no", "bucket", "last", "unit", "size", "p")
+            for source, bucket, only, unit, size, p in zip(*(batch[n].tolist() for n in names)):
                 if at != (source, bucket):
                     done += finish()
-                    at, waiting = (source, bucket), []
+                    at, last, waiting = (source, bucket), only, []
                 waiting.append([p, size, (unit, size)])
             yield _decided(done)
         yield _decided(finish())
@@ -184,16 +188,16 @@ def _decided(found: list[tuple]) -> pd.DataFrame:
 
 
 def _bucketed(units: DataFrame) -> tuple[DataFrame, bool]:
-    """Units with buckets of about `BUCKET`, and whether every source has only one."""
+    """Units with buckets of about `BUCKET` and whether it is the `last`, the only one, of their
+    source; and whether every source has only one."""
     counts = units.groupBy("source_no").agg(F.count("*").alias("_n"))
     counts = stored(counts, "mix-counts")
     most = counts.agg(F.max("_n")).first()[0] or 0
     small = counts.count() <= BROADCAST_SOURCES
     joined = units.join(F.broadcast(counts) if small else counts, "source_no")
     buckets = F.ceil(F.col("_n") / BUCKET).cast("long")
-    return joined.withColumn("bucket", F.pmod(F.xxhash64("unit"), buckets)).drop("_n"), (
-        most <= BUCKET
-    )
+    joined = joined.withColumn("bucket", F.pmod(F.xxhash64("unit"), buckets))
+    return joined.withColumn("last", F.col("_n") <= BUCKET).drop("_n"), most <= BUCKET
 
 
 def decide(
@@ -263,7 +267,7 @@ def decide(
     decided, level = None, 0
     while True:
         bucketed, last = _bucketed(open_units)
-        moved = stored(_round(bucketed, level, last), "flight")
+        moved = stored(_round(bucketed, level), "flight")
         done = moved.filter((F.col("p") == 0) | (F.col("p") == 1))
         decided = done if decided is None else decided.unionAll(done)
         if last:

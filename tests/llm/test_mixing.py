@@ -72,6 +72,33 @@ def test_flights_keep_totals_and_probabilities():
     assert abs(drawn / 400 - 0.3).max() < 0.12
 
 
+def test_a_small_source_lands_by_itself_beside_a_large_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 50)
+    rng = random.Random(9)
+    # The two long documents stay open longest; only other roundings make up for them.
+    sizes = [rng.randint(5, 90) for _ in range(208)] + [900, 700]
+    docs = [(i, "w " * n, "a" if i < 200 else "b") for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    got = mixing.rows(mixing.decide(docs, weights=(12, 1))).collect()
+    small = [r for r in got if r["key"] >= 200]
+    rate = small[0]["target"] / small[0]["source_size"]
+    assert len(small) == 10 and 0.1 < rate < 0.9
+    units = [[rate, r["size"], r["key"]] for r in small]
+    best = sum(c * u[1] for c, u in zip(mixing.land(units), units))
+    assert abs(sum(r["taken"] for r in small) - small[0]["target"]) == pytest.approx(
+        abs(best - small[0]["target"])
+    )
+    large = [r for r in got if r["key"] < 200]
+    assert abs(sum(r["taken"] for r in large) - large[0]["target"]) <= 2
+
+
+def test_every_level_holds_documents_of_all_sizes_back():
+    rows = [[0.3, size, size] for size in range(1, 401)]
+    left = [(d, p) for d, p in mixing.fly(rows, "0", False) if 0 < p < 1]
+    assert mixing.HELD <= len(left) <= mixing.HELD + 2
+    assert min(d for d, _ in left) < 50 and max(d for d, _ in left) > 350
+
+
 def test_landing_is_the_nearest_rounding():
     left = [[0.5, 10, 0], [0.5, 7, 1], [0.25, 3, 2], [0.75, 1, 3]]
     assert sum(r * x[1] for r, x in zip(mixing.land(left), left)) == 10
