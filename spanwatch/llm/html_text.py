@@ -34,6 +34,10 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 # Elements as the language defines them.
 SILENT = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math",
           "object", "video", "audio", "canvas", "select", "option", "datalist", "head"}
+# Without an end tag these hold the rest of the page; of the others the tag alone is left out.
+RAW = {"script", "style", "textarea", "title"}
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style",
+           "template", "title"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details",
@@ -117,11 +121,38 @@ def _says_outside(attributes: str) -> tuple[bool, bool]:
     return out, article
 
 
+def _silent_end(page: str, tag: str, at: int) -> int | None:
+    """Where a silent element that opens before `at` ends, if it has an end tag."""
+    end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
+    return end.end() if end else None
+
+
+def _head_end(page: str, at: int) -> int:
+    """Where a head without an end tag ends: at the first thing that cannot stand in it."""
+    match = TOKEN.search(page, at)
+    while match:
+        if page[at : match.start()].strip():
+            return at
+        tag = (match["tag"] or "").lower()
+        if tag and (tag in ("html", "body") if match["close"] else tag not in IN_HEAD):
+            return match.start()
+        at = match.end()
+        if tag in SILENT and not match["close"]:
+            end = _silent_end(page, tag, at)
+            if end is None and tag in RAW and not match["attributes"].rstrip().endswith("/"):
+                return len(page)
+            at = end or at
+        match = TOKEN.search(page, at)
+    return at
+
+
 def pieces(page: str) -> list[Piece]:
     """The page as tags and texts. Elements that show nothing are left out with their content."""
     found: list[Piece] = []
     stack: list[_Element] = []
     block, at, links = 0, 0, 0
+    # Silent elements with no end tag from here on, looked for once.
+    endless: set[str] = set()
 
     def text(raw: str) -> None:
         if not raw:
@@ -144,13 +175,15 @@ def pieces(page: str) -> list[Piece]:
         at = match.end()
         tag = (match["tag"] or "").lower()
         if tag and not match["close"] and tag in SILENT:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
-            if tag == "head" and not end:
-                end = re.compile(r"(?=<body\b)", re.IGNORECASE).search(page, at)
-            if end:
-                at = end.end()
-            elif not match["attributes"].rstrip().endswith("/"):
-                at = len(page)
+            end = None if tag in endless else _silent_end(page, tag, at)
+            if end is not None:
+                at = end
+            else:
+                endless.add(tag)
+                if tag == "head":
+                    at = _head_end(page, at)
+                elif tag in RAW and not match["attributes"].rstrip().endswith("/"):
+                    at = len(page)
         elif tag and match["close"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].tag == tag:

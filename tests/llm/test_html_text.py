@@ -29,6 +29,20 @@ def test_an_advert_inside_does_not_end_the_article(learned):
     assert html_text.main_text(page, learned) == f"{words.strip()}\n{(words * 2).strip()}"
 
 
+def test_missing_end_tags_do_not_swallow_the_page(learned):
+    words = "These are words of the story that go on for some time."
+    for head in ("<head>", "<head><title>T</title><meta charset=x><!-- c -->\n<style>p{}</style>",
+                 "<head><noscript><p>Turn it on</p></noscript></title><link href=x>"):
+        assert html_text.main_text(f"<html>{head}<p>{words}", learned) == words
+        assert html_text.main_text(f"<html>{head}<body><p>{words}", learned) == words
+    for tag in sorted(html_text.SILENT - html_text.RAW - {"head"}):
+        assert html_text.main_text(f"<body><{tag}><p>{words}</p>", learned) == words
+        assert html_text.main_text(f"<body><{tag}>no</{tag}><p>{words}", learned) == words
+    for tag in sorted(html_text.RAW):
+        assert html_text.main_text(f"<head><{tag}><p>{words}", learned) == ""
+    assert html_text.pieces("<svg>" * 200_000) == []
+
+
 def test_the_scan_finds_the_best_stretch():
     def brute(scores):
         best, found = 0.0, (0, 0)
