@@ -1,10 +1,13 @@
 """One query for each operator of this folder, over its whole table, with production settings."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spanwatch.llm import (
+    collocations,
     contamination,
     embeddings,
+    fill_middle,
     html_text,
     language,
     licences,
@@ -12,9 +15,11 @@ from spanwatch.llm import (
     quality,
     sharding,
     simhash,
+    token_files,
     toxicity,
 )
 from spanwatch.llm.common import fold, stored, table
+from spanwatch.workspace import fresh_folder
 
 
 def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +128,48 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for fill-in-the-middle, and rebuilt from the output."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_middle.transform(docs)
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2 000 strongest phrases of two and three words of every language."""
+    found = collocations.phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+    return collocations.top(found, 2_000).select(
+        F.col("grp").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score"
+    )
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of every document, written to flat files and read back from them."""
+    folder = fresh_folder(spark, "token-files")
+    token_files.write(
+        table(spark, sf_dir, "documents"),
+        folder,
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=2,
+        by_words=True,
+    )
+    return token_files.read(spark, folder).select(
+        F.col("key").alias("doc_id"),
+        "start",
+        F.floor(F.length("ids") / 4).alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 QUERIES = {
     "op1_licences": op1_licences,
     "op2_html_text": op2_html_text,
@@ -134,6 +181,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_collocations": op12_collocations,
+    "op13_token_files": op13_token_files,
 }
 # Words of an item or a document, A-Z lowered.
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -209,5 +259,69 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit,
     coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+""",
+    "op11_fill_middle": """
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents
+), units AS (
+    SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units,
+        [CAST('0x' || hex[8 * i + 1 : 8 * i + 8] AS BIGINT) FOR i IN range(4)] AS h FROM docs
+), cuts AS (
+    SELECT *, len(units) AS n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a,
+        greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+            WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM units
+), parts AS (
+    SELECT *, array_to_string(units[1 : a], '') AS p, array_to_string(units[a + 1 : b], '') AS m,
+        array_to_string(units[b + 1 :], '') AS s FROM cuts
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+""",
+    "op12_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+    SELECT lang, k, unnest([array_to_string(w[i : i + k - 1], ' ')
+        FOR i IN range(1, len(w) - k + 2)]) AS phrase
+    FROM words, (VALUES (1), (2), (3)) AS sizes (k)
+), f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL
+), totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+    SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 10
+), cuts AS (
+    SELECT lang, k, phrase, a, w, c, array_to_string(w[1 : c], ' ') AS first,
+        array_to_string(w[c + 1 :], ' ') AS rest
+    FROM candidates, (VALUES (1), (2)) AS cut (c) WHERE c < k
+), scored AS (
+    SELECT x.lang, x.k, x.phrase, x.a, l.a AS l, r.a AS r,
+        1000000::HUGEINT * x.a * x.a // (l.a::HUGEINT * r.a) AS score
+    FROM cuts x JOIN f l ON l.lang = x.lang AND l.phrase = x.first AND l.k = x.c
+        JOIN f r ON r.lang = x.lang AND r.phrase = x.rest AND r.k = x.k - x.c
+    QUALIFY row_number() OVER (PARTITION BY x.lang, x.phrase ORDER BY score, x.c) = 1
+), longer AS (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a
+    FROM candidates WHERE k = 3
+), standing AS (
+    SELECT s.* FROM scored s LEFT JOIN (
+        SELECT lang, phrase, max(a) AS most FROM longer GROUP BY ALL) m
+        ON m.lang = s.lang AND m.phrase = s.phrase
+    WHERE m.most IS NULL OR 100 * m.most < 50 * s.a
+)
+SELECT lang, row_number() OVER (
+        PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+    phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM standing JOIN totals USING (lang) QUALIFY rank <= 2000
 """,
 }

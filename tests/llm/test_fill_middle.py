@@ -1,0 +1,89 @@
+"""Cuts found by chunks against units found by a pattern, and texts rebuilt."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from awkward_rows import awkward, empty
+from spanwatch.llm import fill_middle
+
+UNIT = re.compile("[A-Za-z]+|[^A-Za-z]")
+
+
+def plainly(doc_id, text):
+    """What the contract says, unit by unit."""
+    text = text or ""
+    name = "" if doc_id is None else str(doc_id)
+    digest = hashlib.sha256(f"1:{name}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    units = UNIT.findall(text)
+    a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    p, m, s = ("".join(part) for part in (units[:a], units[a:b], units[b:]))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return len(units), "plain", text, None, None
+    if h[3] % 100 < 20:
+        return len(units), "spm", f"<S>{s}<P>{p}<M>{m}", len(p), len(m)
+    return len(units), "psm", f"<P>{p}<S>{s}<M>{m}", len(p), len(m)
+
+
+def some_texts(n):
+    rng = random.Random(5)
+    passage = " ".join(rng.choice(["Wort", "été", "中", "x1", "\n", "\U0001f600"]) for _ in range(900))
+    alphabet = ["a", "Z", " ", "é", "中", "<", "S>", "<P", "\U0001f600", "\x00", "word "]
+    for i in range(n):
+        own = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 4_000)))
+        yield own + passage * (i % 3) + own[: i % 50]
+    yield from ("a" * 30_000, "中" * 9_000, "ab" * 20_000 + "é", "<S", "x<M>y", "<", "a")
+
+
+def test_cuts_are_those_of_the_units():
+    chunks = fill_middle.Chunks()
+    for doc_id, text in enumerate(some_texts(60)):
+        digest = hashlib.sha256(f"1:{doc_id}".encode()).hexdigest()
+        assert fill_middle.cut(text, digest, chunks) == plainly(doc_id, text)
+
+
+def test_every_place_is_found():
+    text = "ab  cd" * 700 + "é" * 300 + "q" * 9_000 + "."  # a run of letters goes on in chunk 2
+    layout = fill_middle.Chunks().layout(text.encode())
+    units = UNIT.findall(text)
+    assert layout.n == len(units) and len(layout.ends) == 2
+    chars = 0
+    for k in range(len(units) + 1):
+        assert layout.after(k) == (len(text[:chars].encode()), chars)
+        chars += len(units[k]) if k < len(units) else 0
+
+
+def test_equal_passages_have_equal_chunks():
+    rng = np.random.default_rng(3)
+    passage = bytes(rng.integers(97, 123, 60_000, np.uint8))
+    cuts = []
+    for start in (b"", b"some other words go first ", bytes(rng.integers(97, 123, 777, np.uint8))):
+        ends = np.array(fill_middle.chunk_ends(np.frombuffer(start + passage, np.uint8)))
+        cuts.append({int(e) - len(start) for e in ends if e > len(start) + 20_000})
+    assert cuts[0] == cuts[1] == cuts[2] and len(cuts[0]) > 10
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(fill_middle, "KNOWN_BYTES", 2_000)
+    chunks = fill_middle.Chunks()
+    for doc_id, text in enumerate(some_texts(8)):
+        digest = hashlib.sha256(f"1:{doc_id}".encode()).hexdigest()
+        assert fill_middle.cut(text, digest, chunks) == plainly(doc_id, text)
+
+
+def test_awkward_rows(spark):
+    made = fill_middle.transform(awkward(spark))
+    assert set(awkward(spark).columns) <= set(made.columns)
+    rows = made.withColumn(
+        "back", fill_middle.restore(F.col("output"), F.col("form"))
+    ).collect()
+    assert len(rows) == 11
+    for row in rows:
+        got = row["n"], row["form"], row["output"], row["prefix_chars"], row["middle_chars"]
+        assert got == plainly(row["doc_id"], row["text"])
+        assert row["back"] == (row["text"] or "")
+    assert fill_middle.transform(empty(spark)).count() == 0
