@@ -15,6 +15,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ READ_IDS = 1 << 20
 READ_TASKS = 10_000
 
 # Longer pieces are encoded each time; a worker forgets all once it knows so many.
-KNOWN_BYTES, KNOWN_PIECES = 64, 1_000_000
+KNOWN_BYTES, KNOWN_PIECES = 64, 800_000
 
 # ---- fixed values: how a word tokenizer (NFC, lower case, white space dropped, letters apart
 # from all else but for contractions) may be cut without changing any id ------------------------
@@ -85,8 +86,8 @@ class Encoder:
     def _block(self, texts: list[bytes], near: bool) -> list[np.ndarray]:
         """Ids of each text. Texts are joined by a line end, which no piece reaches across."""
         data = b"\n".join(texts)
-        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-        begins = np.cumsum(lengths + 1) - lengths - 1
+        lengths = np.fromiter(map(len, texts), np.int32, len(texts))
+        begins = np.cumsum(lengths + 1, dtype=np.int32) - lengths - 1
         if near:
             data = data.translate(LOWER)
             starts, ends, kind = byte_runs.runs(data, NEAR_KINDS)
@@ -101,12 +102,14 @@ class Encoder:
             starts, ends, _ = byte_runs.runs(data, FAR_KINDS)
         codes, pieces = byte_runs.coded(data, starts, ends)
         packed = self._pieces(pieces)
-        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.unit.itemsize
+        sizes = np.fromiter(map(len, packed), np.int32, len(packed)) // self.unit.itemsize
         flat = np.frombuffer(b"".join(packed), self.unit)
         counts = sizes[codes]
-        places = np.concatenate([[0], np.cumsum(counts)])
-        source = np.repeat((np.cumsum(sizes) - sizes)[codes] - places[:-1], counts)
-        ids = flat[source + np.arange(places[-1])]
+        places = np.zeros(len(codes) + 1, np.int32)
+        np.cumsum(counts, out=places[1:])
+        source = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[codes] - places[:-1], counts)
+        source += np.arange(places[-1], dtype=np.int32)
+        ids = flat[source]
         bounds = places[np.append(np.searchsorted(starts, begins), len(starts))]
         return [
             np.append(ids[a:b], self.unit.type(self.end_id))
@@ -130,6 +133,12 @@ class Encoder:
         return found
 
 
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer: str, end_id: int, by_words: bool) -> Encoder:
+    """A worker keeps its encoder, and the pieces that it knows, from task to task."""
+    return Encoder(tokenizer, end_id, by_words)
+
+
 def unit_of(tokenizer: Tokenizer, end_id: int) -> str:
     """The smallest unsigned type, little-endian, that holds all ids."""
     most = max(tokenizer.get_vocab_size() - 1, end_id)
@@ -173,19 +182,20 @@ def write(
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = Encoder(shipped.value, end_id, by_words)
+                encoder = encoder_of(shipped.value, end_id, by_words)
                 system, path = filesystem(folder)
                 system.create_dir(path)
                 files = [system.open_output_stream(f"{path}/{name}.{x}") for x in ("bin", "off")]
                 sink = system.open_output_stream(f"{path}/{name}.keys")
                 keys = pq.ParquetWriter(sink, pa.schema([batch.schema.field(0)]))
                 files[1].write(np.zeros(1, "<u8").tobytes())
-            ids = encoder.encode(batch.column(1).to_pylist())
-            ends = offset + np.cumsum(np.fromiter(map(len, ids), "<u8", len(ids)), dtype="<u8")
-            offset, n_docs = int(ends[-1]), n_docs + len(ids)
-            for run in ids:
-                files[0].write(run.tobytes())
-            files[1].write(ends.tobytes())
+            texts = batch.column(1)
+            for start, length in byte_runs.slices(texts):
+                ids = encoder.encode(texts.slice(start, length).to_pylist())
+                ends = offset + np.cumsum(np.fromiter(map(len, ids), "<u8", len(ids)), dtype="<u8")
+                offset, n_docs = int(ends[-1]), n_docs + len(ids)
+                files[0].write(np.concatenate(ids).tobytes())
+                files[1].write(ends.tobytes())
             keys.write_batch(batch.select([0]))
         if encoder is not None:
             keys.close()
