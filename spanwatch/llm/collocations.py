@@ -29,8 +29,8 @@ STRIPE_ENTRIES = 10_000
 STRIPE = "grp string, w1 string, w2 string, total long, next array<string>, n array<long>"
 ROWS = 50_000
 
-# The frequent prefixes are broadcast up to so many bytes, else joined by shuffle.
-BROADCAST_BYTES = 64 << 20
+# So many hashes of frequent prefixes are broadcast (8 bytes each), more are joined by shuffle.
+BROADCAST_PAIRS = 4_000_000
 
 # Rows of a group are ranked in so many parts first, the best of which are ranked together.
 RANK_PARTS = 64
@@ -102,6 +102,10 @@ def stripes(docs: DataFrame, text: str, group: str, missing: str) -> DataFrame:
     return docs.select(named, raw).filter("length(text) > 0").mapInArrow(count, STRIPE)
 
 
+def _pair(first: str, second: str) -> Column:
+    return F.xxhash64("grp", first, second)
+
+
 def _score(a: Column, part: Column, rest: Column) -> Column:
     """floor(1 000 000 a a / (part rest)) in whole numbers of up to 38 digits."""
     wide = [c.cast("decimal(19,0)") for c in (a, part, rest)]
@@ -121,21 +125,32 @@ def phrases(
     """(grp, phrase, a, l, r, n, score) of every candidate that no longer one stands for."""
     found = stored(stripes(docs, text, group, missing), "stripes")
     words = stored(found.groupBy("grp", "w1").agg(F.sum("total").alias("f")), "words")
-    pairs = stored(
+    # Sums by a hash of the prefix are at least those of each prefix, so nothing frequent is
+    # missed; the few that only share a hash with others fall when words are counted.
+    likely = stored(
         found.filter(F.col("w2").isNotNull())
+        .groupBy(_pair("w1", "w2").alias("_pair"))
+        .agg(F.sum("total").alias("f"))
+        .filter(F.col("f") >= least)
+        .select("_pair"),
+        "likely-pairs",
+    )
+    if likely.count() <= BROADCAST_PAIRS:
+        likely = F.broadcast(likely)
+    kept = found.withColumn("_pair", _pair("w1", "w2")).join(likely, "_pair", "left_semi")
+    pairs = stored(
+        kept.filter(F.col("w2").isNotNull())
         .groupBy("grp", "w1", "w2")
         .agg(F.sum("total").alias("f"))
         .filter(F.col("f") >= least),
         "pairs",
     )
-    size = pairs.agg(F.sum(F.length("grp") + F.length("w1") + F.length("w2") + 96)).first()[0]
-    prefixes = pairs.select("grp", "w1", "w2")
-    if (size or 0) <= BROADCAST_BYTES:
-        prefixes = F.broadcast(prefixes)
+    # A phrase of three words is no more frequent than the two pairs in it.
     triples = stored(
-        found.join(prefixes, ["grp", "w1", "w2"], "left_semi")
-        .select("grp", "w1", "w2", F.inline(F.arrays_zip("next", "n")))
+        kept.select("grp", "w1", "w2", F.inline(F.arrays_zip("next", "n")))
         .filter(F.col("next").isNotNull())
+        .withColumn("_pair", _pair("w2", "next"))
+        .join(likely, "_pair", "left_semi")
         .groupBy("grp", "w1", "w2", F.col("next").alias("w3"))
         .agg(F.sum("n").alias("a"))
         .filter(F.col("a") >= least),

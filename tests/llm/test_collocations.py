@@ -51,10 +51,10 @@ def some_rows():
     yield from ((None, "en"), ("", None), (" .,\t", "de"))
 
 
-@pytest.mark.parametrize("broadcast, parts", [(64 << 20, 64), (0, 1)])
+@pytest.mark.parametrize("broadcast, parts", [(4_000_000, 64), (0, 1)])
 def test_phrases_are_those_of_the_counts(spark, monkeypatch, broadcast, parts):
     monkeypatch.setattr(collocations, "RANK_PARTS", parts)
-    monkeypatch.setattr(collocations, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(collocations, "BROADCAST_PAIRS", broadcast)
     rows = list(some_rows())
     docs = spark.createDataFrame([(i, t, g, "s", 1) for i, (t, g) in enumerate(rows)], DOCS)
     found = collocations.top(collocations.phrases(docs.repartition(3), least=4), 25)
