@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from spanwatch.llm import byte_runs
 from spanwatch.llm.common import stored
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 16 << 20
 # A longer stripe goes on in further rows.
 STRIPE_ENTRIES = 10_000
 STRIPE = "grp string, w1 string, w2 string, total long, next array<string>, n array<long>"
@@ -106,6 +106,21 @@ def _pair(first: str, second: str) -> Column:
     return F.xxhash64("grp", first, second)
 
 
+def _counted(rows: DataFrame, words: list[str], n: str, name: str, least: int) -> DataFrame:
+    """How often each phrase occurs, if `least` times. Words hold no space, so that a phrase and
+    its group travel as one string and come apart again."""
+    size = len(words)
+    parts = F.split("_phrase", " ", size + 1)
+    return (
+        rows.groupBy(F.concat_ws(" ", *words, "grp").alias("_phrase"))
+        .agg(F.sum(n).alias(name))
+        .filter(F.col(name) >= least)
+        .select(
+            parts[size].alias("grp"), *[parts[i].alias(w) for i, w in enumerate(words)], name
+        )
+    )
+
+
 def _score(a: Column, part: Column, rest: Column) -> Column:
     """floor(1 000 000 a a / (part rest)) in whole numbers of up to 38 digits."""
     wide = [c.cast("decimal(19,0)") for c in (a, part, rest)]
@@ -139,23 +154,16 @@ def phrases(
         likely = F.broadcast(likely)
     kept = found.withColumn("_pair", _pair("w1", "w2")).join(likely, "_pair", "left_semi")
     pairs = stored(
-        kept.filter(F.col("w2").isNotNull())
-        .groupBy("grp", "w1", "w2")
-        .agg(F.sum("total").alias("f"))
-        .filter(F.col("f") >= least),
-        "pairs",
+        _counted(kept.filter(F.col("w2").isNotNull()), ["w1", "w2"], "total", "f", least), "pairs"
     )
     # A phrase of three words is no more frequent than the two pairs in it.
-    triples = stored(
-        kept.select("grp", "w1", "w2", F.inline(F.arrays_zip("next", "n")))
-        .filter(F.col("next").isNotNull())
-        .withColumn("_pair", _pair("w2", "next"))
+    extended = (
+        kept.select("grp", "w1", "w2", F.inline(F.arrays_zip(F.col("next").alias("w3"), "n")))
+        .filter(F.col("w3").isNotNull())
+        .withColumn("_pair", _pair("w2", "w3"))
         .join(likely, "_pair", "left_semi")
-        .groupBy("grp", "w1", "w2", F.col("next").alias("w3"))
-        .agg(F.sum("n").alias("a"))
-        .filter(F.col("a") >= least),
-        "triples",
     )
+    triples = stored(_counted(extended, ["w1", "w2", "w3"], "n", "a", least), "triples")
     frequent = words.filter(F.col("f") >= least)
 
     def f(name: str, *keys: str) -> DataFrame:
