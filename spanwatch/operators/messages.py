@@ -49,20 +49,28 @@ def decode(messages: DataFrame) -> DataFrame:
     )
 
 
+# The fields that a usable passage has, in the order in which they are looked for.
+MISSING = ("car_plate", "camera_id", "timestamp")
+
+
 def quality_filter(events: DataFrame) -> DataFrame:
     """Only passages that say which vehicle, which camera and when."""
-    return events.dropna(subset=["car_plate", "camera_id", "timestamp"])
+    return events.dropna(subset=list(MISSING))
+
+
+def missing_field() -> Column:
+    """The first field that a passage lacks; null for a usable one."""
+    first, *others = MISSING
+    reason = F.when(F.col(first).isNull(), first)
+    for name in others:
+        reason = reason.when(F.col(name).isNull(), name)
+    return reason
 
 
 def rejected(events: DataFrame) -> DataFrame:
     """How many passages the quality filter drops, by the first field found missing."""
-    reason = (
-        F.when(F.col("car_plate").isNull(), "car_plate")
-        .when(F.col("camera_id").isNull(), "camera_id")
-        .when(F.col("timestamp").isNull(), "timestamp")
-    )
     return (
-        events.select(reason.alias("missing"))
+        events.select(missing_field().alias("missing"))
         .filter(F.col("missing").isNotNull())
         .groupBy("missing")
         .agg(F.count(F.lit(1)).alias("n_events"))

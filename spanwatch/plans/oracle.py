@@ -133,6 +133,17 @@ LATE_EN = f"""en AS (
                ON o.arrival < n.arrival GROUP BY n.arrival) mark
   ON en0.arrival = mark.arrival)"""
 
+# Batches whose messages are damaged so that a passage lacks a field, in the order of the checks;
+# a reading that cannot be read makes no violation.
+DAMAGED_EN = """en AS (
+  SELECT * REPLACE (CASE WHEN batch_id % 10 = 4 THEN NULL ELSE speed_reading END AS speed_reading)
+  FROM late WHERE batch_id % 10 NOT IN (1, 2, 3, 5))"""
+
+# Lateness is judged by the passages that can be used.
+DAMAGED_LATE = LATE_EN.replace("en AS (", "late AS (", 1).replace(
+    "FROM w) o", "FROM w WHERE batch_id % 10 NOT IN (1, 2, 3, 5)) o"
+)
+
 ORACLE: dict[str, str] = {
     "camera_dim": _with(EV, _cam(CAMERAS))
     + """SELECT cam.camera_id, latitude, longitude, position, CAST(speed_limit AS INTEGER) AS speed_limit,
@@ -249,5 +260,30 @@ WHERE vehicle_type NOT IN ('Coupe', 'SUV', 'Sedan', 'Van', 'Truck', 'Motorcycle'
         VIO,
     )
     + "SELECT * FROM vio",
+    "stream_counts": _with(
+        EV,
+        WAVE,
+        _cam(LONG_CORRIDOR),
+        DAMAGED_LATE,
+        DAMAGED_EN,
+        _pairs(LONG_TOLERANCE_S, more=" AND a.timely AND b.timely").replace(
+            "AS dt", "AS dt, greatest(a.arrival, b.arrival) AS arrival"
+        ),
+        """taken AS (
+  SELECT arrival FROM en WHERE speed_reading > speed_limit
+  UNION ALL
+  SELECT arrival FROM pairs WHERE distance_km / (nullif(dt, 0) / 3600.0::DOUBLE) > speed_limit_end)""",
+    )
+    + """SELECT wave, decoded, no_car_plate, no_camera_id, no_timestamp,
+           CAST(coalesce(late, 0) AS BIGINT) AS late, coalesce(n, 0) AS received,
+           coalesce(n, 0) AS inserted
+         FROM (SELECT arrival AS wave, count(*) AS decoded,
+                 count(*) FILTER (batch_id % 10 IN (2, 5)) AS no_car_plate,
+                 count(*) FILTER (batch_id % 10 = 1) AS no_camera_id,
+                 count(*) FILTER (batch_id % 10 = 3) AS no_timestamp
+               FROM late GROUP BY 1)
+         LEFT JOIN (SELECT arrival AS wave, sum(CASE WHEN camera_id = 2 THEN 2 ELSE 1 END) AS late
+                    FROM en WHERE NOT timely GROUP BY 1) USING (wave)
+         LEFT JOIN (SELECT arrival AS wave, count(*) AS n FROM taken GROUP BY 1) USING (wave)""",
     "daily_doc_upsert": _with(*LONG_VIO, TL) + DOCUMENTS,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from spanwatch.functions.times import minute_text
 from spanwatch.operators import detect, documents, ingest, messages, report, timeseries
@@ -17,7 +17,7 @@ from spanwatch.operators.segments import segment_pairs as pair_up
 from spanwatch.params import Params
 from spanwatch.schema import CAMERAS, SPEED
 from spanwatch.sources import dimensions, events as sources, facts, tables
-from spanwatch.streaming import job, replay, sink
+from spanwatch.streaming import job, ledger, replay, sink
 from spanwatch.workspace import fresh_folder, use_utc
 
 LONG = Params(tolerance_s=tables.LONG_TOLERANCE_S)
@@ -187,13 +187,10 @@ def message_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages of all events, those of some batches spoiled in one of five ways."""
-    encoded = messages.encode(
-        tables.camera_events(spark, sf_dir), F.lit(replay.REPLAY_TIME).cast("timestamp")
-    )
+def _spoiled(encoded: DataFrame) -> DataFrame:
+    """The messages of some batches damaged in one of five ways."""
     flaw = F.get_json_object("value", "$.batch_id").cast("long") % 10
-    spoiled = (
+    value = (
         F.when(flaw == 1, F.regexp_replace("value", '"camera_id":[0-9]+', '"camera_id":"?"'))
         .when(flaw == 2, F.regexp_replace("value", '"car_plate":"[^"]*"', '"car_plate":NaN'))
         .when(flaw == 3, F.regexp_replace("value", '"timestamp":"2', '"timestamp":"x'))
@@ -201,7 +198,13 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(flaw == 5, F.regexp_replace("value", '"car_plate".*', ""))
         .otherwise(F.col("value"))
     )
-    return encoded.withColumn("value", spoiled)
+    return encoded.withColumn("value", value)
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of all events, some of them damaged."""
+    stamp = F.lit(replay.REPLAY_TIME).cast("timestamp")
+    return _spoiled(messages.encode(tables.camera_events(spark, sf_dir), stamp))
 
 
 def event_quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,7 +480,11 @@ def violation_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replay(
-    spark: SparkSession, sf_dir: str, start: Callable, late_camera: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    start: Callable,
+    late_camera: int | None = None,
+    spoil: Callable[[DataFrame], DataFrame] = lambda encoded: encoded,
 ) -> str:
     """Releases all events in waves through a stream that `start` (re)starts on a folder
     of messages. Passages of `late_camera` come one wave later than the others."""
@@ -488,7 +495,7 @@ def _replay(
     wave, waves = replay.wave_of(events, WAVES), WAVES
     if late_camera is not None:
         wave, waves = wave + (F.col("camera_id") == late_camera).cast("int"), WAVES + 1
-    replay.release(events, landing, wave, waves, lambda: start(landing, folder))
+    replay.release(events, landing, wave, waves, lambda: start(landing, folder), spoil)
     return folder
 
 
@@ -542,20 +549,25 @@ def stream_segment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/pairs")
 
 
+def _started(spark: SparkSession, landing: str, folder: str, **options):
+    return job.start(
+        job.passages(sources.file_messages(spark, landing)),
+        _long_cameras(spark),
+        f"{folder}/violations",
+        f"{folder}/checkpoint",
+        LONG,
+        state_partitions=STATE_PARTITIONS,
+        available_now=True,
+        **options,
+    )
+
+
 def _run_job(
     spark: SparkSession, sf_dir: str, late_camera: int | None = None, documents_too: bool = False
 ) -> str:
     def start(landing: str, folder: str):
-        return job.start(
-            job.passages(sources.file_messages(spark, landing)),
-            _long_cameras(spark),
-            f"{folder}/violations",
-            f"{folder}/checkpoint",
-            LONG,
-            daily_path=f"{folder}/daily" if documents_too else None,
-            state_partitions=STATE_PARTITIONS,
-            available_now=True,
-        )
+        daily_path = f"{folder}/daily" if documents_too else None
+        return _started(spark, landing, folder, daily_path=daily_path)
 
     return _replay(spark, sf_dir, start, late_camera)
 
@@ -572,6 +584,39 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(facts.violation_facts(spark, f"{folder}/violations"))
 
 
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every wave of damaged messages, camera 3 a wave late, gave: decoded, refused, late,
+    received and inserted. Epochs without messages only move the watermark."""
+    folder = fresh_folder(spark, "ledger")
+    path, metrics = f"{folder}/epochs", f"{folder}/metrics"
+    kept = ledger.Ledger(spark, path)
+    ran = []
+
+    def start(landing: str, run_folder: str):
+        ran.append(_started(spark, landing, run_folder, metrics_path=metrics))
+        return ran[-1]
+
+    spark.streams.addListener(kept)
+    try:
+        _replay(spark, sf_dir, start, late_camera=3, spoil=_spoiled)
+        for query in ran:
+            kept.settled(query)
+    finally:
+        spark.streams.removeListener(kept)
+    wave = F.row_number().over(Window.partitionBy("query_id").orderBy("epoch")) - 1
+    counts = ledger.stream_counts(spark, path, metrics).filter(F.col("decoded") > 0)
+    return counts.select(
+        wave.cast("long").alias("wave"),
+        "decoded",
+        "no_car_plate",
+        "no_camera_id",
+        "no_timestamp",
+        "late",
+        "received",
+        "inserted",
+    )
+
+
 def daily_doc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _run_job(spark, sf_dir, documents_too=True)
     return _document_summary(facts.daily_documents(spark, f"{folder}/daily"))
@@ -628,6 +673,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_segment_join,
         stream_violations,
         stream_late_data,
+        stream_counts,
         daily_doc_upsert,
     )
 }

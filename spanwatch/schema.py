@@ -141,3 +141,20 @@ DELIVERY_METRICS = _struct(
     ("prepared", _LONG),
     ("inserted", _LONG),
 )
+
+# One epoch of a stream: what the source gave, what was decoded and refused, how many rows
+# came too late for the join, how many it holds, and the watermark, as the query reported it.
+STREAM_EPOCH = _struct(
+    ("query_id", _TEXT),
+    ("epoch", _LONG),
+    ("run_id", _TEXT),
+    ("reported", _TEXT),
+    ("source_rows", _LONG),
+    ("decoded", _LONG),
+    ("no_car_plate", _LONG),
+    ("no_camera_id", _LONG),
+    ("no_timestamp", _LONG),
+    ("late", _LONG),
+    ("state_rows", _LONG),
+    ("watermark", _TEXT),
+)

@@ -22,6 +22,7 @@ from spanwatch.operators.messages import decode, quality_filter
 from spanwatch.operators.report import longest_violation_s
 from spanwatch.params import Params
 from spanwatch.streaming.daily import refresh_slices
+from spanwatch.streaming.ledger import counted
 from spanwatch.streaming.sink import write_violations
 from spanwatch.workspace import check_utc
 
@@ -60,8 +61,10 @@ def stream_settings(spark: SparkSession, state_partitions: int | None) -> Iterat
 
 
 def passages(messages: DataFrame) -> DataFrame:
-    """Usable passages from a stream or table of messages."""
-    return quality_filter(decode(messages))
+    """Usable passages from a stream or table of messages. A stream counts what it decodes and
+    refuses; a `Ledger` stores the counts."""
+    decoded = decode(messages)
+    return quality_filter(counted(decoded) if messages.isStreaming else decoded)
 
 
 def detected(
@@ -169,7 +172,8 @@ def append_table(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the join has dropped as late so far, counted once per join side."""
+    """Rows the join has dropped as late in the batches that the query remembers, once for each
+    join side. `ledger` has all of them."""
     return sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress

@@ -33,14 +33,20 @@ def wave_of(events: DataFrame, waves: int, order: str = "batch_id") -> Column:
 
 
 def release(
-    events: DataFrame, landing: str, wave: Column, waves: int, resume: Callable[[], StreamingQuery]
+    events: DataFrame,
+    landing: str,
+    wave: Column,
+    waves: int,
+    resume: Callable[[], StreamingQuery],
+    spoil: Callable[[DataFrame], DataFrame] = lambda encoded: encoded,
 ) -> list[StreamingQuery]:
     """Writes waves 0 to `waves` - 1 one after another. `resume` starts the stream on
-    what is available now, always with the same checkpoint; it returns the query."""
+    what is available now, always with the same checkpoint; it returns the query. `spoil`
+    damages the messages on their way."""
     stamp = F.lit(REPLAY_TIME).cast("timestamp")
     finished = []
     for number in range(waves):
-        encode(events.filter(wave == number), stamp).write.mode("append").parquet(landing)
+        spoil(encode(events.filter(wave == number), stamp)).write.mode("append").parquet(landing)
         query = resume()
         query.awaitTermination()
         finished.append(query)
