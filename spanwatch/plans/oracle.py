@@ -260,6 +260,7 @@ WHERE vehicle_type NOT IN ('Coupe', 'SUV', 'Sedan', 'Van', 'Truck', 'Motorcycle'
         VIO,
     )
     + "SELECT * FROM vio",
+    "stream_hot_plates": _with(*LONG_VIO) + "SELECT * FROM vio",
     "stream_counts": _with(
         EV,
         WAVE,

@@ -9,6 +9,7 @@ from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from spanwatch.functions.times import minute_text
 from spanwatch.operators import detect, documents, ingest, messages, report, timeseries
@@ -584,6 +585,39 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(facts.violation_facts(spark, f"{folder}/violations"))
 
 
+# The plates that count as hot in each wave: the list grows, shrinks and changes.
+CHANGING_PLATES = ((), ("P00003",), ("P00003", "P00011"), ("P00011",))
+
+
+def stream_hot_plates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of hot plates changes with every wave, while passages of the last one wait: a
+    new checkpoint takes them over, and reads the new messages only."""
+    events = tables.camera_events(spark, sf_dir)
+    folder = fresh_folder(spark, "stream")
+    wave = replay.wave_of(events, WAVES)
+    checkpoint = None
+    for number, plates in enumerate(CHANGING_PLATES):
+        landing = f"{folder}/landing-{number}"
+        before, checkpoint = checkpoint, f"{folder}/checkpoint-{number}"
+
+        def start() -> StreamingQuery:
+            return job.start(
+                job.passages(sources.file_messages(spark, landing)),
+                _long_cameras(spark),
+                f"{folder}/violations",
+                checkpoint,
+                LONG,
+                hot_plates=plates,
+                state_partitions=STATE_PARTITIONS,
+                available_now=True,
+                taking_over=before,
+            )
+
+        replay.create_landing(spark, landing)
+        replay.release(events.filter(wave == number), landing, F.lit(0), 1, start)
+    return _flat(facts.violation_facts(spark, f"{folder}/violations"))
+
+
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every wave of damaged messages, camera 3 a wave late, gave: decoded, refused, late,
     received and inserted. Epochs without messages only move the watermark."""
@@ -673,6 +707,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_segment_join,
         stream_violations,
         stream_late_data,
+        stream_hot_plates,
         stream_counts,
         daily_doc_upsert,
     )

@@ -22,12 +22,11 @@ from spanwatch.operators.messages import decode, quality_filter
 from spanwatch.operators.report import longest_violation_s
 from spanwatch.params import Params
 from spanwatch.streaming.daily import refresh_slices
+from spanwatch.streaming.handover import settle_routing, with_waiting
 from spanwatch.streaming.ledger import counted
 from spanwatch.streaming.sink import write_violations
 from spanwatch.workspace import check_utc
 
-ROUTING = "hot_plates ARRAY<STRING>, hot_salts INT"
-
 # Join state may outgrow executor memory: RocksDB keeps it on the executor's disk and
 # uploads changes only; join format 3 commits one store per partition instead of four.
 STREAM_SETTINGS = {
@@ -87,23 +86,6 @@ def warn_if_blind(cameras: DataFrame, params: Params) -> None:
         )
 
 
-def check_routing(
-    spark: SparkSession, checkpoint: str, hot_plates: tuple[str, ...], params: Params
-) -> None:
-    """State lies where the routing of plates put it, so a checkpoint keeps the routing it was
-    started with: it is stored beside the checkpoint, and another one is refused. Rows that
-    wait in state would otherwise be looked for elsewhere, and their pairs lost."""
-    path = f"{checkpoint.rstrip('/')}-routing"
-    wanted = (sorted(set(hot_plates)), params.hot_salts)
-    spark.createDataFrame([wanted], ROUTING).coalesce(1).write.mode("ignore").parquet(path)
-    kept = spark.read.schema(ROUTING).parquet(path).first()
-    if (list(kept["hot_plates"]), kept["hot_salts"]) != wanted:
-        raise ValueError(
-            f"{checkpoint} was started with hot plates {list(kept['hot_plates'])} and"
-            f" {kept['hot_salts']} salts; start with these, or with a new checkpoint"
-        )
-
-
 def start(
     events: DataFrame,
     cameras: DataFrame,
@@ -116,14 +98,19 @@ def start(
     available_now: bool = False,
     *,
     state_partitions: int,
+    taking_over: str | None = None,
 ) -> StreamingQuery:
     """Starts the job. With a daily path, each batch rebuilds the documents of the hours it
     touched before it counts as done: a batch that stops half-way comes again whole, so
-    documents are complete whenever the job stands still."""
+    documents are complete whenever the job stands still.
+
+    A checkpoint keeps its hot plates and its number of state partitions. To change either, stop
+    the job and start it on a new checkpoint with `taking_over` the old one (see `handover`)."""
     spark = events.sparkSession
     check_utc(spark)
     warn_if_blind(cameras, params)
-    check_routing(spark, checkpoint, hot_plates, params)
+    waiting = settle_routing(spark, checkpoint, hot_plates, params.hot_salts, taking_over)
+    events = with_waiting(events, waiting)
 
     def deliver(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession

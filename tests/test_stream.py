@@ -163,15 +163,6 @@ def test_documents_are_complete_after_a_stop_between_facts_and_documents(
     assert refresh_stale(spark, f"{tmp_path}/violations", f"{tmp_path}/daily") == []
 
 
-def test_another_routing_than_the_checkpoint_has_is_refused(spark, tmp_path):
-    checkpoint = f"{tmp_path}/checkpoint"
-    job.check_routing(spark, checkpoint, ("B", "A"), Params())
-    job.check_routing(spark, checkpoint, ("A", "B"), Params())
-    for plates, params in [((), Params()), (("A",), Params()), (("A", "B"), Params(hot_salts=3))]:
-        with pytest.raises(ValueError, match="new checkpoint"):
-            job.check_routing(spark, checkpoint, plates, params)
-
-
 def test_a_job_in_another_zone_is_refused(spark, tmp_path):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Kuala_Lumpur")
     try:
