@@ -61,5 +61,23 @@ def violation_facts(spark: SparkSession, path: str, days: list[str] | None = Non
     return stored_violations(spark, path, days).select(*VIOLATION.fieldNames())
 
 
+def daily_slices(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The slices of daily documents as they were appended or folded."""
+    stored = spark.read.schema(DAILY_DOCUMENT).parquet(path)
+    return stored if days is None else stored.filter(F.col(DAY).isin(days))
+
+
+def merged_slices(slices: DataFrame) -> DataFrame:
+    """One row per document: the violations of all its slices, each once, in order. Filters on
+    the plate, the day and the hour reach the files."""
+    each = F.array_sort(F.array_distinct(F.flatten(F.collect_list("violations"))))
+    return (
+        slices.groupBy("car_plate", DAY, "slice")
+        .agg(each.alias("violations"))
+        .withColumn("n_violations", F.size("violations").cast("long"))
+        .select(*DAILY_DOCUMENT.fieldNames())
+    )
+
+
 def daily_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DAILY_DOCUMENT).parquet(path)
+    return merged_slices(daily_slices(spark, path))

@@ -1,8 +1,11 @@
 """Daily documents kept up to date from the stored violations.
 
-A document grows while its hour lasts, so it cannot be appended by a stream. The hours that a
-batch touched are rebuilt from the facts and replace their partitions whole; other hours of
-the day are neither read nor written.
+A document grows while its hour lasts. Each delivery appends what it inserted as slices of
+documents (`append_slices`), `daily_documents` puts the slices of a document together, and hours
+that are over are folded into whole documents (`fold_slices`). So every violation is written
+once when it arrives and once when its hour is folded, however many deliveries an hour has.
+
+The facts are the truth: `refresh_stale` rebuilds what differs from them.
 """
 
 from datetime import datetime, timezone
@@ -15,9 +18,12 @@ from spanwatch.sources.facts import (
     DAY,
     create_table,
     daily_documents,
+    daily_slices,
+    merged_slices,
     stored_within,
     violation_facts,
 )
+from spanwatch.streaming.sink import delivered
 
 FOLDERS = (DAY, "slice")
 
@@ -29,27 +35,82 @@ def _span(day: str, hour: int) -> tuple[str, int, int]:
     return day, first, first + SLICE_S * 1_000_000 - 1
 
 
-def refresh_slices(
-    spark: SparkSession, facts_path: str, daily_path: str, slices: list[tuple[str, int]]
-) -> None:
-    """Rebuilds the documents of the given (day, hour) slices."""
-    create_table(spark, daily_path, DAILY_DOCUMENT, FOLDERS)
-    if not slices:
-        return
-    facts = stored_within(spark, facts_path, [_span(*touched) for touched in slices])
+def _written(documents: DataFrame, daily_path: str, mode: str) -> None:
     (
-        daily_merge(facts.select(*VIOLATION.fieldNames()), distinct=True)
-        .withColumn("n_violations", F.size("violations").cast("long"))
+        documents.withColumn("n_violations", F.size("violations").cast("long"))
         .select(*DAILY_DOCUMENT.fieldNames())
         .hint("rebalance", *FOLDERS)
         .sortWithinPartitions(*FOLDERS, "car_plate")
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*FOLDERS)
         .parquet(daily_path)
     )
 
 
+def append_slices(
+    spark: SparkSession,
+    facts_path: str,
+    daily_path: str,
+    slices: list[tuple[str, int]],
+    run_id: str,
+    epoch: int,
+) -> None:
+    """Appends the documents of what a delivery inserted into the given (day, hour) slices. A
+    delivery that is repeated appends the same again, which reading folds."""
+    create_table(spark, daily_path, DAILY_DOCUMENT, FOLDERS)
+    if not slices:
+        return
+    new = delivered(spark, facts_path, [_span(*touched) for touched in slices], run_id, epoch)
+    _written(daily_merge(new.select(*VIOLATION.fieldNames()), distinct=True), daily_path, "append")
+
+
+def fold_slices(spark: SparkSession, daily_path: str, slices: list[tuple[str, int]]) -> None:
+    """Rewrites the given hours with one row per document. Only the writer of the table may do
+    so, between its deliveries: what is appended meanwhile would be lost."""
+    if not slices:
+        return
+    hours = spark.createDataFrame(slices, "_day STRING, _hour INT")
+    stored = daily_slices(spark, daily_path, sorted({day for day, _ in slices}))
+    chosen = stored.join(
+        F.broadcast(hours), (F.col(DAY) == F.col("_day")) & (F.col("slice") == F.col("_hour")), "left_semi"
+    )
+    _written(merged_slices(chosen), daily_path, "overwrite")
+
+
+class OpenHours:
+    """The hours that a job has appended to since they were last folded.
+
+    An hour is over for the job once it has seen one `hours` later; a violation that comes later
+    still opens it again. Hours that a stopped job leaves open are read as well as folded ones.
+    """
+
+    def __init__(self, hours: int = 2):
+        self.hours, self.open = hours, set()
+
+    def over(self, touched: list[tuple[str, int]]) -> list[tuple[str, int]]:
+        """The hours to fold now that a delivery has touched some."""
+        self.open |= set(touched)
+        starts = {each: _span(*each)[1] for each in self.open}
+        newest = max(starts.values(), default=0)
+        past = newest - self.hours * SLICE_S * 1_000_000
+        found = sorted(each for each, start in starts.items() if start <= past)
+        self.open -= set(found)
+        return found
+
+
+def refresh_slices(
+    spark: SparkSession, facts_path: str, daily_path: str, slices: list[tuple[str, int]]
+) -> None:
+    """Rebuilds the documents of the given (day, hour) slices."""
+    create_table(spark, daily_path, DAILY_DOCUMENT, FOLDERS)
+    if not slices:
+        return
+    facts = stored_within(spark, facts_path, [_span(*touched) for touched in slices])
+    documents = daily_merge(facts.select(*VIOLATION.fieldNames()), distinct=True)
+    _written(documents, daily_path, "overwrite")
+
+
 def stale_slices(spark: SparkSession, facts_path: str, daily_path: str) -> DataFrame:
     """Slices whose documents hold another number of violations than the facts do. Facts
     are only ever added, so equal numbers mean the slice is up to date. Reads both tables:

@@ -21,7 +21,7 @@ from spanwatch.operators.enrich import with_limits
 from spanwatch.operators.messages import decode, quality_filter
 from spanwatch.operators.report import longest_violation_s
 from spanwatch.params import Params
-from spanwatch.streaming.daily import refresh_slices
+from spanwatch.streaming.daily import OpenHours, append_slices, fold_slices
 from spanwatch.streaming.handover import settle_routing, with_waiting
 from spanwatch.streaming.ledger import counted
 from spanwatch.streaming.sink import write_violations
@@ -100,9 +100,9 @@ def start(
     state_partitions: int,
     taking_over: str | None = None,
 ) -> StreamingQuery:
-    """Starts the job. With a daily path, each batch rebuilds the documents of the hours it
-    touched before it counts as done: a batch that stops half-way comes again whole, so
-    documents are complete whenever the job stands still.
+    """Starts the job. With a daily path, each batch appends its share of the documents before it
+    counts as done: a batch that stops half-way comes again whole, so documents are complete
+    whenever the job stands still. Hours that are over are folded in between.
 
     A checkpoint keeps its hot plates and its number of state partitions. To change either, stop
     the job and start it on a new checkpoint with `taking_over` the old one (see `handover`)."""
@@ -112,12 +112,15 @@ def start(
     waiting = settle_routing(spark, checkpoint, hot_plates, params.hot_salts, taking_over)
     events = with_waiting(events, waiting)
 
+    hours = OpenHours()
+
     def deliver(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         run_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         touched = write_violations(batch, facts_path, run_id, epoch, metrics_path)
         if daily_path:
-            refresh_slices(session, facts_path, daily_path, touched)
+            append_slices(session, facts_path, daily_path, touched, run_id, epoch)
+            fold_slices(session, daily_path, hours.over(touched))
 
     writer = (
         detected(events, cameras, params, hot_plates)

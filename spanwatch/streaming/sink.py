@@ -7,7 +7,7 @@ the next attempt finds and skips. One writer per table: two at a time could both
 what the other is writing.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from spanwatch.functions.values import event_time
 from spanwatch.operators.documents import with_slice
@@ -26,9 +26,9 @@ def _same(left: str, right: str):
     return matched
 
 
-def _per_day(prepared: DataFrame) -> DataFrame:
-    """Rows and time span per day of the batch."""
-    return prepared.groupBy(DAY).agg(
+def _per_slice(prepared: DataFrame) -> DataFrame:
+    """Rows and time span per hour of the batch."""
+    return with_slice(prepared).groupBy(DAY, "slice").agg(
         F.count(F.lit(1)).alias("prepared"),
         F.sum("copies").alias("received"),
         F.min("event_us").alias("first"),
@@ -36,12 +36,20 @@ def _per_day(prepared: DataFrame) -> DataFrame:
     )
 
 
-def _not_stored(prepared: DataFrame, path: str, per_day: list) -> DataFrame:
+def _spans(per_slice: list) -> list[tuple[str, int, int]]:
+    """The stretch of time that a batch is about on each of its days."""
+    days: dict[str, tuple[int, int]] = {}
+    for row in per_slice:
+        first, last = days.get(row[DAY], (row["first"], row["last"]))
+        days[row[DAY]] = min(first, row["first"]), max(last, row["last"])
+    return [(day, *span) for day, span in days.items()]
+
+
+def _not_stored(prepared: DataFrame, path: str, per_slice: list) -> DataFrame:
     """Rows of the batch that the table lacks. Only the stretches of time that the batch is
     about are read, however many days they lie in."""
-    spans = [(day[DAY], day["first"], day["last"]) for day in per_day]
-    stored = stored_within(prepared.sparkSession, path, spans)
-    if sum(day["prepared"] for day in per_day) <= BROADCAST_BATCH_ROWS:
+    stored = stored_within(prepared.sparkSession, path, _spans(per_slice))
+    if sum(row["prepared"] for row in per_slice) <= BROADCAST_BATCH_ROWS:
         keys = F.broadcast(prepared.select(*VIOLATION_KEY).alias("b"))
         stored = stored.alias("t").join(keys, _same("t", "b"), "left_semi")
     return prepared.alias("b").join(
@@ -66,32 +74,46 @@ def write_violations(
         .persist()
     )
     try:
-        per_day = _per_day(prepared).collect()
-        if not per_day:
+        per_slice = _per_slice(prepared).collect()
+        if not per_slice:
             return []
+        # Counted in the tasks that write, whose results count once however often they run.
+        seen = Observation()
         (
-            _not_stored(prepared, path, per_day)
+            _not_stored(prepared, path, per_slice)
             .withColumns({"run_id": F.lit(run_id), "epoch": F.lit(epoch).cast("long")})
             .select(*STORED_VIOLATION.fieldNames())
             .hint("rebalance", DAY)
             .sortWithinPartitions(DAY, "car_plate", "event_us")
+            .observe(seen, F.count(F.lit(1)).alias("inserted"))
             .write.mode("append")
             .partitionBy(DAY)
             .parquet(path)
         )
         if metrics_path:
-            spans = [(day[DAY], day["first"], day["last"]) for day in per_day]
-            inserted = stored_within(spark, path, spans).filter(
-                (F.col("run_id") == run_id) & (F.col("epoch") == epoch)
+            received, n_prepared = (
+                sum(row[name] for row in per_slice) for name in ("received", "prepared")
             )
-            counts = (sum(day[name] for day in per_day) for name in ("received", "prepared"))
-            _append_metrics(spark, metrics_path, (run_id, epoch, *counts, inserted.count()))
-        slices = with_slice(prepared).select(DAY, "slice").distinct().collect()
-        return sorted((row[DAY], row["slice"]) for row in slices)
+            inserted = seen.get["inserted"]
+            if inserted < n_prepared:
+                # Some were there: from other deliveries, or from this one, broken off before.
+                inserted = delivered(spark, path, _spans(per_slice), run_id, epoch).count()
+            row = (run_id, epoch, received, n_prepared, inserted)
+            _append_metrics(spark, metrics_path, row)
+        return sorted((row[DAY], row["slice"]) for row in per_slice)
     finally:
         prepared.unpersist()
 
 
+def delivered(
+    spark: SparkSession, path: str, spans: list[tuple[str, int, int]], run_id: str, epoch: int
+) -> DataFrame:
+    """What one delivery has inserted, in all its attempts."""
+    return stored_within(spark, path, spans).filter(
+        (F.col("run_id") == run_id) & (F.col("epoch") == epoch)
+    )
+
+
 def _append_metrics(spark: SparkSession, path: str, row: tuple) -> None:
     spark.createDataFrame([row], DELIVERY_METRICS).coalesce(1).write.mode("append").parquet(path)
 

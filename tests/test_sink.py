@@ -6,9 +6,21 @@ from pyspark.sql import functions as F
 from rows import bag, enriched
 from spanwatch.operators.detect import violations
 from spanwatch.sources import facts
-from spanwatch.sources.facts import daily_documents, stored_violations, violation_facts
+from spanwatch.sources.facts import (
+    daily_documents,
+    daily_slices,
+    stored_violations,
+    violation_facts,
+)
 from spanwatch.streaming import sink
-from spanwatch.streaming.daily import refresh_slices, refresh_stale, stale_slices
+from spanwatch.streaming.daily import (
+    OpenHours,
+    append_slices,
+    fold_slices,
+    refresh_slices,
+    refresh_stale,
+    stale_slices,
+)
 
 ROWS = [
     ("A", 1, "2024-03-01 08:00:00", 150.0),
@@ -120,3 +132,52 @@ def test_daily_documents_follow_the_facts(spark, batch, table, tmp_path):
     assert refresh_stale(spark, table, daily) == [("2024-03-01", 8)]
     assert document_sizes(spark, daily) == {("A", "2024-03-01"): 2, ("B", "2024-03-02"): 1}
     assert refresh_stale(spark, table, daily) == []
+
+
+def hour_of_passages(n):
+    """Readings of a few plates over an hour, in order of time."""
+    return [
+        (f"P{i % 7}", 1, f"2024-03-01 08:{i * 60 // n:02d}:{i * 3600 // n % 60:02d}", 150.0)
+        for i in range(n)
+    ]
+
+
+def test_documents_grow_by_what_is_new(spark, table, tmp_path):
+    """What many deliveries of one hour write is as much as there are violations."""
+    daily, rows, hours = str(tmp_path / "daily"), hour_of_passages(60), OpenHours()
+    for epoch in range(12):
+        part = violations(enriched(spark, rows[5 * epoch : 5 * epoch + 5])).coalesce(1)
+        touched = sink.write_violations(part, table, "r", epoch)
+        append_slices(spark, table, daily, touched, "r", epoch)
+        assert hours.over(touched) == []
+    written = daily_slices(spark, daily).agg(F.sum("n_violations")).first()[0]
+    assert written == len(rows)
+    whole = daily_documents(spark, daily)
+    assert whole.count() == 7 and whole.agg(F.sum("n_violations")).first()[0] == len(rows)
+    assert stale_slices(spark, table, daily).count() == 0
+    later = hours.over([("2024-03-01", 10)])
+    assert later == [("2024-03-01", 8)]
+    before = bag(whole)
+    fold_slices(spark, daily, later)
+    assert daily_slices(spark, daily).count() == 7 and bag(daily_documents(spark, daily)) == before
+
+
+def test_a_repeated_delivery_adds_nothing_to_documents(spark, batch, table, tmp_path):
+    daily = str(tmp_path / "daily")
+    for epoch, attempt in ((0, 0), (0, 1), (1, 0)):
+        touched = sink.write_violations(batch, table, "r", epoch)
+        append_slices(spark, table, daily, touched, "r", epoch)
+    assert document_sizes(spark, daily) == {("A", "2024-03-01"): 2, ("B", "2024-03-02"): 1}
+    assert daily_slices(spark, daily).agg(F.sum("n_violations")).first()[0] == 2 * 3
+    fold_slices(spark, daily, [("2024-03-01", 8)])
+    assert document_sizes(spark, daily) == {("A", "2024-03-01"): 2, ("B", "2024-03-02"): 1}
+    assert daily_slices(spark, daily).filter("violation_date = '2024-03-01'").count() == 1
+
+
+def test_hours_are_over_once_a_later_one_is_seen():
+    hours = OpenHours()
+    assert hours.over([("2024-03-01", 22), ("2024-03-01", 23)]) == []
+    assert hours.over([("2024-03-02", 0)]) == [("2024-03-01", 22)]
+    assert hours.over([]) == []
+    assert hours.over([("2024-03-01", 5)]) == [("2024-03-01", 5)]  # late: folded again at once
+    assert hours.over([("2024-03-05", 0)]) == [("2024-03-01", 23), ("2024-03-02", 0)]

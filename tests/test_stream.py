@@ -135,15 +135,15 @@ def test_documents_are_complete_after_a_stop_between_facts_and_documents(
     spark, tmp_path, monkeypatch
 ):
     rows, calls = traffic(60, plates=2), []
-    refresh = job.refresh_slices
+    append = job.append_slices
 
     def stops_once(*args):
         calls.append(args)
         if len(calls) == 1:
             raise RuntimeError("lost between facts and documents")
-        refresh(*args)
+        append(*args)
 
-    monkeypatch.setattr(job, "refresh_slices", stops_once)
+    monkeypatch.setattr(job, "append_slices", stops_once)
     options = {"daily_path": f"{tmp_path}/daily"}
     with pytest.raises(StreamingQueryException, match="lost between"):
         run(spark, tmp_path, passages(spark, rows), by_minute(1), 1, **options)
