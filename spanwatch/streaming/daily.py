@@ -79,24 +79,25 @@ def fold_slices(spark: SparkSession, daily_path: str, slices: list[tuple[str, in
 
 
 class OpenHours:
-    """The hours that a job has appended to since they were last folded.
+    """The hours that a job has appended to, and how often.
 
     An hour is over for the job once it has seen one `hours` later; a violation that comes later
-    still opens it again. Hours that a stopped job leaves open are read as well as folded ones.
+    still opens it again. An hour that one delivery brought whole needs no folding. Hours that a
+    stopped job leaves open are read as well as folded ones.
     """
 
     def __init__(self, hours: int = 2):
-        self.hours, self.open = hours, set()
+        self.hours = hours
+        self.open: dict[tuple[str, int], int] = {}
 
     def over(self, touched: list[tuple[str, int]]) -> list[tuple[str, int]]:
         """The hours to fold now that a delivery has touched some."""
-        self.open |= set(touched)
+        for each in touched:
+            self.open[each] = self.open.get(each, 0) + 1
         starts = {each: _span(*each)[1] for each in self.open}
-        newest = max(starts.values(), default=0)
-        past = newest - self.hours * SLICE_S * 1_000_000
-        found = sorted(each for each, start in starts.items() if start <= past)
-        self.open -= set(found)
-        return found
+        past = max(starts.values(), default=0) - self.hours * SLICE_S * 1_000_000
+        done = sorted(each for each, start in starts.items() if start <= past)
+        return [each for each in done if self.open.pop(each) > 1]
 
 
 def refresh_slices(

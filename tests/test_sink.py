@@ -176,8 +176,10 @@ def test_a_repeated_delivery_adds_nothing_to_documents(spark, batch, table, tmp_
 
 def test_hours_are_over_once_a_later_one_is_seen():
     hours = OpenHours()
-    assert hours.over([("2024-03-01", 22), ("2024-03-01", 23)]) == []
+    for _ in range(2):
+        assert hours.over([("2024-03-01", 22), ("2024-03-01", 23)]) == []
     assert hours.over([("2024-03-02", 0)]) == [("2024-03-01", 22)]
     assert hours.over([]) == []
-    assert hours.over([("2024-03-01", 5)]) == [("2024-03-01", 5)]  # late: folded again at once
-    assert hours.over([("2024-03-05", 0)]) == [("2024-03-01", 23), ("2024-03-02", 0)]
+    assert hours.over([("2024-03-01", 5)]) == []  # one delivery brought it whole
+    assert hours.over([("2024-03-05", 0)]) == [("2024-03-01", 23)]
+    assert hours.open == {("2024-03-05", 0): 1}
