@@ -23,12 +23,13 @@ from spanwatch.llm.common import whole_row
 LABELLED_PAGES = 2_000
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
+    r"<!--.*?(?:-->|\Z)|<![^<>]*>|<\?[^<>]*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)"
     r"(?P<attributes>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-label)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+# Attributes one after another: a name is read whole, and a value is never looked into for one.
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'<>]+))?")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 # Elements as the language defines them.
@@ -46,12 +47,18 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center
          "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot",
          "th", "thead", "tr", "ul"}
 ENDS_PARAGRAPH = BLOCK - {"html", "body"}
+# Elements that hold other blocks. All else holds text, and a name such as "related-work" on it
+# says what the text is about rather than what it is for.
+HOLDER = BLOCK - {"address", "blockquote", "caption", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6",
+                  "legend", "p", "pre", "summary"}
 # An element of the key ends one of the value that is still open, up to the given ancestors.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
            "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
            "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 
-# Elements, roles and parts of class names or ids that say what is not the article.
+# Elements, roles and parts of class names or ids that say what is not the article: of a holder of
+# blocks any part does, of a text all parts of the name. A text with other parts beside is judged
+# by a weight for such texts, learned like those of all words.
 OUTSIDE_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "header", "fieldset"}
 OUTSIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog",
                  "alert", "alertdialog", "form", "menu", "menubar", "toolbar"}
@@ -70,7 +77,7 @@ ARTICLE_NAMES = {"articlebody", "articletext"}
 PRIOR = {"p": (20, 2), "h1": (6, 2), "h2": (4, 2), "h3": (4, 2), "blockquote": (4, 1),
          "pre": (4, 1), "figcaption": (3, 2), "li": (6, 3), "td": (4, 3), "div": (6, 2),
          "body": (3, 2), "p/link": (5, 3), "blockquote/link": (4, 3)}
-OTHER_PRIOR, LINK_PRIOR, OUTSIDE_PRIOR = (3, 2), (2, 8), (1, 60)
+OTHER_PRIOR, LINK_PRIOR, OUTSIDE_PRIOR, NAMED_PRIOR = (3, 2), (2, 8), (1, 60), (3, 2)
 WORD_RANGE, TAG_RANGE = (-2.0, 1.0), (-0.2, -0.02)
 # What one menu, advert or form costs at most, so that the article may go on after it.
 OUTSIDE_COST = -4.0
@@ -93,6 +100,43 @@ class _Element:
     tag: str
     outside: bool
     article: bool
+    where: str = "body"  # the block that its text stands in
+    named: bool = False  # a name on it that elsewhere would say that it is not the article
+
+
+class _Open:
+    """The open elements. Where the last of a tag or of the blocks stands is known, so that no tag
+    costs a walk over those that a page leaves open."""
+
+    def __init__(self):
+        self.stack: list[_Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.links = self.closed = 0
+
+    def top(self) -> _Element:
+        return self.stack[-1] if self.stack else _Element("body", False, False)
+
+    def last(self, tags) -> int:
+        """The place of the last open element of some tags, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def push(self, element: _Element) -> None:
+        place = len(self.stack)
+        self.stack.append(element)
+        self.places.setdefault(element.tag, []).append(place)
+        self.links += element.tag == "a"
+        if element.tag in BLOCK:
+            self.blocks.append(place)
+
+    def pop(self, upto: int) -> None:
+        while len(self.stack) > upto:
+            gone = self.stack.pop()
+            self.places[gone.tag].pop()
+            self.links -= gone.tag == "a"
+            if gone.tag in BLOCK:
+                self.blocks.pop()
+                self.closed += 1
 
 
 @dataclass
@@ -101,11 +145,12 @@ class Weights:
     tags: dict[str, float] = field(default_factory=dict)
 
 
-def _says_outside(attributes: str) -> tuple[bool, bool]:
-    """Whether names or roles say that an element is not, or is, the article."""
-    out = article = False
+def _says_outside(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether names or roles say that an element is not the article, or is, or whether a name
+    only leaves it open. Names and values are read whole, in any case of letters."""
+    out = article = named = False
     for name, value in ATTRIBUTE.findall(attributes):
-        value = value.strip("\"'")
+        name, value = name.lower(), value.strip("\"'")
         if name == "role":
             out |= value.lower() in OUTSIDE_ROLES
             article |= value.lower() in ("main", "article")
@@ -116,9 +161,14 @@ def _says_outside(attributes: str) -> tuple[bool, bool]:
         elif name in ("class", "id"):
             for word in value.split():
                 parts = [x.lower() for x in NAME_PART.findall(word)]
-                if parts and parts[0] not in NOT_ABOUT_ITSELF:
-                    out |= any(x in OUTSIDE_NAMES or x.startswith(OUTSIDE_STARTS) for x in parts)
-    return out, article
+                if not parts or parts[0] in NOT_ABOUT_ITSELF:
+                    continue
+                words = [x for x in parts if not x.isdigit()]
+                listed = [x in OUTSIDE_NAMES or x.startswith(OUTSIDE_STARTS) for x in words]
+                if any(listed):
+                    sure = tag in HOLDER or all(listed)
+                    out, named = out or sure, named or not sure
+    return out, article, named
 
 
 def _silent_end(page: str, tag: str, at: int) -> int | None:
@@ -149,25 +199,21 @@ def _head_end(page: str, at: int) -> int:
 def pieces(page: str) -> list[Piece]:
     """The page as tags and texts. Elements that show nothing are left out with their content."""
     found: list[Piece] = []
-    stack: list[_Element] = []
-    block, at, links = 0, 0, 0
+    opened = _Open()
+    begun, at = 0, 0
     # Silent elements with no end tag from here on, looked for once.
     endless: set[str] = set()
 
+    def block() -> int:
+        return begun + opened.closed
+
     def text(raw: str) -> None:
         if not raw:
             return
-        top = stack[-1] if stack else _Element("body", False, False)
-        where = next((e.tag for e in reversed(stack) if e.tag in BLOCK), "body")
-        name = "outside" if top.outside else where + ("/link" if links else "")
-        found.append(Piece("text", name, raw, block, top.outside, top.article and not top.outside))
-
-    def pop(upto: int) -> None:
-        nonlocal links, block
-        for gone in stack[upto:]:
-            links -= gone.tag == "a"
-            block += gone.tag in BLOCK
-        del stack[upto:]
+        top = opened.top()
+        name = top.where + ("/link" if opened.links else "/named" if top.named else "")
+        name = "outside" if top.outside else name
+        found.append(Piece("text", name, raw, block(), top.outside, top.article and not top.outside))
 
     match = TOKEN.search(page)
     while match:
@@ -185,43 +231,40 @@ def pieces(page: str) -> list[Piece]:
                 elif tag in RAW and not match["attributes"].rstrip().endswith("/"):
                     at = len(page)
         elif tag and match["close"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    top = stack[i]
-                    pop(i)
-                    found.append(Piece("tag", tag, "", block, top.outside, top.article))
-                    break
+            place = opened.last((tag,))
+            if place >= 0:
+                top = opened.stack[place]
+                opened.pop(place)
+                found.append(Piece("tag", tag, "", block(), top.outside, top.article))
         elif tag:
-            if tag in ENDS_PARAGRAPH:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].tag in BLOCK:
-                        if stack[i].tag == "p":
-                            pop(i)
-                        break
+            if tag in ENDS_PARAGRAPH and opened.blocks:
+                place = opened.blocks[-1]
+                if opened.stack[place].tag == "p":
+                    opened.pop(place)
             if tag in IMPLIED:
                 ended, limit = IMPLIED[tag]
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].tag in limit:
-                        break
-                    if stack[i].tag in ended:
-                        pop(i)
-                        break
-            above = stack[-1] if stack else _Element("body", False, False)
-            named, marked = _says_outside(match["attributes"]) if match["attributes"] else (False, False)
+                place = opened.last(ended)
+                if place > opened.last(limit):
+                    opened.pop(place)
+            above = opened.top()
+            out, marked, named = _says_outside(tag, match["attributes"] or "")
             article = tag in ("article", "main") or marked
             if tag in ("html", "body", "main"):
-                named = False
-            outside = named or (
-                tag in OUTSIDE_TAGS and not (tag == "header" and above.article)
+                out = named = False
+            outside = out or (tag in OUTSIDE_TAGS and not (tag == "header" and above.article))
+            element = _Element(
+                tag,
+                above.outside or outside,
+                above.article or article,
+                tag if tag in BLOCK else above.where,
+                named or (tag not in BLOCK and above.named),
             )
-            element = _Element(tag, above.outside or outside, above.article or article)
-            block += tag in BLOCK
-            found.append(Piece("tag", tag, "", block, element.outside, element.article))
+            begun += tag in BLOCK
+            found.append(Piece("tag", tag, "", block(), element.outside, element.article))
             if tag == "br":
-                found.append(Piece("text", "", "\n", block, element.outside))
+                found.append(Piece("text", "", "\n", block(), element.outside))
             if tag not in VOID and not match["attributes"].endswith("/"):
-                stack.append(element)
-                links += tag == "a"
+                opened.push(element)
         match = TOKEN.search(page, at)
     text(page[at:])
     return found
@@ -257,6 +300,8 @@ def weights(total: Counter) -> Weights:
 def _prior(name: str) -> tuple[int, int]:
     if name == "outside":
         return OUTSIDE_PRIOR
+    if name.endswith("/named"):
+        return NAMED_PRIOR
     return PRIOR.get(name) or (LINK_PRIOR if name.endswith("/link") else OTHER_PRIOR)
 
 

@@ -1,3 +1,7 @@
+import html
+import re
+import time
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from spanwatch.llm import html_text
@@ -80,3 +84,94 @@ def test_awkward_pages(spark, learned):
     assert by_id[8][0].startswith("a < b")
     nothing = spark.createDataFrame([], schema)
     assert html_text.extract(nothing, html_text.fit(nothing)).collect() == []
+
+
+WORDS = "These are words of the story that go on for some time."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div style='overflow:hidden'><p>{}</p></div>",
+        '<div style="overflow:hidden;class=nav"><p>{}</p></div>',
+        "<p aria-hidden='false'>{}</p>",
+        '<p data-id="ad-12">{}</p>',
+        '<p title="no class=nav here">{}</p>',
+        "<p data-class=sidebar>{}</p>",
+        '<p id="comment-on-economy">{}</p>',
+        '<p class="related-work">{}</p>',
+        '<H2 CLASS="Social-History">{}</H2>',
+        "<p class = 'lead'\n id='x'>{}</p>",
+        "<TABLE><TR><TD>{}</TABLE>",
+        "<p class='has-sidebar'>{}</p>",
+    ],
+)
+def test_attributes_are_read_whole(learned, page):
+    assert html_text.main_text(f"<body>{page.format(WORDS)}", learned) == WORDS
+
+
+def test_a_link_to_a_comment_is_text(learned):
+    page = f'<p>{WORDS} <a href="/x?id=comment12&class=ad">more words</a> of it.</p>'
+    assert html_text.main_text(page, learned) == f"{WORDS} more words of it."
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ['CLASS="sidebar"', "class=sidebar", "Class='Post-Comments x'", "ID=ad-12", "hidden", "ROLE=Navigation"],
+)
+def test_names_in_any_case_leave_out(learned, attributes):
+    page = f"<body><p>{WORDS}</p><DIV {attributes}><p>not this one here</p></DIV><p>{WORDS}</p>"
+    assert html_text.main_text(page, learned) == f"{WORDS}\n{WORDS}"
+    assert html_text.main_text(f"<p>{WORDS}</p><p class='ads'>buy</p><p>{WORDS}</p>", learned) == f"{WORDS}\n{WORDS}"
+
+
+def test_names_on_texts_have_a_learned_weight():
+    """Pages whose notes stand outside their article teach that such notes are not text."""
+    note = "<p class='related-work'>see also these other pages</p>"
+    outside = f"<article><p>{WORDS * 3}</p></article>{note * 30}"
+    using = html_text.weights(html_text.counts(outside))
+    assert using.words["p/named"] < 0 < html_text.weights(html_text.Counter()).words.get("p/named", 0.4)
+    assert html_text.main_text(f"<p>{WORDS}</p>{note}", using) == WORDS
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>" * 400_000,
+        "<b>" * 200_000 + "</i>" * 200_000,
+        "<b><p>" * 200_000,
+        "<li><b>" * 200_000,
+        "<div>" * 200_000 + "<p>" * 200_000,
+        "<a '\"" * 300_000,
+        "<!" * 600_000,
+        "<a href=x class=" * 100_000,
+    ],
+)
+def test_damaged_pages_take_linear_time(learned, page):
+    began = time.process_time()
+    got = html_text.main_text(page + f"<p>{WORDS}</p>", learned)
+    assert time.process_time() - began < 20
+    assert WORDS in got or "<" in page.replace("<b>", "")
+
+
+def test_the_query_reads_whole_pages(spark):
+    """Every article that pages mark up, found by the query as the page's blocks."""
+    from spanwatch.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    bodies = dict(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html").collect())
+    rows = QUERIES["op2_html_text"](spark, sf).collect()
+    assert sorted(r["page_id"] for r in rows) == sorted(bodies)
+    seen = 0
+    for row in rows:
+        assert row["n_chars"] == len(row["text"])
+        article = re.search(r"<article>(.*?)</article>", bodies[row["page_id"]] or "", re.S)
+        if article is None:
+            continue
+        kept = re.sub(r'(?s)<div class="ad">.*?</div>|<br ?/?>', " ", article[1])
+        blocks = re.split(r"</?(?:p|h[1-6]|ul|li)>", kept)
+        plain = (" ".join(html.unescape(re.sub("<[^>]*>", "", block)).split()) for block in blocks)
+        wanted = [block for block in plain if block]
+        assert row["text"].split("\n") == wanted
+        seen += 1
+    assert seen >= 10
