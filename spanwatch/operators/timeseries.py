@@ -6,7 +6,8 @@ from spanwatch.functions.times import minute_of
 from spanwatch.schema import AVERAGE_SPEED, SPEED
 
 
-def _minute_counts(timeline: DataFrame) -> DataFrame:
+def counts_by_minute(timeline: DataFrame) -> DataFrame:
+    """Violations per minute of arrival, in no order."""
     return timeline.groupBy(minute_of(F.col("arrival_time")).alias("minute")).agg(
         F.count(F.lit(1)).alias("count")
     )
@@ -15,14 +16,14 @@ def _minute_counts(timeline: DataFrame) -> DataFrame:
 def per_minute(timeline: DataFrame) -> DataFrame:
     """Violations per minute of arrival, in time order. What is sorted has one row per
     minute, however many violations there were."""
-    return _minute_counts(timeline).orderBy("minute")
+    return counts_by_minute(timeline).orderBy("minute")
 
 
 def peak_minute(timeline: DataFrame) -> DataFrame:
     """The busiest minute, the earliest of equals; no row for no violations."""
     earliest = F.struct(F.col("count"), -F.unix_seconds("minute"))
     return (
-        _minute_counts(timeline)
+        counts_by_minute(timeline)
         .agg(F.max_by(F.struct("minute", "count"), earliest).alias("peak"))
         .filter(F.col("peak").isNotNull())
         .select("peak.*")

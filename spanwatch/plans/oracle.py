@@ -240,6 +240,8 @@ WHERE vehicle_type NOT IN ('Coupe', 'SUV', 'Sedan', 'Van', 'Truck', 'Motorcycle'
     "violation_fact_scan": _with(*LONG_VIO) + "SELECT * FROM vio",
     "vehicle_day_lookup": _with(*LONG_VIO)
     + f"SELECT * FROM vio WHERE car_plate = '{LOOKUP_PLATE}' AND violation_date = '{LOOKUP_DAY}'",
+    "plate_lookup": _with(*LONG_VIO) + f"SELECT * FROM vio WHERE car_plate = '{LOOKUP_PLATE}'",
+    "stored_series": _with(*LONG_VIO, TL, PM) + "SELECT * FROM pm",
     "violation_preview": _with(*LONG_VIO)
     + """SELECT * FROM vio ORDER BY violation_date, coalesce(ts_us, end_us), car_plate,
            violation_type, camera_id NULLS FIRST, ts_us NULLS FIRST, speed NULLS FIRST,

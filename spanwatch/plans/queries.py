@@ -18,7 +18,7 @@ from spanwatch.operators.segments import segment_pairs as pair_up
 from spanwatch.params import Params
 from spanwatch.schema import CAMERAS, SPEED
 from spanwatch.sources import dimensions, events as sources, facts, tables
-from spanwatch.streaming import job, ledger, replay, sink
+from spanwatch.streaming import job, ledger, replay, series, sink
 from spanwatch.workspace import fresh_folder, use_utc
 
 LONG = Params(tolerance_s=tables.LONG_TOLERANCE_S)
@@ -472,6 +472,27 @@ def vehicle_day_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(found)
 
 
+def plate_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The violations of one plate on all days."""
+    path, _ = _stored(spark, sf_dir)
+    return _flat(facts.plate_violations(spark, path, [LOOKUP_PLATE]))
+
+
+def stored_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations per minute as counted on arrival: in two deliveries, the second of which repeats
+    the first and is itself repeated."""
+    folder = fresh_folder(spark, "series")
+    staged, path, kept = (f"{folder}/{name}" for name in ("staged", "violations", "series"))
+    _violations(spark, sf_dir).write.parquet(staged)
+    whole = spark.read.parquet(staged)
+    half = whole.filter(F.pmod(F.xxhash64("car_plate"), F.lit(2)) == 0)
+    for epoch, batch in ((0, half), (1, whole), (1, whole)):
+        touched = sink.write_violations(batch, path, "replay", epoch)
+        series.append_counts(spark, path, kept, touched, "replay", epoch)
+    counts = series.minute_counts(spark, kept)
+    return counts.select(minute_text(F.col("minute")).alias("minute"), F.col("count").alias("n"))
+
+
 def violation_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = _stored(spark, sf_dir)
     return _flat(report.preview(facts.violation_facts(spark, path)))
@@ -701,6 +722,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sink_metrics,
         violation_fact_scan,
         vehicle_day_lookup,
+        plate_lookup,
+        stored_series,
         violation_preview,
         stream_decode,
         stream_replay,

@@ -158,3 +158,12 @@ STREAM_EPOCH = _struct(
     ("state_rows", _LONG),
     ("watermark", _TEXT),
 )
+
+# Violations that a delivery inserted into a minute, in a folder per day.
+MINUTE_COUNT = _struct(
+    ("minute", _TIME),
+    ("count", _LONG),
+    ("run_id", _TEXT),
+    ("epoch", _LONG),
+    ("day", _TEXT),
+)

@@ -8,6 +8,15 @@ from spanwatch.schema import DAILY_DOCUMENT, STORED_VIOLATION, VIOLATION
 DAY = "violation_date"
 
 
+# A plate is looked for in many files and is in few. Files are in order of plates, so their least
+# and greatest plate seldom exclude one; a bloom filter of each row group does. At 1 % of false
+# finds it takes 10 bits a plate, so a row group of 100 000 plates costs 120 KB.
+PLATE_FILTER = {
+    "parquet.bloom.filter.enabled#car_plate": "true",
+    "parquet.bloom.filter.expected.ndv#car_plate": "100000",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
 # Up to so many days are named as folders, whose files alone are then listed.
 NAMED_DAYS = 1_000
 SPANS = f"{DAY} STRING, _first BIGINT, _last BIGINT"
@@ -56,6 +65,11 @@ def stored_within(
     )
 
 
+def plate_violations(spark: SparkSession, path: str, plates: list[str]) -> DataFrame:
+    """All violations of some plates, of any day: what a file's filter excludes is not read."""
+    return violation_facts(spark, path).filter(F.col("car_plate").isin(plates))
+
+
 def violation_facts(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
     """Violations as detected, without the technical columns."""
     return stored_violations(spark, path, days).select(*VIOLATION.fieldNames())

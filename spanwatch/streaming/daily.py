@@ -16,6 +16,7 @@ from spanwatch.operators.documents import SLICE_S, daily_merge, with_slice
 from spanwatch.schema import DAILY_DOCUMENT, VIOLATION
 from spanwatch.sources.facts import (
     DAY,
+    PLATE_FILTER,
     create_table,
     daily_documents,
     daily_slices,
@@ -28,7 +29,7 @@ from spanwatch.streaming.sink import delivered
 FOLDERS = (DAY, "slice")
 
 
-def _span(day: str, hour: int) -> tuple[str, int, int]:
+def span_of(day: str, hour: int) -> tuple[str, int, int]:
     """Event times of an hour, in microseconds."""
     start = datetime.fromisoformat(day).replace(tzinfo=timezone.utc).timestamp()
     first = (int(start) + hour * SLICE_S) * 1_000_000
@@ -42,6 +43,7 @@ def _written(documents: DataFrame, daily_path: str, mode: str) -> None:
         .hint("rebalance", *FOLDERS)
         .sortWithinPartitions(*FOLDERS, "car_plate")
         .write.mode(mode)
+        .options(**PLATE_FILTER)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*FOLDERS)
         .parquet(daily_path)
@@ -61,7 +63,7 @@ def append_slices(
     create_table(spark, daily_path, DAILY_DOCUMENT, FOLDERS)
     if not slices:
         return
-    new = delivered(spark, facts_path, [_span(*touched) for touched in slices], run_id, epoch)
+    new = delivered(spark, facts_path, [span_of(*touched) for touched in slices], run_id, epoch)
     _written(daily_merge(new.select(*VIOLATION.fieldNames()), distinct=True), daily_path, "append")
 
 
@@ -94,7 +96,7 @@ class OpenHours:
         """The hours to fold now that a delivery has touched some."""
         for each in touched:
             self.open[each] = self.open.get(each, 0) + 1
-        starts = {each: _span(*each)[1] for each in self.open}
+        starts = {each: span_of(*each)[1] for each in self.open}
         past = max(starts.values(), default=0) - self.hours * SLICE_S * 1_000_000
         done = sorted(each for each, start in starts.items() if start <= past)
         return [each for each in done if self.open.pop(each) > 1]
@@ -107,7 +109,7 @@ def refresh_slices(
     create_table(spark, daily_path, DAILY_DOCUMENT, FOLDERS)
     if not slices:
         return
-    facts = stored_within(spark, facts_path, [_span(*touched) for touched in slices])
+    facts = stored_within(spark, facts_path, [span_of(*touched) for touched in slices])
     documents = daily_merge(facts.select(*VIOLATION.fieldNames()), distinct=True)
     _written(documents, daily_path, "overwrite")
 

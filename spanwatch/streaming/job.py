@@ -24,6 +24,7 @@ from spanwatch.params import Params
 from spanwatch.streaming.daily import OpenHours, append_slices, fold_slices
 from spanwatch.streaming.handover import settle_routing, with_waiting
 from spanwatch.streaming.ledger import counted
+from spanwatch.streaming.series import append_counts
 from spanwatch.streaming.sink import write_violations
 from spanwatch.workspace import check_utc
 
@@ -94,6 +95,7 @@ def start(
     params: Params = Params(),
     metrics_path: str | None = None,
     daily_path: str | None = None,
+    series_path: str | None = None,
     hot_plates: tuple[str, ...] = (),
     available_now: bool = False,
     *,
@@ -102,7 +104,8 @@ def start(
 ) -> StreamingQuery:
     """Starts the job. With a daily path, each batch appends its share of the documents before it
     counts as done: a batch that stops half-way comes again whole, so documents are complete
-    whenever the job stands still. Hours that are over are folded in between.
+    whenever the job stands still. Hours that are over are folded in between. With a series path,
+    it appends its counts per minute too.
 
     A checkpoint keeps its hot plates and its number of state partitions. To change either, stop
     the job and start it on a new checkpoint with `taking_over` the old one (see `handover`)."""
@@ -121,6 +124,8 @@ def start(
         if daily_path:
             append_slices(session, facts_path, daily_path, touched, run_id, epoch)
             fold_slices(session, daily_path, hours.over(touched))
+        if series_path:
+            append_counts(session, facts_path, series_path, touched, run_id, epoch)
 
     writer = (
         detected(events, cameras, params, hot_plates)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from spanwatch.functions.values import event_time
 from spanwatch.operators.documents import with_slice
 from spanwatch.schema import DELIVERY_METRICS, STORED_VIOLATION, VIOLATION_KEY
-from spanwatch.sources.facts import DAY, create_table, stored_violations, stored_within
+from spanwatch.sources.facts import DAY, PLATE_FILTER, create_table, stored_violations, stored_within
 
 # Up to so many rows a batch is broadcast to the stored table, whose rows then need no
 # shuffle.
@@ -87,6 +87,7 @@ def write_violations(
             .sortWithinPartitions(DAY, "car_plate", "event_us")
             .observe(seen, F.count(F.lit(1)).alias("inserted"))
             .write.mode("append")
+            .options(**PLATE_FILTER)
             .partitionBy(DAY)
             .parquet(path)
         )
@@ -139,6 +140,7 @@ def compact(spark: SparkSession, path: str, target: str, days: list[str] | None
         .hint("rebalance", DAY)
         .sortWithinPartitions(DAY, "car_plate", "event_us")
         .write.mode("errorifexists")
+        .options(**PLATE_FILTER)
         .partitionBy(DAY)
         .parquet(target)
     )
