@@ -10,6 +10,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,8 @@ from spanwatch.llm.common import whole_row
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-# A longer run of letters is cut into windows of this many bytes, each read by itself.
+# A longer run of letters is cut between characters into windows of at most this many bytes, each
+# read by itself.
 WINDOW_BYTES = 32
 DOCS_PER_LANGUAGE = 400
 RUNS_PER_DOC = 40
@@ -27,8 +29,24 @@ RUNS_PER_DOC = 40
 REMEMBERED_WORDS = 500_000
 
 
+def letter_runs(text: str) -> list[str]:
+    """The runs of letters in a text. The pattern also takes signs such as a raised two, which
+    are numbers; runs with one are cut at it."""
+    found = LETTERS.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return ["".join(run) for word in found for is_letter, run in groupby(word, str.isalpha) if is_letter]
+
+
 def windows(run: bytes) -> list[bytes]:
-    return [run[i : i + WINDOW_BYTES] for i in range(0, len(run), WINDOW_BYTES)]
+    found, at = [], 0
+    while at < len(run):
+        end = min(at + WINDOW_BYTES, len(run))
+        while end < len(run) and run[end] & 0xC0 == 0x80:
+            end -= 1
+        found.append(run[at:end])
+        at = end
+    return found
 
 
 def _padded(items: list[bytes]) -> np.ndarray:
@@ -192,7 +210,7 @@ class Reader:
         sums = np.zeros((len(new), self.sums.shape[1]))
         pieces: dict[int, tuple[list[int], list[bytes]]] = {}
         for at, word in enumerate(new):
-            for run in LETTERS.findall(word):
+            for run in letter_runs(word):
                 for piece in windows(run.encode()):
                     where, what = pieces.setdefault(len(piece), ([], []))
                     where.append(at)
@@ -289,7 +307,7 @@ def fit(
         for batch in batches:
             out = []
             for body, name in zip(batch["text"], batch["lang"], strict=True):
-                runs = LETTERS.findall(body)
+                runs = letter_runs(body)
                 step = max(1, len(runs) // runs_per_doc)
                 out += [(run, name) for run in runs[step // 2 :: step][:runs_per_doc]]
             yield pd.DataFrame(out, columns=["run", "lang"])

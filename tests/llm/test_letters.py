@@ -1,0 +1,31 @@
+"""What counts as a letter, and where long runs of them are cut."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from spanwatch.llm import language
+
+
+def test_runs_hold_letters_only():
+    text = "x² ½ ① ⅷ ªº 中文 été_a1b ²\U0001d7d9 ʰ ٣ ́e"
+    assert language.letter_runs(text) == ["x", "ªº", "中文", "été", "a", "b", "ʰ", "e"]
+    for code in range(0x20, 0x3000):
+        assert bool(language.letter_runs(chr(code))) is chr(code).isalpha()
+
+
+def test_long_runs_are_cut_between_characters():
+    run = ("aé中\U00020000" * 30).encode()
+    parts = language.windows(run)
+    assert b"".join(parts) == run and len(parts) > 5
+    assert all(0 < len(p) <= language.WINDOW_BYTES and p.decode() for p in parts)
+    assert language.windows(b"a" * 64) == [b"a" * 32] * 2 and language.windows(b"") == []
+
+
+def test_texts_of_numbers_have_no_language(spark):
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcd"), 5)) for _ in range(40)]
+    net = language.train(words, ["en", "fr"] * 20)
+    docs = spark.createDataFrame([(1, "²"), (2, "½ 12 ①"), (3, "abcd ²"), (4, None)], "doc_id long, text string")
+    rows = language.predict(docs, net).orderBy("doc_id").collect()
+    assert [r["lang_pred"] == "und" for r in rows] == [True, True, False, True]
+    assert docs.filter(F.col("text").rlike(r"\p{L}")).count() == 1
