@@ -1,107 +1,213 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and word beginnings that go with one of the labels. The examples' vectors sit
-in an inverted index cut into blocks of examples; each block knows the largest weight of every
-term in it. A query bounds each block by those weights, visits blocks from the highest bound
-down and stops when no block left can reach its k-th best: the result is exact. Neighbours vote
-by similarity, and the votes are mapped to probabilities fitted on the examples themselves.
-Where a class has more labelled rows than examples, each example counts for its share of them.
+Every word of a text has a weight: (1 + log of its count) times its rarity over all documents.
+Words that go with a label, by a likelihood ratio that chance would give none of them, weigh
+STRENGTH times as much; word beginnings of that kind are terms beside the words.
+
+The examples are postings of an inverted index, ordered by term and example and cut into blocks
+of examples; each piece of a posting list knows its largest weight. A query bounds every block
+by those weights, reads the postings of the blocks of the highest bounds first and stops when no
+block left can reach its k-th best: the result is exact. Neighbours vote by squared cosine, and
+the votes are mapped to probabilities fitted on the examples themselves. Where a class has more
+labelled rows than examples, each example counts for its share of them.
 """
 
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
 from spanwatch.llm.common import stored, whole_row
 
-# At most so many labelled rows of each class are examples, and so many terms are used.
+# At most so many labelled rows of each class are examples, with at most so many terms of theirs
+# together (each counted once a row): this bounds what the driver and a broadcast hold.
 EXAMPLES_PER_CLASS = 4_000
-MOST_TERMS = 4_096
-NEIGHBOURS = 15
+MOST_POSTINGS = 6_000_000
+# These two have the least leave-one-out loss on examples.
+NEIGHBOURS = 25
+STRENGTH = 2.0
 BLOCK = 64
+FIRST_BLOCKS = 8
 STEMS = (4, 6)
-# A term is chosen if chance gives none of all terms seen a likelihood ratio as high as its
-# own, at this level, and if it is in at least so many examples.
+# A term goes with a label if chance gives none of all terms seen a likelihood ratio as high as
+# its own, at this level, and if it is in at least so many examples.
 LEVEL = 0.05
 LEAST_EXAMPLES = 3
 REMEMBERED_WORDS = 500_000
+REMEMBERED_TEXTS = 20_000
 PUNCTUATION = ".,;:!?()[]{}<>\"'*%&$#|-_/\\=+~`"
 
 
 def terms_of(word: str) -> tuple[str, ...]:
     """The word without punctuation around it, and its beginnings marked by `^`."""
     word = word.strip(PUNCTUATION)
-    return (word, *("^" + word[:n] for n in STEMS if len(word) > n)) if word else ()
+    # A mark of its own cannot be mistaken for a beginning.
+    return (" " + word, *("^" + word[:n] for n in STEMS if len(word) > n)) if word else ()
+
+
+def all_terms(text: str | None) -> Counter:
+    """How often each word and each beginning is in a text."""
+    found: Counter = Counter()
+    for word, n in Counter((text or "").lower().split()).items():
+        for term in terms_of(word):
+            found[term] += n
+    return found
 
 
 class Terms(dict):
-    """Words and the numbers of their chosen terms."""
+    """Words and the numbers of their terms; a word that no example has stands for itself."""
 
     def __init__(self, vocabulary: dict[str, int]):
         super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> tuple[int | str, ...]:
         if len(self) > REMEMBERED_WORDS:
             self.clear()
         known = self.vocabulary
-        self[word] = found = tuple(known[t] for t in terms_of(word) if t in known)
+        terms = terms_of(word)
+        found = tuple(known[t] for t in terms if t in known)
+        if terms and terms[0] not in known:
+            found = (terms[0], *found)
+        self[word] = found
         return found
 
-    def counts(self, text: str | None) -> dict[int, int]:
-        """Counts of the chosen terms. If there are any, the last number counts all words with
-        none, as one term of its own, so that a vector tells how dense the others are."""
-        words = (text or "").lower().split()
-        hits = [found for found in map(self.__getitem__, words) if found]
-        counts = Counter(t for found in hits for t in found)
-        if counts and len(words) > len(hits):
-            counts[len(self.vocabulary)] = len(words) - len(hits)
+    def counts(self, text: str | None) -> dict[int | str, int]:
+        """Counts of the terms in the index by number, and of all other words by name."""
+        counts: dict[int | str, int] = {}
+        for word, n in Counter((text or "").lower().split()).items():
+            for term in self[word]:
+                counts[term] = counts.get(term, 0) + n
         return counts
 
 
+@dataclass
+class Examples:
+    """Labelled texts as their terms: one entry per text and term."""
+
+    keys: list
+    labels: np.ndarray
+    terms: list[str]
+    row: np.ndarray
+    term: np.ndarray
+    count: np.ndarray
+
+    @staticmethod
+    def of(table: pa.Table) -> "Examples":
+        """From columns `_key`, `_label`, `terms`, `counts`."""
+        terms = table["terms"].combine_chunks()
+        coded = terms.flatten().dictionary_encode()
+        return Examples(
+            table["_key"].to_pylist(),
+            table["_label"].to_numpy().astype(float),
+            coded.dictionary.to_pylist(),
+            np.repeat(np.arange(len(table)), terms.value_lengths().to_numpy()),
+            coded.indices.to_numpy().astype(np.int64),
+            table["counts"].combine_chunks().flatten().to_numpy().astype(float),
+        )
+
+    def strong(self) -> np.ndarray:
+        """Which terms go with one of the labels."""
+        n, ones, size = len(self.labels), self.labels.sum(), len(self.terms)
+        if not 0 < ones < n:
+            return np.zeros(size, bool)
+        df = np.bincount(self.term, minlength=size).astype(float)
+        toxic = np.bincount(self.term, self.labels[self.row], minlength=size)
+        ratio = np.zeros(size)
+        for seen, expected in (
+            (toxic, df * ones),
+            (df - toxic, df * (n - ones)),
+            (ones - toxic, (n - df) * ones),
+            (n - df - ones + toxic, (n - df) * (n - ones)),
+        ):
+            some = seen > 0
+            ratio[some] += 2 * seen[some] * np.log(seen[some] * n / expected[some])
+        return (df >= LEAST_EXAMPLES) & (ratio >= 2 * np.log(max(size, 1) / LEVEL))
+
+    def only(self, kept: np.ndarray) -> "Examples":
+        """With the terms of a mask, numbered anew in their order."""
+        number = np.cumsum(kept) - 1
+        stays = kept[self.term]
+        return Examples(
+            self.keys,
+            self.labels,
+            [t for t, k in zip(self.terms, kept, strict=True) if k],
+            self.row[stays],
+            number[self.term[stays]],
+            self.count[stays],
+        )
+
+
+def _stretches(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions from each start to its end, and which stretch each is of."""
+    lengths = ends - starts
+    of = np.repeat(np.arange(len(starts)), lengths)
+    return np.arange(len(of)) + (starts - (np.cumsum(lengths) - lengths))[of], of
+
+
 @dataclass
 class Index:
-    """Unit vectors of examples by block, with the largest weight of each term per block."""
+    """Postings of the examples' unit vectors, in pieces of one term and one block."""
 
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    weights: np.ndarray
+    # Weight of a word that no example has: as if it were in one document only.
+    rare: float
     keys: list
     labels: np.ndarray
-    vectors: np.ndarray = field(repr=False)  # (examples, terms)
-    most: np.ndarray = field(repr=False)  # (terms, blocks)
+    # Pieces of term t: from term_at[t] to term_at[t + 1]; postings of piece p likewise.
+    term_at: np.ndarray = field(repr=False)
+    piece_at: np.ndarray = field(repr=False)
+    piece_block: np.ndarray = field(repr=False)
+    piece_most: np.ndarray = field(repr=False)
+    example: np.ndarray = field(repr=False)
+    value: np.ndarray = field(repr=False)
     # Labelled rows that each example stands for, in units of their mean.
     stands_for: np.ndarray = field(default_factory=lambda: np.zeros(0), repr=False)
     empty_rate: float = 0.0
     cuts: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rates: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def weigh(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights (1 + log tf) * idf of a unit vector."""
-        at = np.fromiter(counts, np.int64, len(counts))
-        tf = np.fromiter(counts.values(), float, len(counts))
-        weight = (1 + np.log(tf)) * self.idf[at]
-        return at, weight / max(np.sqrt((weight * weight).sum()), 1e-12)
+    def weigh(self, counts: dict[int | str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a text's unit vector; words of no example lengthen it only."""
+        at = np.array([t for t in counts if type(t) is int], np.int64)
+        tf = np.array([n for t, n in counts.items() if type(t) is int], float)
+        other = np.array([n for t, n in counts.items() if type(t) is str], float)
+        weight = (1 + np.log(tf)) * self.weights[at]
+        length = (weight * weight).sum() + (((1 + np.log(other)) * self.rare) ** 2).sum()
+        return at, weight / max(np.sqrt(length), 1e-12)
 
     def nearest(
         self, at: np.ndarray, weight: np.ndarray, k: int, leave_out: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the highest cosine above 0, ties by position; exact."""
-        bounds = weight @ self.most[at]
+        pieces, of = _stretches(self.term_at[at], self.term_at[at + 1])
+        block, weight = self.piece_block[pieces], weight[of]
+        bounds = np.bincount(block, weight * self.piece_most[pieces])
+        order = np.argsort(-bounds, kind="stable")
         found, sims = np.zeros(0, np.int64), np.zeros(0)
-        floor = 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or bounds[block] < floor - 1e-9:
+        floor, done, step = 0.0, 0, FIRST_BLOCKS
+        while done < len(order):
+            wave = order[done : done + step]
+            wave = wave[(bounds[wave] > 0) & (bounds[wave] >= floor - 1e-9)]
+            if not len(wave):
                 break
-            begin = block * BLOCK
-            sim = self.vectors[begin : begin + BLOCK][:, at] @ weight
-            if begin <= leave_out < begin + len(sim):
-                sim[leave_out - begin] = 0
+            done, step = done + step, step * 2
+            chosen = np.zeros(len(bounds), bool)
+            chosen[wave] = True
+            mine = chosen[block]
+            read = pieces[mine]
+            posts, piece = _stretches(self.piece_at[read], self.piece_at[read + 1])
+            sim = np.bincount(self.example[posts], self.value[posts] * weight[mine][piece])
+            if leave_out < len(sim) and leave_out >= 0:
+                sim[leave_out] = 0
             hit = np.flatnonzero(sim > max(floor - 1e-9, 0))
-            found, sims = np.concatenate([found, hit + begin]), np.concatenate([sims, sim[hit]])
+            found, sims = np.concatenate([found, hit]), np.concatenate([sims, sim[hit]])
             if len(found) > k:
                 best = np.lexsort((found, -np.round(sims, 9)))[:k]
                 found, sims = found[best], sims[best]
@@ -112,17 +218,11 @@ class Index:
 
     def vote(self, found: np.ndarray, sims: np.ndarray) -> float:
         """Share of label 1 among the neighbours, each weighted by its squared cosine and by
-        the labelled rows it stands for.
-
-        The rate of examples without terms joins with the weight that the best match leaves.
-        """
+        the labelled rows it stands for."""
         if not len(found):
             return self.empty_rate
         weight = sims * sims * self.stands_for[found]
-        doubt = 1e-3 + max(0.0, 1 - float(sims[0])) ** 2
-        return float(
-            (weight @ self.labels[found] + doubt * self.empty_rate) / (weight.sum() + doubt)
-        )
+        return float(weight @ self.labels[found] / weight.sum())
 
     def calibrated(self, vote: float) -> float:
         if not len(self.cuts):
@@ -149,35 +249,15 @@ def _isotonic(
     )
 
 
-def _vocabulary(examples: list[tuple[object, str | None, int]]) -> dict[str, int]:
-    """The terms that go with a label, the strongest first; ties in the order of the terms."""
-    seen, toxic = Counter(), Counter()
-    for _, text, label in examples:
-        mine = {t for w in set((text or "").lower().split()) for t in terms_of(w)}
-        seen.update(mine)
-        if label:
-            toxic.update(mine)
-    n, ones = len(examples), sum(e[2] for e in examples)
-    if not 0 < ones < n:
-        return {}
-    least = 2 * np.log(len(seen) / LEVEL)
-    strong = []
-    for term, df in seen.items():
-        if df >= LEAST_EXAMPLES:
-            a = toxic[term]
-            cells = (a, df - a, ones - a, n - df - ones + a)
-            expected = (df * ones, df * (n - ones), (n - df) * ones, (n - df) * (n - ones))
-            ratio = 2 * sum(o * np.log(o * n / e) for o, e in zip(cells, expected) if o)
-            if ratio >= least:
-                strong.append((-ratio, term))
-    return {term: i for i, (_, term) in enumerate(sorted(strong)[:MOST_TERMS])}
-
-
 def sample(
     docs: DataFrame, labels: DataFrame, text: str, label: str, key: str, per_class: int
-) -> tuple[list[tuple[object, str | None, int]], dict[int, int]]:
-    """At most `per_class` labelled documents of either class, chosen by hash, and how many
-    labelled documents of each class there are."""
+) -> tuple[Examples, dict[int, int]]:
+    """At most `per_class` labelled documents of either class, chosen by hash, as their terms,
+    and how many labelled documents of each class there are.
+
+    Tasks read the whole texts; the driver gets terms and counts. Examples are taken in the order
+    of the hash while they have MOST_POSTINGS terms together; one text with more is none.
+    """
     known = stored(
         labels.filter(F.col(label).isin(0, 1))
         .groupBy(F.col(key).alias("_key"))
@@ -191,15 +271,34 @@ def sample(
         known.filter(F.col("_label") == kind).orderBy(mixed, "_key").limit(per_class)
         for kind in (0, 1)
     ]
-    rows = (
+
+    @F.pandas_udf("terms array<string>, counts array<int>")
+    def split(texts: pd.Series) -> pd.DataFrame:
+        found = [all_terms(body) for body in texts]
+        return pd.DataFrame({"terms": [[*f] for f in found], "counts": [[*f.values()] for f in found]})
+
+    texts = (
         docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
         .join(F.broadcast(parts[0].unionAll(parts[1])), "_key")
         .groupBy("_key", "_label")
         .agg(F.min("_text").alias("_text"))
-        .collect()
     )
-    examples = ((r["_key"], r["_text"], int(r["_label"])) for r in rows)
-    return sorted(examples, key=lambda r: r[0]), counted
+    examples = stored(
+        texts.select("_key", "_label", split("_text").alias("_f")).select("_key", "_label", "_f.*"),
+        "toxicity-examples",
+    )
+    # At most 2 x per_class narrow rows.
+    size = F.size("terms")
+    so_far = F.sum("size").over(Window.orderBy(mixed, "_key"))
+    kept = (
+        examples.select("_key", size.alias("size"))
+        .filter(F.col("size") <= MOST_POSTINGS)
+        .select("_key", so_far.alias("total"))
+        .filter(F.col("total") <= MOST_POSTINGS)
+    )
+    taken = examples.join(F.broadcast(kept.select("_key")), "_key", "left_semi")
+    table = taken.select("_key", F.col("_label").cast("double").alias("_label"), "terms", "counts")
+    return Examples.of(table.toArrow().sort_by("_key")), counted
 
 
 def fit(
@@ -214,21 +313,25 @@ def fit(
 ) -> Index | None:
     """Builds the index from labelled `docs`; term rarity is counted over all of `corpus`.
 
-    The examples are bounded by `per_class`; which terms are used is learned from them. None if
-    nothing is labelled.
+    The examples are bounded by `per_class` and MOST_POSTINGS; all their words are in the index.
+    Of rows that repeat a key the least text counts, of its labels the largest. Null texts have
+    no terms. None if nothing is labelled or there are no rows.
     """
     examples, counted = sample(docs, labels, text, label, key, per_class)
-    if not examples:
+    if not examples.keys:
         return None
-    vocabulary = _vocabulary(examples)
+    strong = examples.strong()
+    kept = strong | np.array([t[0] != "^" for t in examples.terms], bool)
+    examples, strong = examples.only(kept), strong[kept]
+    vocabulary = {t: i for i, t in enumerate(examples.terms)}
     known = corpus.sparkSession.sparkContext.broadcast(vocabulary)
 
     def containing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms, rows = Terms(known.value), 0
-        total = np.zeros(len(known.value) + 1, np.int64)
+        total = np.zeros(len(known.value), np.int64)
         for batch in batches:
             for body in batch[text]:
-                total[list(terms.counts(body))] += 1
+                total[[t for t in terms.counts(body) if type(t) is int]] += 1
             rows += len(batch)
         hit = np.flatnonzero(total)
         yield pd.DataFrame({"term": [*hit, -1], "docs": [*total[hit], rows]})
@@ -238,67 +341,84 @@ def fit(
         .mapInPandas(containing, "term long, docs long")
         .groupBy("term")
         .agg(F.sum("docs").alias("docs"))
-        .collect()
-    )
-    df = {r["term"]: r["docs"] for r in containing_docs}
-    idf = np.array(
-        [np.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(vocabulary))]
-        # Nearly every document has words of no chosen term.
-        + [1.0]
+        .toArrow()
     )
-    return build(vocabulary, idf, examples, neighbours, counted)
+    term, n = (containing_docs[c].to_numpy() for c in ("term", "docs"))
+    df = np.zeros(len(vocabulary))
+    df[term[term >= 0]] = n[term >= 0]
+    return build(examples, df, int(n[term < 0].sum()), strong, neighbours, counted)
 
 
 def build(
-    vocabulary: dict[str, int],
-    idf: np.ndarray,
-    examples: list[tuple[object, str | None, int]],
+    examples: Examples,
+    df: np.ndarray,
+    n_docs: int,
+    strong: np.ndarray,
     neighbours: int = NEIGHBOURS,
     counted: dict[int, int] | None = None,
 ) -> Index:
-    """Lays examples out in blocks, those of one strongest term together, and calibrates.
+    """Lays examples out in blocks, like beside like, and calibrates.
 
-    `counted` has the labelled rows of each class that the examples were taken from; without
-    it, the examples are all there are.
+    `df` are the documents, of `n_docs`, that have each term. `counted` has the labelled rows of
+    each class that the examples were taken from; without it, the examples are all there are.
     """
-    terms, index = Terms(vocabulary), Index(vocabulary, idf, [], np.zeros(0), None, None)
-    rows, empty = [], []
-    sampled = Counter(e[2] for e in examples)
+    sampled = Counter(int(y) for y in examples.labels)
     share = {y: (counted or sampled).get(y, n) / n for y, n in sampled.items()}
-    for key, text, label in examples:
-        counts = terms.counts(text)
-        if counts:
-            at, weight = index.weigh(counts)
-            rows.append((int(at[weight.argmax()]), key, label, at, weight))
-        else:
-            empty.append(label)
-    rows.sort(key=lambda r: (r[0], str(r[1])))
-    index.keys = [r[1] for r in rows]
-    index.labels = np.array([r[2] for r in rows], float)
-    standing = np.array([share[r[2]] for r in rows], float)
-    index.stands_for = standing / standing.mean() if len(rows) else standing
-    ones = sum(share[y] for y in empty if y)
-    index.empty_rate = (ones + 0.5 * float(index.labels.sum() > 0)) / (
-        sum(share[y] for y in empty) + 20
+    standing = np.array([share[int(y)] for y in examples.labels])
+    weights = (np.log((1 + n_docs) / (1 + df)) + 1) * np.where(strong, STRENGTH, 1.0)
+    raw = (1 + np.log(examples.count)) * weights[examples.term]
+    n = len(examples.keys)
+    length = np.sqrt(np.bincount(examples.row, raw * raw, minlength=n))
+    value = raw / length[examples.row]
+
+    # Blocks hold examples with the same strong term, then with the same common one.
+    first_strong, commonest = np.full(n, -1), np.full(n, -1)
+    up = np.argsort(df[examples.term], kind="stable")
+    commonest[examples.row[up]] = examples.term[up]
+    marked = up[strong[examples.term[up]]]
+    first_strong[examples.row[marked]] = examples.term[marked]
+    full = np.flatnonzero(length > 0)
+    place = full[np.lexsort((full, commonest[full], first_strong[full]))]
+    position = np.full(n, -1)
+    position[place] = np.arange(len(place))
+
+    at = position[examples.row]
+    order = np.lexsort((at, examples.term))
+    term, at, value = examples.term[order], at[order], value[order]
+    block = at // BLOCK
+    new = np.ones(len(term), bool)
+    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    begins = np.flatnonzero(new)
+    index = Index(
+        {t: i for i, t in enumerate(examples.terms)},
+        weights,
+        float(np.log((1 + n_docs) / 2) + 1),
+        [examples.keys[i] for i in place],
+        examples.labels[place],
+        np.searchsorted(term[begins], np.arange(len(weights) + 1)),
+        np.append(begins, len(term)),
+        block[begins].astype(np.int32),
+        np.maximum.reduceat(value, begins) if len(begins) else np.zeros(0),
+        at.astype(np.int32),
+        value,
     )
-    index.vectors = np.zeros((len(rows), len(idf)))
-    for i, (_, _, _, at, weight) in enumerate(rows):
-        index.vectors[i, at] = weight
-    starts = np.arange(0, len(rows), BLOCK)
-    index.most = (
-        np.maximum.reduceat(index.vectors, starts, axis=0).T
-        if len(rows)
-        else np.zeros((len(idf), 0))
-    )
-    votes = np.array(
-        [index.vote(*index.nearest(r[3], r[4], neighbours, i)) for i, r in enumerate(rows)]
+    index.stands_for = standing[place] / standing[place].mean() if len(place) else standing[place]
+    empty = np.flatnonzero(length == 0)
+    ones = (standing[empty] * examples.labels[empty]).sum()
+    index.empty_rate = float(
+        (ones + 0.5 * (index.labels.sum() > 0)) / (standing[empty].sum() + 20)
     )
+    own = np.argsort(at, kind="stable")
+    ends = np.searchsorted(at[own], np.arange(len(place) + 1))
+    votes = np.zeros(len(place))
+    for i in range(len(place)):
+        mine = own[ends[i] : ends[i + 1]]
+        votes[i] = index.vote(*index.nearest(term[mine], value[mine], neighbours, i))
     if len(votes) > 1 and 0 < index.labels.sum() < len(votes):
         index.cuts, index.rates = _isotonic(votes, index.labels, index.stands_for)
     return index
 
 
-
 def score(
     docs: DataFrame,
     index: Index | None,
@@ -309,43 +429,42 @@ def score(
 ) -> DataFrame:
     """`docs` with `score`, `predicted` (1 from `threshold` on) and `evidence`, replaced if there.
 
-    Evidence is up to `evidence` nearest examples as (key as text, cosine, label). A null, empty
-    or term-free text has none and gets the rate of term-free examples. Whole texts are read.
-    With no index every score is 0. An empty table stays empty.
+    Evidence is up to `evidence` nearest examples as (key as text, cosine, label); of equally near
+    ones the first of the index. A text that shares no term with any example, a null and an empty
+    one have none and get the rate of term-free examples. Whole texts are read, however long;
+    repeated rows are scored alike. With no index every score is 0. An empty table stays empty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model, terms = shared.value, None
-        if model is not None:
-            terms = Terms(model.vocabulary)
-            # Texts with the same terms share one search.
-            known: dict[tuple, tuple[float, list]] = {}
+        model = shared.value
+        terms = Terms(model.vocabulary if model else {})
+        # Copies share one search; a digest stands for the text.
+        known: dict[bytes, tuple[float, list]] = {}
+
+        def judged(body: str | None) -> tuple[float, list]:
+            if model is None:
+                return 0.0, []
+            found, sims = model.nearest(*model.weigh(terms.counts(body)), neighbours)
+            proof = [
+                {"key": str(model.keys[i]), "cosine": float(s), "label": int(model.labels[i])}
+                for i, s in zip(found[:evidence], sims[:evidence], strict=True)
+            ]
+            rate = model.calibrated(model.vote(found, sims)) if len(found) else model.empty_rate
+            return min(1.0, max(0.0, rate)), proof
+
         for texts in batches:
-            scores, proofs = [], []
+            results = []
             for body in texts:
-                if model is None:
-                    scores.append(0.0)
-                    proofs.append([])
-                    continue
-                counts = terms.counts(body)
-                if not counts:
-                    scores.append(model.empty_rate)
-                    proofs.append([])
-                    continue
-                mark = tuple(sorted(counts.items()))
+                mark = blake2b((body or "").encode("utf-8", "replace"), digest_size=16).digest()
                 if mark not in known:
-                    if len(known) > 50_000:
+                    if len(known) > REMEMBERED_TEXTS:
                         known.clear()
-                    found, sims = model.nearest(*model.weigh(counts), neighbours)
-                    proof = [
-                        {"key": str(model.keys[i]), "cosine": float(s), "label": int(model.labels[i])}
-                        for i, s in zip(found[:evidence], sims[:evidence], strict=True)
-                    ]
-                    known[mark] = model.calibrated(model.vote(found, sims)), proof
-                scores.append(min(1.0, max(0.0, known[mark][0])))
-                proofs.append(known[mark][1])
-            yield pd.DataFrame({"score": scores, "evidence": proofs})
+                    known[mark] = judged(body)
+                results.append(known[mark])
+            yield pd.DataFrame(
+                {"score": [r[0] for r in results], "evidence": [r[1] for r in results]}
+            )
 
     shape = "score double, evidence array<struct<key: string, cosine: double, label: int>>"
     scored = F.pandas_udf(apply, shape)

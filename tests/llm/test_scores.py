@@ -3,6 +3,7 @@
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from awkward_rows import awkward, empty, plain
 from pyspark.sql import functions as F
@@ -66,24 +67,75 @@ def test_the_machine_adds_all_pairs():
         assert got[k] == pytest.approx(0.3 + machine.linear[i] @ x + pairs)
 
 
-def test_block_bounds_lose_no_neighbour():
+def tf_idf(texts, examples, strong):
+    """Cosines of texts with examples, word by word; `texts` are the corpus."""
+    def words(text):
+        parts = [w.strip(toxicity.PUNCTUATION) for w in text.lower().split()]
+        return {w: parts.count(w) for w in parts if w}
+
+    docs = [words(t) for t in texts]
+    seen = {w for t in examples for w in words(t)}
+
+    def unit(counts):
+        def weight(w, n):
+            df = sum(w in d for d in docs) if w in seen else 1
+            return (1 + np.log(n)) * (np.log((1 + len(docs)) / (1 + df)) + 1) * (1 + (w in strong))
+
+        made = {w: weight(w, n) for w, n in counts.items()}
+        length = np.sqrt(sum(x * x for x in made.values()))
+        return {w: x / length for w, x in made.items()}
+
+    others = [unit(words(t)) for t in examples]
+    return np.array([[sum(x * o.get(w, 0) for w, x in unit(d).items()) for o in others] for d in docs])
+
+
+def gathered(examples):
+    found = [toxicity.all_terms(text) for _, text, _ in examples]
+    table = pa.table(
+        {
+            "_key": [e[0] for e in examples],
+            "_label": [float(e[2]) for e in examples],
+            "terms": [[*f] for f in found],
+            "counts": [[*f.values()] for f in found],
+        }
+    )
+    return toxicity.Examples.of(table)
+
+
+def test_neighbours_are_those_of_tf_idf_over_whole_texts():
     rng = np.random.default_rng(4)
-    words = [f"w{i}" for i in range(30)]
-    examples = [
-        (i, " ".join(rng.choice(words, rng.integers(1, 9))), int(rng.random() < 0.4))
-        for i in range(400)
-    ]
-    vocabulary = {w: i for i, w in enumerate(words)}
-    index = toxicity.build(vocabulary, rng.uniform(1, 4, 31), examples)
-    terms = toxicity.Terms(vocabulary)
-    for _ in range(100):
-        at, weight = index.weigh(terms.counts(" ".join(rng.choice(words, 5))))
-        found, sims = index.nearest(at, weight, 15)
-        every = np.round(index.vectors[:, at] @ weight, 9)
-        want = np.lexsort((np.arange(len(every)), -every))[:15]
-        want = want[every[want] > 0]
+    words = [f"w{i}" + ("", ".", "!")[i % 3] for i in range(60)] + ["...", "Bad", "bad,"]
+    draw = lambda pool, n: " ".join(rng.choice(pool, rng.integers(1, n)))
+    examples = [(i, draw(words, 12), int(rng.random() < 0.4)) for i in range(300)]
+    texts = [e[1] for e in examples] + [draw([*words, "x1", "x2"], 30) for _ in range(40)]
+    kept = gathered(examples)
+    kept = kept.only(np.array([t[0] != "^" for t in kept.terms]))
+    strong = np.array([t == " bad" for t in kept.terms])
+    docs = [toxicity.all_terms(t) for t in texts]
+    df = np.array([sum(t in d for d in docs) for t in kept.terms], float)
+    index = toxicity.build(kept, df, len(texts), strong)
+    every = tf_idf(texts, [e[1] for e in examples], {"bad"})
+    terms = toxicity.Terms(index.vocabulary)
+    for row, text in enumerate(texts):
+        found, sims = index.nearest(*index.weigh(terms.counts(text)), 15)
+        cosines = every[row][index.keys]
+        want = np.lexsort((np.arange(len(cosines)), -np.round(cosines, 9)))[:15]
+        want = want[np.round(cosines[want], 9) > 0]
         assert found.tolist() == want.tolist()
-        assert sims == pytest.approx(every[want])
+        assert sims == pytest.approx(cosines[want])
+
+
+def test_a_near_copy_of_an_example_without_telling_words_finds_it_first(spark):
+    rng = np.random.default_rng(7)
+    texts = [" ".join(rng.choice([f"v{i}" for i in range(3000)], 80)) for _ in range(60)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " more") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)], "doc_id long, toxic int")
+    index = toxicity.fit(frame.filter("doc_id < 100"), frame, labels)
+    near = toxicity.score(frame.filter("doc_id >= 100"), index).collect()
+    assert len(near) == 60
+    for r in near:
+        assert r["evidence"][0]["key"] == str(r["doc_id"] - 100) and r["evidence"][0]["cosine"] > 0.95
 
 
 def test_toxicity_scores_do_not_depend_on_how_many_labels_are_sampled(spark):
