@@ -5,9 +5,10 @@ Words that go with a label, by a likelihood ratio that chance would give none of
 STRENGTH times as much; word beginnings of that kind are terms beside the words.
 
 The examples are postings of an inverted index, ordered by term and example and cut into blocks
-of examples; each piece of a posting list knows its largest weight. A query bounds every block
-by those weights, reads the postings of the blocks of the highest bounds first and stops when no
-block left can reach its k-th best: the result is exact. Neighbours vote by squared cosine, and
+of examples; each piece of a posting list knows its largest weight. Lists with an eighth of the
+examples or more lie flat, one place for each. A query adds its flat lists up, bounds what the
+others add to a block by their largest weights, reads the postings of the blocks of the highest
+bounds first and stops when no block left can reach its k-th best: the result is exact. Neighbours vote by squared cosine, and
 the votes are mapped to probabilities fitted on the examples themselves. Where a class has more
 labelled rows than examples, each example counts for its share of them.
 """
@@ -20,7 +21,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spanwatch.llm.common import stored, whole_row
 
@@ -33,6 +34,8 @@ NEIGHBOURS = 25
 STRENGTH = 2.0
 BLOCK = 64
 FIRST_BLOCKS = 8
+FLAT_SHARE = 1 / 8
+TOGETHER = 64
 STEMS = (4, 6)
 # A term goes with a label if chance gives none of all terms seen a likelihood ratio as high as
 # its own, at this level, and if it is in at least so many examples.
@@ -60,30 +63,44 @@ def all_terms(text: str | None) -> Counter:
 
 
 class Terms(dict):
-    """Words and the numbers of their terms; a word that no example has stands for itself."""
+    """Words as they stand in a text, and the numbers of their terms: from 0 on those of the
+    index, -1 for signs alone, below it a number for each word that no example has."""
 
     def __init__(self, vocabulary: dict[str, int]):
         super().__init__()
         self.vocabulary = vocabulary
+        self.others: dict[str, int] = {}
+        self.begins: dict[str, list[int]] = {}
 
-    def __missing__(self, word: str) -> tuple[int | str, ...]:
+    def __missing__(self, word: str) -> int:
+        terms = terms_of(word)
+        begins = [self.vocabulary[t] for t in terms[1:] if t in self.vocabulary]
+        if begins:
+            self.begins[word] = begins
+        number = -1
+        if terms:
+            number = self.vocabulary.get(terms[0])
+            if number is None:
+                number = self.others.setdefault(terms[0], -2 - len(self.others))
+        self[word] = number
+        return number
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the terms of a text, ascending, and how often each occurs."""
         if len(self) > REMEMBERED_WORDS:
             self.clear()
-        known = self.vocabulary
-        terms = terms_of(word)
-        found = tuple(known[t] for t in terms if t in known)
-        if terms and terms[0] not in known:
-            found = (terms[0], *found)
-        self[word] = found
-        return found
-
-    def counts(self, text: str | None) -> dict[int | str, int]:
-        """Counts of the terms in the index by number, and of all other words by name."""
-        counts: dict[int | str, int] = {}
-        for word, n in Counter((text or "").lower().split()).items():
-            for term in self[word]:
-                counts[term] = counts.get(term, 0) + n
-        return counts
+            self.others.clear()
+            self.begins.clear()
+        words = Counter((text or "").lower().split())
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        n = np.fromiter(words.values(), float, len(words))
+        begun = [(t, words[w]) for w in words.keys() & self.begins.keys() for t in self.begins[w]]
+        if begun:
+            at = np.concatenate([at, [t for t, _ in begun]])
+            n = np.concatenate([n, [c for _, c in begun]])
+        at, of = np.unique(at, return_inverse=True)
+        real = at != -1
+        return at[real], np.bincount(of, n, len(at))[real]
 
 
 @dataclass
@@ -106,48 +123,17 @@ class Examples:
             table["_key"].to_pylist(),
             table["_label"].to_numpy().astype(float),
             coded.dictionary.to_pylist(),
-            np.repeat(np.arange(len(table)), terms.value_lengths().to_numpy()),
-            coded.indices.to_numpy().astype(np.int64),
-            table["counts"].combine_chunks().flatten().to_numpy().astype(float),
-        )
-
-    def strong(self) -> np.ndarray:
-        """Which terms go with one of the labels."""
-        n, ones, size = len(self.labels), self.labels.sum(), len(self.terms)
-        if not 0 < ones < n:
-            return np.zeros(size, bool)
-        df = np.bincount(self.term, minlength=size).astype(float)
-        toxic = np.bincount(self.term, self.labels[self.row], minlength=size)
-        ratio = np.zeros(size)
-        for seen, expected in (
-            (toxic, df * ones),
-            (df - toxic, df * (n - ones)),
-            (ones - toxic, (n - df) * ones),
-            (n - df - ones + toxic, (n - df) * (n - ones)),
-        ):
-            some = seen > 0
-            ratio[some] += 2 * seen[some] * np.log(seen[some] * n / expected[some])
-        return (df >= LEAST_EXAMPLES) & (ratio >= 2 * np.log(max(size, 1) / LEVEL))
-
-    def only(self, kept: np.ndarray) -> "Examples":
-        """With the terms of a mask, numbered anew in their order."""
-        number = np.cumsum(kept) - 1
-        stays = kept[self.term]
-        return Examples(
-            self.keys,
-            self.labels,
-            [t for t, k in zip(self.terms, kept, strict=True) if k],
-            self.row[stays],
-            number[self.term[stays]],
-            self.count[stays],
+            np.repeat(np.arange(len(table), dtype=np.int32), terms.value_lengths().to_numpy()),
+            coded.indices.to_numpy(),
+            table["counts"].combine_chunks().flatten().to_numpy(),
         )
 
 
 def _stretches(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All positions from each start to its end, and which stretch each is of."""
+    """All positions from each start to its end, and how many each stretch has."""
     lengths = ends - starts
-    of = np.repeat(np.arange(len(starts)), lengths)
-    return np.arange(len(of)) + (starts - (np.cumsum(lengths) - lengths))[of], of
+    before = np.cumsum(lengths) - lengths
+    return np.arange(lengths.sum()) + np.repeat(starts - before, lengths), lengths
 
 
 @dataclass
@@ -167,28 +153,49 @@ class Index:
     piece_most: np.ndarray = field(repr=False)
     example: np.ndarray = field(repr=False)
     value: np.ndarray = field(repr=False)
+    # Row of a term among the flat lists, -1 if it has none; these have no pieces.
+    flat_at: np.ndarray = field(repr=False)
+    flat: np.ndarray = field(repr=False)
     # Labelled rows that each example stands for, in units of their mean.
     stands_for: np.ndarray = field(default_factory=lambda: np.zeros(0), repr=False)
     empty_rate: float = 0.0
     cuts: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rates: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def weigh(self, counts: dict[int | str, int]) -> tuple[np.ndarray, np.ndarray]:
+    def weigh(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of a text's unit vector; words of no example lengthen it only."""
-        at = np.array([t for t in counts if type(t) is int], np.int64)
-        tf = np.array([n for t, n in counts.items() if type(t) is int], float)
-        other = np.array([n for t, n in counts.items() if type(t) is str], float)
-        weight = (1 + np.log(tf)) * self.weights[at]
-        length = (weight * weight).sum() + (((1 + np.log(other)) * self.rare) ** 2).sum()
-        return at, weight / max(np.sqrt(length), 1e-12)
+        weight = (1 + np.log(n)) * np.where(at >= 0, self.weights[np.maximum(at, 0)], self.rare)
+        weight /= max(np.sqrt(weight @ weight), 1e-12)
+        return at[at >= 0], weight[at >= 0]
+
+    def search(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, leave_out: int | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The nearest examples of each vector; the flat lists of TOGETHER vectors are added up at
+        once. With `leave_out`, vector i is example leave_out + i and does not find itself."""
+        for begin in range(0, len(vectors), TOGETHER):
+            group = vectors[begin : begin + TOGETHER]
+            flat = np.zeros((len(group), len(self.flat)))
+            for i, (at, weight) in enumerate(group):
+                row = self.flat_at[at]
+                flat[i, row[row >= 0]] = weight[row >= 0]
+            for i, base in enumerate(flat @ self.flat):
+                own = -1 if leave_out is None else leave_out + begin + i
+                yield self.nearest(*group[i], base, k, own)
 
     def nearest(
-        self, at: np.ndarray, weight: np.ndarray, k: int, leave_out: int = -1
+        self, at: np.ndarray, weight: np.ndarray, base: np.ndarray, k: int, leave_out: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the highest cosine above 0, ties by position; exact."""
-        pieces, of = _stretches(self.term_at[at], self.term_at[at + 1])
-        block, weight = self.piece_block[pieces], weight[of]
-        bounds = np.bincount(block, weight * self.piece_most[pieces])
+        """The k examples of the highest cosine above 0, ties by position; exact. `base` is what
+        the flat lists give to each example."""
+        if not len(self.keys):
+            return np.zeros(0, np.int64), np.zeros(0)
+        pieces, lengths = _stretches(self.term_at[at], self.term_at[at + 1])
+        block, weight = self.piece_block[pieces], np.repeat(weight, lengths)
+        starts = np.arange(0, len(base), BLOCK)
+        bounds = np.maximum.reduceat(base, starts) + np.bincount(
+            block, weight * self.piece_most[pieces], len(starts)
+        )
         order = np.argsort(-bounds, kind="stable")
         found, sims = np.zeros(0, np.int64), np.zeros(0)
         floor, done, step = 0.0, 0, FIRST_BLOCKS
@@ -197,14 +204,16 @@ class Index:
             wave = wave[(bounds[wave] > 0) & (bounds[wave] >= floor - 1e-9)]
             if not len(wave):
                 break
-            done, step = done + step, step * 2
+            done, step = done + step, step * 4
             chosen = np.zeros(len(bounds), bool)
             chosen[wave] = True
             mine = chosen[block]
             read = pieces[mine]
-            posts, piece = _stretches(self.piece_at[read], self.piece_at[read + 1])
-            sim = np.bincount(self.example[posts], self.value[posts] * weight[mine][piece])
-            if leave_out < len(sim) and leave_out >= 0:
+            posts, lengths = _stretches(self.piece_at[read], self.piece_at[read + 1])
+            add = self.value[posts] * np.repeat(weight[mine], lengths)
+            sim = np.bincount(self.example[posts], add, len(base))
+            sim = np.where(np.repeat(chosen, BLOCK)[: len(base)], sim + base, 0.0)
+            if leave_out >= 0:
                 sim[leave_out] = 0
             hit = np.flatnonzero(sim > max(floor - 1e-9, 0))
             found, sims = np.concatenate([found, hit]), np.concatenate([sims, sim[hit]])
@@ -249,13 +258,40 @@ def _isotonic(
     )
 
 
+def _telling(examples: DataFrame, sampled: dict[int, int]) -> list[str]:
+    """The terms of `examples` that go with one of the labels."""
+    n, ones = sum(sampled.values()), sampled.get(1, 0)
+    if not 0 < ones < n:
+        return []
+    seen = stored(
+        examples.select("_label", F.explode("terms").alias("term"))
+        .groupBy("term")
+        .agg(F.count("_label").cast("double").alias("df"), F.sum("_label").alias("a")),
+        "toxicity-terms",
+    )
+    df, a = F.col("df"), F.col("a")
+
+    def part(observed: Column, expected: Column) -> Column:
+        return F.when(observed > 0, 2 * observed * F.log(observed * n / expected)).otherwise(0.0)
+
+    ratio = (
+        part(a, df * ones)
+        + part(df - a, df * (n - ones))
+        + part(ones - a, (n - df) * ones)
+        + part(n - df - ones + a, (n - df) * (n - ones))
+    )
+    least = 2 * np.log(max(seen.count(), 1) / LEVEL)
+    telling = seen.filter((df >= LEAST_EXAMPLES) & (df < n) & (ratio >= float(least)))
+    return sorted(r["term"] for r in telling.select("term").collect())
+
+
 def sample(
     docs: DataFrame, labels: DataFrame, text: str, label: str, key: str, per_class: int
-) -> tuple[Examples, dict[int, int]]:
+) -> tuple[Examples, list[str], dict[int, int]]:
     """At most `per_class` labelled documents of either class, chosen by hash, as their terms,
-    and how many labelled documents of each class there are.
+    the terms that go with a label, and how many labelled documents of each class there are.
 
-    Tasks read the whole texts; the driver gets terms and counts. Examples are taken in the order
+    Tasks read the whole texts and choose; the driver gets words, telling beginnings and counts. Examples are taken in the order
     of the hash while they have MOST_POSTINGS terms together; one text with more is none.
     """
     known = stored(
@@ -296,9 +332,20 @@ def sample(
         .select("_key", so_far.alias("total"))
         .filter(F.col("total") <= MOST_POSTINGS)
     )
-    taken = examples.join(F.broadcast(kept.select("_key")), "_key", "left_semi")
-    table = taken.select("_key", F.col("_label").cast("double").alias("_label"), "terms", "counts")
-    return Examples.of(table.toArrow().sort_by("_key")), counted
+    taken = examples.join(F.broadcast(kept.select("_key")), "_key", "left_semi").withColumn(
+        "_label", F.col("_label").cast("double")
+    )
+    sampled = {int(r["_label"]): r["count"] for r in taken.groupBy("_label").count().collect()}
+    telling = _telling(taken, sampled)
+    begins = [t for t in telling if t[0] == "^"]
+    pairs = F.filter(
+        F.arrays_zip("terms", "counts"),
+        lambda p: ~p["terms"].startswith("^") | p["terms"].isin(begins),
+    )
+    table = taken.select("_key", "_label", pairs.alias("p")).select(
+        "_key", "_label", "p.terms", "p.counts"
+    )
+    return Examples.of(table.orderBy("_key").toArrow()), telling, counted
 
 
 def fit(
@@ -317,13 +364,12 @@ def fit(
     Of rows that repeat a key the least text counts, of its labels the largest. Null texts have
     no terms. None if nothing is labelled or there are no rows.
     """
-    examples, counted = sample(docs, labels, text, label, key, per_class)
+    examples, telling, counted = sample(docs, labels, text, label, key, per_class)
     if not examples.keys:
         return None
-    strong = examples.strong()
-    kept = strong | np.array([t[0] != "^" for t in examples.terms], bool)
-    examples, strong = examples.only(kept), strong[kept]
     vocabulary = {t: i for i, t in enumerate(examples.terms)}
+    strong = np.zeros(len(vocabulary), bool)
+    strong[[vocabulary[t] for t in telling]] = True
     known = corpus.sparkSession.sparkContext.broadcast(vocabulary)
 
     def containing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -331,7 +377,8 @@ def fit(
         total = np.zeros(len(known.value), np.int64)
         for batch in batches:
             for body in batch[text]:
-                total[[t for t in terms.counts(body) if type(t) is int]] += 1
+                at, _ = terms.counts(body)
+                total[at[at >= 0]] += 1
             rows += len(batch)
         hit = np.flatnonzero(total)
         yield pd.DataFrame({"term": [*hit, -1], "docs": [*total[hit], rows]})
@@ -343,6 +390,7 @@ def fit(
         .agg(F.sum("docs").alias("docs"))
         .toArrow()
     )
+    known.destroy()
     term, n = (containing_docs[c].to_numpy() for c in ("term", "docs"))
     df = np.zeros(len(vocabulary))
     df[term[term >= 0]] = n[term >= 0]
@@ -379,15 +427,26 @@ def build(
     first_strong[examples.row[marked]] = examples.term[marked]
     full = np.flatnonzero(length > 0)
     place = full[np.lexsort((full, commonest[full], first_strong[full]))]
-    position = np.full(n, -1)
+    position = np.full(n, -1, np.int32)
     position[place] = np.arange(len(place))
 
     at = position[examples.row]
     order = np.lexsort((at, examples.term))
     term, at, value = examples.term[order], at[order], value[order]
-    block = at // BLOCK
-    new = np.ones(len(term), bool)
-    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    # A text and its votes are put together again from the postings by example.
+    own = np.argsort(at, kind="stable")
+    ends = np.searchsorted(at[own], np.arange(len(place) + 1))
+    size = np.bincount(term, minlength=len(weights))
+    lists = np.flatnonzero(size >= max(len(place) * FLAT_SHARE, 1))
+    flat_at = np.full(len(weights), -1, np.int32)
+    flat_at[lists] = np.arange(len(lists))
+    flat = np.zeros((len(lists), len(place)))
+    lying = flat_at[term] >= 0
+    flat[flat_at[term[lying]], at[lying]] = value[lying]
+    short_term, short_at, short_value = term[~lying], at[~lying], value[~lying]
+    block = short_at // BLOCK
+    new = np.ones(len(short_term), bool)
+    new[1:] = (short_term[1:] != short_term[:-1]) | (block[1:] != block[:-1])
     begins = np.flatnonzero(new)
     index = Index(
         {t: i for i, t in enumerate(examples.terms)},
@@ -395,12 +454,14 @@ def build(
         float(np.log((1 + n_docs) / 2) + 1),
         [examples.keys[i] for i in place],
         examples.labels[place],
-        np.searchsorted(term[begins], np.arange(len(weights) + 1)),
-        np.append(begins, len(term)),
-        block[begins].astype(np.int32),
-        np.maximum.reduceat(value, begins) if len(begins) else np.zeros(0),
-        at.astype(np.int32),
-        value,
+        np.searchsorted(short_term[begins], np.arange(len(weights) + 1)),
+        np.append(begins, len(short_term)),
+        block[begins].astype(np.int64),
+        np.maximum.reduceat(short_value, begins) if len(begins) else np.zeros(0),
+        short_at.astype(np.int64),
+        short_value,
+        flat_at,
+        flat,
     )
     index.stands_for = standing[place] / standing[place].mean() if len(place) else standing[place]
     empty = np.flatnonzero(length == 0)
@@ -408,12 +469,12 @@ def build(
     index.empty_rate = float(
         (ones + 0.5 * (index.labels.sum() > 0)) / (standing[empty].sum() + 20)
     )
-    own = np.argsort(at, kind="stable")
-    ends = np.searchsorted(at[own], np.arange(len(place) + 1))
     votes = np.zeros(len(place))
-    for i in range(len(place)):
-        mine = own[ends[i] : ends[i + 1]]
-        votes[i] = index.vote(*index.nearest(term[mine], value[mine], neighbours, i))
+    for begin in range(0, len(place), TOGETHER):
+        rows = range(begin, min(begin + TOGETHER, len(place)))
+        mine = [own[ends[i] : ends[i + 1]] for i in rows]
+        near = index.search([(term[m], value[m]) for m in mine], neighbours, begin)
+        votes[rows.start : rows.stop] = [index.vote(*n) for n in near]
     if len(votes) > 1 and 0 < index.labels.sum() < len(votes):
         index.cuts, index.rates = _isotonic(votes, index.labels, index.stands_for)
     return index
@@ -442,10 +503,7 @@ def score(
         # Copies share one search; a digest stands for the text.
         known: dict[bytes, tuple[float, list]] = {}
 
-        def judged(body: str | None) -> tuple[float, list]:
-            if model is None:
-                return 0.0, []
-            found, sims = model.nearest(*model.weigh(terms.counts(body)), neighbours)
+        def judge(found: np.ndarray, sims: np.ndarray) -> tuple[float, list]:
             proof = [
                 {"key": str(model.keys[i]), "cosine": float(s), "label": int(model.labels[i])}
                 for i, s in zip(found[:evidence], sims[:evidence], strict=True)
@@ -454,14 +512,18 @@ def score(
             return min(1.0, max(0.0, rate)), proof
 
         for texts in batches:
-            results = []
-            for body in texts:
-                mark = blake2b((body or "").encode("utf-8", "replace"), digest_size=16).digest()
-                if mark not in known:
-                    if len(known) > REMEMBERED_TEXTS:
-                        known.clear()
-                    known[mark] = judged(body)
-                results.append(known[mark])
+            bodies = ["" if body is None else body for body in texts]
+            marks = [blake2b(b.encode("utf-8", "replace"), digest_size=16).digest() for b in bodies]
+            if len(known) > REMEMBERED_TEXTS:
+                known.clear()
+            new = {m: b for m, b in zip(marks, bodies, strict=True) if m not in known}
+            if model is None:
+                known |= dict.fromkeys(new, (0.0, []))
+            else:
+                vectors = [model.weigh(*terms.counts(body)) for body in new.values()]
+                near = model.search(vectors, neighbours)
+                known |= {m: judge(*n) for m, n in zip(new, near, strict=True)}
+            results = [known[m] for m in marks]
             yield pd.DataFrame(
                 {"score": [r[0] for r in results], "evidence": [r[1] for r in results]}
             )
