@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spanwatch.functions.geo import great_circle_km
+from spanwatch.functions.geo import Cover, great_circle_km
 from spanwatch.functions.values import event_time
 from spanwatch.operators.dimension import join_dimension, measured
 from spanwatch.schema import VIOLATION_KEY
@@ -95,6 +95,43 @@ def hotspots(
     return near.join(counts, "camera_id").select("camera_id", "distance_km", "n_violations")
 
 
+def hotspots_around(
+    violations: DataFrame, cameras: DataFrame, centres: DataFrame, radius_km: float
+) -> DataFrame:
+    """Violations per camera within a radius of each of many points (`centre_id`, `latitude`,
+    `longitude`), anywhere on the globe.
+
+    A camera lies in one cell of a cover and a centre asks the few cells that its radius reaches,
+    poles and date line included, so neither side meets all of the other. A centre or camera
+    without a place meets nobody; repeated centres come as often as they are given.
+    """
+    cover = Cover(radius_km)
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.filter("NOT isnan(latitude) AND NOT isnan(longitude)")
+
+    latitude, longitude = F.col("latitude"), F.col("longitude")
+    stand = placed(cameras).select(
+        "camera_id", latitude, longitude, cover.cell(latitude, longitude).alias("_cell")
+    )
+    asked = placed(centres).select(
+        "centre_id", latitude, longitude, F.explode(cover.around(latitude, longitude)).alias("_cell")
+    )
+    c, s = asked.alias("c"), stand.alias("s")
+    away = great_circle_km(*[F.col(n) for n in ("c.latitude", "c.longitude", "s.latitude", "s.longitude")])
+    near = (
+        c.join(s, F.col("c._cell") == F.col("s._cell"))
+        .select("centre_id", "camera_id", away.alias("distance_km"))
+        .filter(F.col("distance_km") <= radius_km)
+    )
+    counts = violations.groupBy(_offence_camera().alias("camera_id")).agg(
+        F.count(F.lit(1)).alias("n_violations")
+    )
+    return near.join(counts, "camera_id").select(
+        "centre_id", "camera_id", "distance_km", "n_violations"
+    )
+
+
 def vehicle_day(violations: DataFrame, plate: str, day: str) -> DataFrame:
     """What one vehicle did on one day. Over the stored table this reads one partition."""
     return violations.filter((F.col("violation_date") == day) & (F.col("car_plate") == plate))

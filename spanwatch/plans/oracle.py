@@ -232,6 +232,15 @@ WHERE vehicle_type NOT IN ('Coupe', 'SUV', 'Sedan', 'Van', 'Truck', 'Motorcycle'
          FROM site a JOIN site b ON a.camera_id = 1
          JOIN vio ON b.camera_id = coalesce(vio.camera_id, camera_id_end)
          WHERE {ARC} <= 1.5 GROUP BY 1, 2""",
+    "hotspots_around_points": _with(*LONG_VIO, _cam(CAMERAS, "site"))
+    + f"""SELECT a.centre_id, b.camera_id, round({ARC}, 6) AS distance_km, n AS n_violations
+         FROM (SELECT c_custkey AS centre_id,
+                 {CAMERAS[0][1]}::DOUBLE + (c_custkey % 400 - 100) / 10000.0::DOUBLE AS latitude,
+                 {CAMERAS[0][2]}::DOUBLE - (c_custkey % 400 - 100) / 10000.0::DOUBLE AS longitude
+               FROM customer) a, site b
+         JOIN (SELECT coalesce(camera_id, camera_id_end) AS camera_id, count(*) AS n
+               FROM vio GROUP BY 1) v ON v.camera_id = b.camera_id
+         WHERE {ARC} <= 1.2""",
     "sink_insert_if_absent": _with(*LONG_VIO) + "SELECT * FROM vio",
     "sink_metrics": _with(*LONG_VIO)
     + """SELECT n AS received, n AS prepared, CASE WHEN epoch = 0 THEN n ELSE 0 END AS inserted,

@@ -430,6 +430,20 @@ def hotspots_within_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.withColumn("distance_km", F.round("distance_km", 6))
 
 
+def hotspots_around_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer lives along the road; the cameras within 1.2 km of each."""
+    _, latitude, longitude, _, _ = CAMERAS[0]
+    along = (F.col("c_custkey") % 400 - 100) / 10_000
+    homes = tables.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("centre_id"),
+        (F.lit(latitude) + along).alias("latitude"),
+        (F.lit(longitude) - along).alias("longitude"),
+    )
+    found = _violations(spark, sf_dir)
+    near = report.hotspots_around(found, dimensions.cameras(spark), homes, radius_km=1.2)
+    return near.withColumn("distance_km", F.round("distance_km", 6))
+
+
 # -- stored violations ------------------------------------------------------
 
 
@@ -718,6 +732,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         speed_series,
         enforcement_report,
         hotspots_within_radius,
+        hotspots_around_points,
         sink_insert_if_absent,
         sink_metrics,
         violation_fact_scan,

@@ -1,7 +1,11 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from rows import bag, enriched, passages
+from spanwatch.functions.geo import great_circle_km
 from spanwatch.operators import ingest, report
 from spanwatch.operators.detect import violations
 from spanwatch.operators.dimension import measured
@@ -101,6 +105,37 @@ def test_hotspots(found, cams):
     assert {row["camera_id"]: row["n_violations"] for row in near} == {1: 20, 2: 1}
 
 
+@pytest.mark.parametrize("radius_km", [0.5, 150.0, 2500.0, 12_000.0])
+def test_hotspots_around_points_all_over_the_globe(spark, radius_km):
+    rng = random.Random(3)
+    places = [(89.9999, 10.0), (-90.0, 0.0), (90.0, -180.0), (0.0, 180.0), (0.0, -180.0)]
+    for _ in range(150):
+        lat, lon = rng.uniform(-90, 90), rng.uniform(-180, 180)
+        places.append((lat, lon))
+        step = rng.uniform(0, 1.5) * math.degrees(radius_km / 6371)
+        places.append((max(-90.0, min(90.0, lat + step)), lon))
+        places.append((lat, (lon + step / max(0.05, math.cos(math.radians(lat))) + 180) % 360 - 180))
+    places += [(rng.choice([-1, 1]) * rng.uniform(89, 90), rng.uniform(-180, 180)) for _ in range(40)]
+    places += [(rng.uniform(-1, 1), rng.choice([-1, 1]) * rng.uniform(179.5, 180)) for _ in range(40)]
+    rows = [(n, *p) for n, p in enumerate(places)] + [(None, None, 1.0), (-1, float("nan"), 1.0)]
+    shape = "camera_id int, latitude double, longitude double"
+    cams = spark.createDataFrame(rows, shape)
+    camera = F.col("camera_id")
+    details = F.struct(camera, camera.alias("camera_id_end")).alias("event_details")
+    one = cams.filter("camera_id >= 0").select(details)
+    centres = cams.withColumnRenamed("camera_id", "centre_id")
+    near = report.hotspots_around(one, cams, centres, radius_km)
+    assert "NestedLoop" not in near._jdf.queryExecution().toString()
+    got = sorted((r["centre_id"], r["camera_id"]) for r in near.collect())
+    a, b = centres.alias("a"), cams.filter("camera_id >= 0").alias("b")
+    away = great_circle_km(
+        F.col("a.latitude"), F.col("a.longitude"), F.col("b.latitude"), F.col("b.longitude")
+    )
+    every = a.crossJoin(b).filter((away <= radius_km) & F.col("centre_id").between(0, 10_000))
+    want = sorted((r["centre_id"], r["camera_id"]) for r in every.collect())
+    assert got == want and len(want) >= len(places)
+
+
 def test_preview_is_in_order_and_short(found):
     assert report.preview(found, 3).count() == 3
     assert report.preview(found, 1).first()["car_plate"] == "A"
