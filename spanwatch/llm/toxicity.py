@@ -4,13 +4,11 @@ Every word of a text has a weight: (1 + log of its count) times its rarity over
 Words that go with a label, by a likelihood ratio that chance would give none of them, weigh
 STRENGTH times as much; word beginnings of that kind are terms beside the words.
 
-The examples are postings of an inverted index, ordered by term and example and cut into blocks
-of examples; each piece of a posting list knows its largest weight. Lists with an eighth of the
-examples or more lie flat, one place for each. A query adds its flat lists up, bounds what the
-others add to a block by their largest weights, reads the postings of the blocks of the highest
-bounds first and stops when no block left can reach its k-th best: the result is exact. Neighbours vote by squared cosine, and
-the votes are mapped to probabilities fitted on the examples themselves. Where a class has more
-labelled rows than examples, each example counts for its share of them.
+The examples are postings of an inverted index, ordered by term and example. Lists with an eighth
+of the examples or more lie flat, one place for each. A query adds its flat lists up, reads the
+postings of its other terms once and takes the k highest sums: the result is exact. Neighbours vote
+by squared cosine, and the votes are mapped to probabilities fitted on the examples themselves.
+Where a class has more labelled rows than examples, each example counts for its share of them.
 """
 
 from collections import Counter
@@ -32,8 +30,6 @@ MOST_POSTINGS = 6_000_000
 # These two have the least leave-one-out loss on examples.
 NEIGHBOURS = 25
 STRENGTH = 2.0
-BLOCK = 64
-FIRST_BLOCKS = 8
 FLAT_SHARE = 1 / 8
 TOGETHER = 64
 STEMS = (4, 6)
@@ -138,7 +134,7 @@ def _stretches(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
 
 @dataclass
 class Index:
-    """Postings of the examples' unit vectors, in pieces of one term and one block."""
+    """Postings of the examples' unit vectors, by term."""
 
     vocabulary: dict[str, int]
     weights: np.ndarray
@@ -146,14 +142,11 @@ class Index:
     rare: float
     keys: list
     labels: np.ndarray
-    # Pieces of term t: from term_at[t] to term_at[t + 1]; postings of piece p likewise.
+    # Postings of term t: from term_at[t] to term_at[t + 1].
     term_at: np.ndarray = field(repr=False)
-    piece_at: np.ndarray = field(repr=False)
-    piece_block: np.ndarray = field(repr=False)
-    piece_most: np.ndarray = field(repr=False)
     example: np.ndarray = field(repr=False)
     value: np.ndarray = field(repr=False)
-    # Row of a term among the flat lists, -1 if it has none; these have no pieces.
+    # Row of a term among the flat lists, -1 if it has none; these have no postings.
     flat_at: np.ndarray = field(repr=False)
     flat: np.ndarray = field(repr=False)
     # Labelled rows that each example stands for, in units of their mean.
@@ -190,40 +183,18 @@ class Index:
         the flat lists give to each example."""
         if not len(self.keys):
             return np.zeros(0, np.int64), np.zeros(0)
-        pieces, lengths = _stretches(self.term_at[at], self.term_at[at + 1])
-        block, weight = self.piece_block[pieces], np.repeat(weight, lengths)
-        starts = np.arange(0, len(base), BLOCK)
-        bounds = np.maximum.reduceat(base, starts) + np.bincount(
-            block, weight * self.piece_most[pieces], len(starts)
-        )
-        order = np.argsort(-bounds, kind="stable")
-        found, sims = np.zeros(0, np.int64), np.zeros(0)
-        floor, done, step = 0.0, 0, FIRST_BLOCKS
-        while done < len(order):
-            wave = order[done : done + step]
-            wave = wave[(bounds[wave] > 0) & (bounds[wave] >= floor - 1e-9)]
-            if not len(wave):
-                break
-            done, step = done + step, step * 4
-            chosen = np.zeros(len(bounds), bool)
-            chosen[wave] = True
-            mine = chosen[block]
-            read = pieces[mine]
-            posts, lengths = _stretches(self.piece_at[read], self.piece_at[read + 1])
-            add = self.value[posts] * np.repeat(weight[mine], lengths)
-            sim = np.bincount(self.example[posts], add, len(base))
-            sim = np.where(np.repeat(chosen, BLOCK)[: len(base)], sim + base, 0.0)
-            if leave_out >= 0:
-                sim[leave_out] = 0
-            hit = np.flatnonzero(sim > max(floor - 1e-9, 0))
-            found, sims = np.concatenate([found, hit]), np.concatenate([sims, sim[hit]])
-            if len(found) > k:
-                best = np.lexsort((found, -np.round(sims, 9)))[:k]
-                found, sims = found[best], sims[best]
-            if len(found) == k:
-                floor = sims.min()
-        order = np.lexsort((found, -np.round(sims, 9)))
-        return found[order], sims[order]
+        posts, lengths = _stretches(self.term_at[at], self.term_at[at + 1])
+        add = self.value[posts] * np.repeat(weight, lengths)
+        sim = base + np.bincount(self.example[posts], add, len(base))
+        if leave_out >= 0:
+            sim[leave_out] = 0
+        found = np.flatnonzero(sim > 0)
+        near = np.round(sim[found], 9)
+        if len(found) > k:
+            best = near >= np.partition(near, -k)[-k]
+            found, near = found[best], near[best]
+        found = found[np.lexsort((found, -near))[:k]]
+        return found, sim[found]
 
     def vote(self, found: np.ndarray, sims: np.ndarray) -> float:
         """Share of label 1 among the neighbours, each weighted by its squared cosine and by
@@ -370,11 +341,12 @@ def fit(
     vocabulary = {t: i for i, t in enumerate(examples.terms)}
     strong = np.zeros(len(vocabulary), bool)
     strong[[vocabulary[t] for t in telling]] = True
-    known = corpus.sparkSession.sparkContext.broadcast(vocabulary)
+    # A worker keeps what it learns of words from task to task: the broadcast is one object there.
+    known = corpus.sparkSession.sparkContext.broadcast(Terms(vocabulary))
 
     def containing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms, rows = Terms(known.value), 0
-        total = np.zeros(len(known.value), np.int64)
+        terms, rows = known.value, 0
+        total = np.zeros(len(terms.vocabulary), np.int64)
         for batch in batches:
             for body in batch[text]:
                 at, _ = terms.counts(body)
@@ -405,7 +377,7 @@ def build(
     neighbours: int = NEIGHBOURS,
     counted: dict[int, int] | None = None,
 ) -> Index:
-    """Lays examples out in blocks, like beside like, and calibrates.
+    """Lays examples out, like beside like, and calibrates.
 
     `df` are the documents, of `n_docs`, that have each term. `counted` has the labelled rows of
     each class that the examples were taken from; without it, the examples are all there are.
@@ -419,7 +391,7 @@ def build(
     length = np.sqrt(np.bincount(examples.row, raw * raw, minlength=n))
     value = raw / length[examples.row]
 
-    # Blocks hold examples with the same strong term, then with the same common one.
+    # Examples with the same strong term lie together, then those with the same common one.
     first_strong, commonest = np.full(n, -1), np.full(n, -1)
     up = np.argsort(df[examples.term], kind="stable")
     commonest[examples.row[up]] = examples.term[up]
@@ -444,20 +416,13 @@ def build(
     lying = flat_at[term] >= 0
     flat[flat_at[term[lying]], at[lying]] = value[lying]
     short_term, short_at, short_value = term[~lying], at[~lying], value[~lying]
-    block = short_at // BLOCK
-    new = np.ones(len(short_term), bool)
-    new[1:] = (short_term[1:] != short_term[:-1]) | (block[1:] != block[:-1])
-    begins = np.flatnonzero(new)
     index = Index(
         {t: i for i, t in enumerate(examples.terms)},
         weights,
         float(np.log((1 + n_docs) / 2) + 1),
         [examples.keys[i] for i in place],
         examples.labels[place],
-        np.searchsorted(short_term[begins], np.arange(len(weights) + 1)),
-        np.append(begins, len(short_term)),
-        block[begins].astype(np.int64),
-        np.maximum.reduceat(short_value, begins) if len(begins) else np.zeros(0),
+        np.searchsorted(short_term, np.arange(len(weights) + 1)),
         short_at.astype(np.int64),
         short_value,
         flat_at,
@@ -495,11 +460,12 @@ def score(
     one have none and get the rate of term-free examples. Whole texts are read, however long;
     repeated rows are scored alike. With no index every score is 0. An empty table stays empty.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (index, Terms(index.vocabulary if index else {}))
+    )
 
     def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        terms = Terms(model.vocabulary if model else {})
+        model, terms = shared.value
         # Copies share one search; a digest stands for the text.
         known: dict[bytes, tuple[float, list]] = {}
 

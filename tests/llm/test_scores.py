@@ -126,6 +126,20 @@ def test_neighbours_are_those_of_tf_idf_over_whole_texts():
         assert sims == pytest.approx(cosines[want])
 
 
+def test_a_query_reads_its_postings_once(monkeypatch):
+    examples = [(i, f"w{i % 7} w{i % 11} u{i}", i % 2) for i in range(400)]
+    kept = gathered(examples)
+    ones = np.ones(len(kept.terms))
+    index = toxicity.build(kept, ones, 400, ones > 1)
+    terms = toxicity.Terms(index.vocabulary)
+    vector = index.weigh(*terms.counts("w1 w3 u5"))
+    reads = []
+    gather = toxicity._stretches
+    monkeypatch.setattr(toxicity, "_stretches", lambda *at: reads.append(at) or gather(*at))
+    assert len(list(index.search([vector] * 3, 15))) == 3
+    assert len(reads) == 3
+
+
 def test_a_near_copy_of_an_example_without_telling_words_finds_it_first(spark):
     rng = np.random.default_rng(7)
     texts = [" ".join(rng.choice([f"v{i}" for i in range(3000)], 80)) for _ in range(60)]
