@@ -1,12 +1,14 @@
 """Passages of one vehicle at two cameras within the tolerance.
 
-Batch: an interval join cannot be planned as such, so both sides get a time bin and
-are joined on (plate, bin). The bin also spreads a plate that is read very often. Groups
+An interval join cannot be planned as such, so both sides get a time bin and are joined on
+(plate, bin).
+
+Batch: the bin also spreads a plate that is read very often. Groups
 that are hot even so are counted exactly and split by camera order, and by salts on both
 sides where that is not enough.
 
 Stream: Spark's own stream-stream join, whose state is bounded by the watermark and
-by the tolerance.
+by the tolerance; a late start counts as dropped in each of its bins.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -138,7 +140,8 @@ def _marked(side: DataFrame, groups: DataFrame, keys: list[str], small: bool) ->
     return side.join(F.broadcast(groups) if small else groups, keys, "left")
 
 
-def _binned_sides(passages: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+def _in_bins(passages: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """Starts in every bin that they reach, and ends in their own: a pair meets in one bin."""
     width = params.bin_width_s
     own = _bin(params)
     offset = F.pmod(whole_seconds(F.col("timestamp")), F.lit(width))
@@ -147,6 +150,11 @@ def _binned_sides(passages: DataFrame, params: Params) -> tuple[DataFrame, DataF
         "_on_bin", F.explode(reached.otherwise(F.array(own)))
     )
     end = passages.filter(~F.col("road_first")).withColumn("_on_bin", own)
+    return start, end
+
+
+def _binned_sides(passages: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    start, end = _in_bins(passages, params)
     if not params.split_hot_groups:
         return start, end
 
@@ -193,11 +201,12 @@ def _binned_sides(passages: DataFrame, params: Params) -> tuple[DataFrame, DataF
 def _stream_sides(
     passages: DataFrame, params: Params, hot_plates: tuple[str, ...]
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides of the stream join. Adaptive execution cannot split streaming state,
-    so plates known to be hot are named in advance."""
+    """Both sides of the stream join. A row is held against all waiting rows of its key, which
+    in a batch that catches up are those of a long time: so the bin is part of the key here too.
+    Adaptive execution cannot split streaming state, so plates known to be hot are named in
+    advance."""
     timed = passages.withWatermark("timestamp", f"{params.watermark_s} seconds")
-    start = timed.filter(~F.col("road_last"))
-    end = timed.filter(~F.col("road_first"))
+    start, end = _in_bins(timed, params)
     if not hot_plates:
         return start, end
     hot = F.col("car_plate").isin(*hot_plates)

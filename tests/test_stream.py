@@ -237,3 +237,48 @@ def test_the_intake_limit_and_the_timed_trigger_run(spark, tmp_path):
     assert len(taken) == 2
     stored = violation_facts(spark, f"{folder}/violations")
     assert bag(stored) == bag(violations(enriched(spark, rows)).distinct())
+
+
+def test_branches_share_one_decoded_exchange(spark, tmp_path):
+    _, queries = run(spark, tmp_path, passages(spark, traffic(60)), F.lit(0), 1)
+    plan = queries[0]._jsq.explainInternal(False)
+    assert "ReusedExchange" in plan
+    assert plan.count("from_json") == 1 and plan.count("FileScan parquet") == 1
+
+
+def test_a_wave_in_one_piece_is_spread(spark, tmp_path):
+    rows = spark.range(0, 300_000, 1, 1).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.floor(F.col("id") / 100).alias("batch_id"),
+        F.format_string("P%05d", F.col("id") % 999).alias("car_plate"),
+        (F.col("id") % 3 + 1).cast("int").alias("camera_id"),
+        F.timestamp_seconds(F.col("id")).alias("timestamp"),
+        F.lit(50.0).alias("speed_reading"),
+        F.lit("CAM_PRODUCER").alias("producer_id"),
+    )
+    landing = f"{tmp_path}/landing"
+    replay.create_landing(spark, landing)
+
+    class Done:
+        def awaitTermination(self):
+            pass
+
+    replay.release(rows, landing, F.lit(0), 1, Done)
+    sizes = spark.read.parquet(landing).groupBy(F.input_file_name()).count()
+    assert sizes.agg(F.sum("count")).first()[0] == 300_000
+    assert sizes.agg(F.max("count")).first()[0] < 200_000
+
+
+def test_available_now_loads_state_instead_of_replaying_changes(spark):
+    name = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    with job.stream_settings(spark, FEW, available_now=True):
+        assert spark.conf.get(name) == "false"
+    with job.stream_settings(spark, FEW):
+        assert spark.conf.get(name) == "true"
+
+
+def test_a_waiting_plate_is_keyed_by_time_too(spark, tmp_path):
+    """What a row is held against does not grow with the time that a batch spans."""
+    _, _ = run(spark, tmp_path, passages(spark, traffic(60)), F.lit(0), 1)
+    keys = spark.read.format("statestore").option("joinSide", "left").load(f"{tmp_path}/checkpoint")
+    assert len(keys.schema["key"].dataType) == 2
