@@ -40,13 +40,16 @@ def release(
     resume: Callable[[], StreamingQuery],
     spoil: Callable[[DataFrame], DataFrame] = lambda encoded: encoded,
 ) -> list[StreamingQuery]:
-    """Writes waves 0 to `waves` - 1 one after another. `resume` starts the stream on
+    """Writes waves 0 to `waves` - 1 one after another. A wave is a range of batches, which may
+    lie in one piece of the table: its rows are spread first, so that all cores encode and
+    decode them. `resume` starts the stream on
     what is available now, always with the same checkpoint; it returns the query. `spoil`
     damages the messages on their way."""
     stamp = F.lit(REPLAY_TIME).cast("timestamp")
     finished = []
     for number in range(waves):
-        spoil(encode(events.filter(wave == number), stamp)).write.mode("append").parquet(landing)
+        spread = events.filter(wave == number).repartition("event_id", "timestamp")
+        spoil(encode(spread, stamp)).write.mode("append").parquet(landing)
         query = resume()
         query.awaitTermination()
         finished.append(query)
