@@ -23,8 +23,8 @@ from spanwatch.workspace import fresh_folder, use_utc
 
 LONG = Params(tolerance_s=tables.LONG_TOLERANCE_S)
 WAVES = 4
-# State stores of the streams: one for each core that they are tested on.
-STATE_PARTITIONS = 8
+# State stores of the streams: one for each core, but no fewer than on the smallest cluster.
+LEAST_STATE_PARTITIONS = 8
 
 
 def _micros(name: str, alias: str) -> Column:
@@ -535,6 +535,10 @@ def _replay(
     return folder
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    return max(LEAST_STATE_PARTITIONS, spark.sparkContext.defaultParallelism)
+
+
 def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(landing: str, folder: str):
         decoded = job.passages(sources.file_messages(spark, landing))
@@ -577,9 +581,10 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_segment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(landing: str, folder: str):
-        passages = job.passages(sources.file_messages(spark, landing))
+        passages = job.shared(job.passages(sources.file_messages(spark, landing)))
         pairs = _pair_columns(pair_up(with_limits(passages, _long_cameras(spark)), LONG))
-        return job.append_table(pairs, f"{folder}/pairs", f"{folder}/checkpoint", STATE_PARTITIONS, True)
+        state = _state_partitions(spark)
+        return job.append_table(pairs, f"{folder}/pairs", f"{folder}/checkpoint", state, True)
 
     folder = _replay(spark, sf_dir, start)
     return spark.read.parquet(f"{folder}/pairs")
@@ -592,7 +597,7 @@ def _started(spark: SparkSession, landing: str, folder: str, **options):
         f"{folder}/violations",
         f"{folder}/checkpoint",
         LONG,
-        state_partitions=STATE_PARTITIONS,
+        state_partitions=_state_partitions(spark),
         available_now=True,
         **options,
     )
@@ -643,7 +648,7 @@ def stream_hot_plates(spark: SparkSession, sf_dir: str) -> DataFrame:
                 checkpoint,
                 LONG,
                 hot_plates=plates,
-                state_partitions=STATE_PARTITIONS,
+                state_partitions=_state_partitions(spark),
                 available_now=True,
                 taking_over=before,
             )
