@@ -129,6 +129,94 @@ def test_only_shards_that_change_are_rewritten(spark, tmp_path):
     )
 
 
+def sized(docs, shards=12):
+    group = sharding.group_of(F.col("text"))
+    return docs.select(
+        "*", sharding.size_of(F.col("text")).alias("size"), group.alias("g"),
+        sharding.old_shard(group, shards).alias("old"),
+    )
+
+
+def test_rows_in_order_are_the_same_rows(spark, monkeypatch):
+    """A group that is cut, equal rows, null keys and texts, and more than one piece a shard."""
+    monkeypatch.setattr(sharding, "FILE_ROWS", 100)
+    docs = spark.range(3_000).select(
+        F.when(F.col("id") % 50 > 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") < 1_500, F.lit("the same text"))
+        .when(F.col("id") < 2_900, F.concat(F.lit("text "), F.col("id") % 900))
+        .alias("text"),
+    )
+    names = ("doc_id", "size", "g", "old")
+    plain, moves = sharding.place(sized(docs), *names)
+    placed, same_moves = sharding.place(sized(docs), *names, in_order=True)
+    assert moves == same_moves and placed.columns == plain.columns
+    rows = [tuple(map(repr, r)) for r in plain.collect()]
+    assert len(rows) == 3_000
+    assert sorted(rows) == sorted(tuple(map(repr, r)) for r in placed.collect())
+    parts = placed.rdd.map(lambda r: (r["shard"], r["slot"])).glom().collect()
+    assert len(parts) == 30 and sum(map(bool, parts)) > 15
+    assert all(part == sorted(part) for part in parts)
+    ranges = sorted((part[0], part[-1]) for part in parts if part)
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+@pytest.mark.parametrize("most", [0, 3, 2_000])
+def test_the_query_rewrites_stored_shards(spark, tmp_path, monkeypatch, most):
+    """Rows are those of files that hold the whole documents; two shards of three stay."""
+    docs = spark.range(most).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("text "), F.col("id") % 1_500)).alias("text"),
+        F.lit("en").alias("lang"),
+        F.col("id").alias("n_chars"),
+    )
+    if most == 3:
+        # Two short texts fit where they are; a long one goes to a shard of its own.
+        texts = spark.range(500).select(F.repeat(F.lit("x"), F.col("id").cast("int")).alias("text"))
+        by_shard = {r["old"]: r["text"] for r in sized(texts).orderBy(F.desc("size")).collect()}
+        long = next(
+            r["text"]
+            for r in sized(texts).filter("size > 400").orderBy("size").collect()
+            if r["old"] not in (1, 5)
+        )
+        docs = spark.createDataFrame(
+            [(i, t, "en", 2) for i, t in enumerate((by_shard[1], by_shard[5], long))], docs.schema
+        )
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    ran, plain = [], sharding.rewrite
+
+    def watched(spark, placed, old, files, root, **options):
+        ran.append((files, root, plain(spark, placed, old, files, root, **options)))
+        return ran[-1][2]
+
+    monkeypatch.setattr(sharding, "rewrite", watched)
+    rows = QUERIES["op8_sharding"](spark, str(tmp_path)).collect()
+    check(rows)
+    [(files, root, folders)] = ran
+    was = {tuple(r) for r in docs.collect()}
+    held, kept = [], []
+    for shard, folder in folders.items():
+        if folder == files.get(shard):
+            kept.append(shard)
+        for file in spark.read.parquet(folder).inputFiles():
+            found = spark.read.parquet(file).coalesce(1)
+            held += [(shard, r) for r in found.select(docs.columns).collect()]
+            if shard not in kept:
+                assert folder.startswith(root)
+                slots = [r["slot"] for r in found.collect()]
+                assert slots == sorted(slots)
+    assert {tuple(r) for _, r in held} == was and len(held) == len(rows) == most
+    assert sorted((s, r["doc_id"]) for s, r in held) == sorted(
+        (r["shard"], r["doc_id"]) for r in rows
+    )
+    old = [
+        (s, r["doc_id"])
+        for s in {r["old"] for r in sized(docs).collect()}
+        for r in spark.read.parquet(files[s]).collect()
+    ]
+    assert sorted(old) == sorted((r["old"], r["doc_id"]) for r in sized(docs).collect())
+    assert sorted(kept) == ([1, 5] if most == 3 else [])
+
+
 def test_awkward_rows_and_no_rows(spark):
     docs = awkward(spark)
     placed = sharding.sharded(docs)
