@@ -2,11 +2,13 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
 
 from awkward_rows import DOCS, awkward, empty
+from pyspark.sql import functions as F
 from spanwatch.llm import collocations
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -62,6 +64,59 @@ def test_phrases_are_those_of_the_counts(spark, monkeypatch, broadcast, parts):
     assert sorted(map(tuple, got)) == plainly(rows, 4, 50, 25)
 
 
+def test_many_likely_pairs_do_not_shuffle_stripes(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "BROADCAST_PAIRS", 0)
+    plain, plans = collocations.stored, {}
+
+    def watched(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, purpose)
+
+    monkeypatch.setattr(collocations, "stored", watched)
+    rows = list(some_rows())
+    docs = spark.createDataFrame([(i, t, g, "s", 1) for i, (t, g) in enumerate(rows)], DOCS)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        collocations.phrases(docs, least=4)
+    finally:
+        spark.conf.set(name, was)
+    for purpose, joins in (("pairs", 1), ("triples", 2)):
+        assert plans[purpose].count("BroadcastHashJoin") == joins
+        assert "SortMergeJoin" not in plans[purpose] and "ShuffledHash" not in plans[purpose]
+
+
+@pytest.mark.parametrize("most, others", [(1 << 29, 100), (1 << 16, 2_000)])
+def test_the_sieve_keeps_all_it_was_made_of(spark, monkeypatch, most, others):
+    """At its greatest size, of 6 bits a hash here, it lets more of the others through."""
+    monkeypatch.setattr(collocations, "MOST_BITS", most)
+    hashes = spark.range(30_000).select(F.xxhash64("id").alias("_pair"), "id")
+    cells, blocks = collocations._sieve(hashes.filter("id < 10000").select("_pair"), 10_000)
+    assert blocks * collocations.BLOCK_BITS <= max(most, 2 * collocations.BLOCK_BITS)
+    kept = collocations._passing(hashes, cells, blocks)
+    ids = {r["id"] for r in kept.collect()}
+    assert ids >= set(range(10_000)) and len(ids) < 10_000 + others
+
+
+def test_shuffles_leave_the_disk_when_their_table_is_stored(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {x for x in names if re.fullmatch(r"shuffle_.*\.data", x)}
+
+    before, was = shuffles(), spark.conf.get(collocations.SHUFFLE_CLEANUP)
+    found = collocations.phrases(awkward(spark), least=2)
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(collocations.SHUFFLE_CLEANUP) == was
+    assert found.count() > 0
+
+
 @pytest.mark.parametrize("entries", [1, 2, 10_000])
 def test_stripes_add_up(monkeypatch, entries):
     monkeypatch.setattr(collocations, "STRIPE_ENTRIES", entries)
